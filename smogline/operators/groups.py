@@ -1,0 +1,106 @@
+"""Ordered work inside groups whose size is not known beforehand.
+
+Position in a group is what the rise rule and the trend rule need. For groups
+of ordinary size that is a window function. A group above ``GROUP_ROWS`` is cut
+into pieces by a range partitioning over (group, order), so that no task gets
+more than its share of it: pieces are counted, the counts are summed up in
+order, and the position of a row is its position in its piece plus the rows of
+the pieces before it.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from smogline.session import ensure_checkpoint_dir
+
+GROUP_ROWS = 1_000_000      # largest group handled by one task as a whole
+MAX_PIECES = 20_000         # upper bound on the partitions of the piece layout
+BROADCAST_GROUPS = 100_000  # a list of large groups up to this length is broadcast
+
+
+def split_by_size(
+    rows: DataFrame, keys: Sequence[str], limit: int = GROUP_ROWS
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """(rows of ordinary groups, rows of large groups or None, number of rows in the latter).
+
+    The sizes take one pass over the key columns, combined before the shuffle,
+    and are skipped when the whole input is no larger than one group may be.
+    The list of large groups is written to the checkpoint folder, so both sides
+    of the split agree; it is broadcast only when it is short.
+    """
+    if rows.count() <= limit:
+        return rows, None, 0
+    ensure_checkpoint_dir(rows.sparkSession)
+    large = (
+        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > limit)
+        .checkpoint()
+    )
+    groups, total = large.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+    if groups == 0:
+        return rows, None, 0
+    names = large.select(*keys)
+    if groups <= BROADCAST_GROUPS:
+        names = F.broadcast(names)
+    on = list(keys)
+    return rows.join(names, on, "left_anti"), rows.join(names, on, "left_semi"), total
+
+
+def rank_in_task(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add ``rank`` (1-based) and ``n`` with one shuffle and one sort."""
+    group = Window.partitionBy(*keys).orderBy(*order)
+    whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return rows.withColumns(
+        {"rank": F.row_number().over(group).cast("long"), "n": F.count(F.lit(1)).over(whole)}
+    )
+
+
+def rank_in_pieces(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int
+) -> DataFrame:
+    """The same columns as :func:`rank_in_task`, with every group spread over many tasks.
+
+    ``order`` has to be unique in a group. The layout is checkpointed, because
+    the piece number is only meaningful as long as the layout stays as it is.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    piece = [*keys, "_piece"]
+    laid = (
+        rows.repartitionByRange(pieces, *keys, *order)
+        .withColumn("_piece", F.spark_partition_id())
+        .checkpoint()
+    )
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        laid.groupBy(*piece).agg(F.count(F.lit(1)).alias("_size"))
+        .select(
+            *piece,
+            F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
+            F.sum("_size").over(group).alias("n"),
+        )
+    )
+    local = Window.partitionBy(*piece).orderBy(*order)
+    return (
+        laid.join(offsets, piece)
+        .withColumn("rank", F.col("_before") + F.row_number().over(local))
+        .drop("_piece", "_before")
+        .select(*rows.columns, "rank", "n")
+    )
+
+
+def with_rank(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = GROUP_ROWS
+) -> DataFrame:
+    """Add ``rank`` and ``n`` of each row in its group, whatever the group sizes."""
+    ordinary, large, total = split_by_size(rows, keys, limit)
+    ranked = rank_in_task(ordinary, keys, order)
+    if large is None:
+        return ranked
+    pieces = min(MAX_PIECES, math.ceil(total / limit) + 1)
+    return ranked.unionByName(rank_in_pieces(large, keys, order, pieces))
