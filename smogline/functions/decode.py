@@ -63,10 +63,10 @@ def mark_positional(
     """
     value = F.col("value")
     raw = {name: _field(value, position) for name, position in WIRE_A.items()}
-    text = {name: F.regexp_replace(_value(field), " ", "") for name, field in raw.items()}
-    text["pm2"] = F.regexp_replace(_value(raw["pm2"]), "[ }]+", "")
+    text = {name: F.translate(_value(field), " ", "") for name, field in raw.items()}
+    text["pm2"] = F.translate(_value(raw["pm2"]), " }", "")
     if strip_quotes:
-        text["id"] = F.regexp_replace(text["id"], '"', "")
+        text["id"] = F.translate(text["id"], '"', "")
     numbers = ["pm2"] + (["tempC", "humidity"] if climate else [])
 
     parsed = df.select(

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smogline.operators.groups import GROUP_ROWS, MAX_PIECES, rank_in_pieces
+from smogline.operators.groups import GROUP_ROWS, piece_count, rank_in_pieces
 from smogline.session import ensure_checkpoint_dir, scratch_path
 
 # Sentinels of an unset difference, and the difference that counts.
@@ -80,12 +80,11 @@ def fold_large_groups(
     spark = rows.sparkSession
     ensure_checkpoint_dir(spark)
     keys = list(keys)
-    pieces = min(MAX_PIECES, total // limit + 1)
     narrow = rows.select(*keys, *order, value)
     step = F.floor((F.col("rank") - 1) / F.lit(limit)).cast("int")
     path = scratch_path(spark, "steps")
     (
-        rank_in_pieces(narrow, keys, order, pieces)
+        rank_in_pieces(narrow, keys, order, piece_count(total, limit))
         .withColumn("step", step)
         .groupBy(*keys, "step")
         .agg(sorted_values(value, order).alias("values"))

@@ -60,6 +60,10 @@ def rank_in_task(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     )
 
 
+def piece_count(rows: int, limit: int) -> int:
+    return min(MAX_PIECES, math.ceil(rows / limit) + 1)
+
+
 def rank_in_pieces(
     rows: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int
 ) -> DataFrame:
@@ -92,15 +96,3 @@ def rank_in_pieces(
         .drop("_piece", "_before")
         .select(*rows.columns, "rank", "n")
     )
-
-
-def with_rank(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int = GROUP_ROWS
-) -> DataFrame:
-    """Add ``rank`` and ``n`` of each row in its group, whatever the group sizes."""
-    ordinary, large, total = split_by_size(rows, keys, limit)
-    ranked = rank_in_task(ordinary, keys, order)
-    if large is None:
-        return ranked
-    pieces = min(MAX_PIECES, math.ceil(total / limit) + 1)
-    return ranked.unionByName(rank_in_pieces(large, keys, order, pieces))

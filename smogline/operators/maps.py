@@ -30,7 +30,7 @@ def _label_number(position: int) -> Column:
 
 
 def area_layer(
-    area_points: DataFrame, sensor_points: DataFrame, areas: int = MAP_AREAS
+    area_points: DataFrame, sensors: DataFrame, areas: int = MAP_AREAS
 ) -> DataFrame:
     """Rectangle and colour for each point of the ``areas`` table.
 
@@ -39,14 +39,14 @@ def area_layer(
     """
     side = math.sqrt(areas)
     step_lat, step_lng = degree_steps()
-    sensors = sensor_points.select(F.countDistinct("id").cast("double").alias("n")).scalar()
+    count = sensors.select(F.countDistinct("id").cast("double").alias("n")).scalar()
     edge = (F.sqrt(F.col("_sensors")) + F.lit(side - 1)) / F.lit(side) - F.lit(1.0)
     height, width = edge * F.lit(step_lat), edge * F.lit(step_lng)
     start_lat = F.lit(MAP_ORIGIN[0]) + height * _label_number(1)
     start_lng = F.lit(MAP_ORIGIN[1]) + width * _label_number(2)
     return (
         area_points.select("area", "tooHigh")
-        .withColumn("_sensors", sensors)
+        .withColumn("_sensors", count)
         .select(
             "area",
             "tooHigh",

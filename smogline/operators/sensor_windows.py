@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from smogline.functions.grid import grid_column, grid_label, grid_row
 from smogline.functions.scalars import fahrenheit
-from smogline.operators.groups import GROUP_ROWS, with_rank
+from smogline.operators.groups import (
+    GROUP_ROWS, piece_count, rank_in_pieces, rank_in_task, split_by_size,
+)
 from smogline.operators.rise import in_first_edge, in_last_edge, rise_flag, rise_of_sorted
-from smogline.operators.windows import arrival_number, assign_windows
+from smogline.operators.windows import (
+    arrival_number, assign_blocks, assign_windows, micros, windows_of_block,
+)
 from smogline.params import Grid, Windows
 
 KEYS = ["id", "window_start", "window_end"]
+GROUP = ["id", "block", *KEYS[1:]]
 ORDER = ["ts", "seq"]
 
 
@@ -76,22 +81,38 @@ def _result_columns(keys: list, flag: Column, carry: tuple = ("lat", "lon")) ->
     ]
 
 
+def _ranked(readings: DataFrame, windows: Windows, limit: int) -> DataFrame:
+    """Readings once per window, with their position in it and the size of the window."""
+    blocks = assign_blocks(
+        readings.select("id", "pm2", "area", "lat", "lon", "tempC", "humidity", *ORDER),
+        windows.size, windows.slide,
+    )
+    ordinary, large, total = split_by_size(blocks, ["id", "block"], limit)
+    ranked = rank_in_task(
+        windows_of_block(ordinary.repartition("id", "block"), windows.size, windows.slide),
+        GROUP, ORDER,
+    )
+    if large is None:
+        return ranked
+    spread = windows_of_block(large, windows.size, windows.slide)
+    copies = -(-micros(windows.size) // micros(windows.slide))
+    return ranked.unionByName(
+        rank_in_pieces(spread, GROUP, ORDER, piece_count(total * copies, limit))
+    )
+
+
 def sensor_windows(
     readings: DataFrame, windows: Windows = Windows(), limit: int = GROUP_ROWS
 ) -> DataFrame:
     """One row per (sensor, window) with statistics and the rise flag (batch form).
 
-    Rows are ranked in arrival order, which costs the one shuffle on (sensor,
-    window); the aggregation that follows uses the same layout. ``lat`` and
-    ``lon`` are those of the first row, for the map.
+    The one shuffle is on (sensor, block of time); windows are opened behind it,
+    and ranking and aggregation use its layout. ``lat`` and ``lon`` are those of
+    the first row, for the map.
     """
-    rows = assign_windows(
-        readings.select("id", "pm2", "area", "lat", "lon", "tempC", "humidity", *ORDER),
-        windows.size, windows.slide,
-    )
     rank, n, pm2 = F.col("rank"), F.col("n"), F.col("pm2")
     first_row = rank == 1
-    stats = with_rank(rows, KEYS, ORDER, limit).groupBy(*KEYS).agg(
+    stats = _ranked(readings, windows, limit).groupBy(*GROUP).agg(
         F.max("n").alias("_n"),
         F.sum("pm2").alias("sumPM2"),
         F.sum(F.when(in_first_edge(rank, n), pm2)).alias("_first"),

@@ -240,9 +240,9 @@ def map_sensor_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def map_area_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = _sensor_windows(spark, sf_dir)
-    area_points = points.map_areas(areas.area_trend(windows, DAYS), "window_end")
-    layer = maps.area_layer(area_points, points.map_sensors(windows, "window_end"))
+    """Every sensor with a reading has a window, so sensors are counted on the readings."""
+    area_points = points.map_areas(_area_trend(spark, sf_dir), "window_end")
+    layer = maps.area_layer(area_points, _readings(spark, sf_dir))
     return rounded(layer, "start_lat", "start_lng", "end_lat", "end_lng")
 
 
