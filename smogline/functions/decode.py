@@ -16,24 +16,39 @@ WIRE_A = {"id": 1, "lon": 2, "lat": 3, "humidity": 4, "tempC": 5, "pm2": 6}
 WIRE_C = {"id": 0, "ts": 2, "pm2": 5}
 
 # Field names of the JSON format.
-WIRE_B_TEXT = ("sensorId", "measurement")
 WIRE_B_INT = ("lon", "lat", "humidity")
 WIRE_B_DOUBLE = ("temperature", "pm2")
 
 _CORRUPT = "_corrupt"
 
 
-def _field(value: Column, position: int) -> Column:
-    """The ``name:value`` piece at a 0-based position; empty when it is missing."""
-    return F.split_part(value, F.lit(","), F.lit(position + 1))
+# One match per comma-separated piece; the group is the text between its first
+# and second colon.
+_PIECES = r"(?:^|,)[^:,]*:?([^:,]*)[^,]*"
 
 
-def _has_value(field: Column) -> Column:
-    return field.rlike("(?s):.*[^:]")
+def _once(column: Column) -> Column:
+    """Evaluate a column a single time.
+
+    A filter above is pushed through a projection and repeats what it reads; it
+    is not pushed through the generator.
+    """
+    return F.explode(F.array(column))
+
+
+def _with_texts(df: DataFrame) -> DataFrame:
+    """Add ``_text``: the value text of every piece of ``value``."""
+    return df.withColumn("_text", _once(F.regexp_extract_all("value", F.lit(_PIECES), F.lit(1))))
 
 
-def _value(field: Column) -> Column:
-    return F.split_part(field, F.lit(":"), F.lit(2))
+def _value(position: int) -> Column:
+    return F.get("_text", F.lit(position))
+
+
+def _has_value(position: int) -> Column:
+    """Is there anything but colons behind the first colon of a piece?"""
+    piece = F.split_part("value", F.lit(","), F.lit(position + 1))
+    return F.when(_value(position) != "", True).otherwise(piece.rlike("(?s):.*[^:]"))
 
 
 def _whole_number(text: Column) -> Column:
@@ -61,17 +76,15 @@ def mark_positional(
     ``strip_quotes`` is set. ``climate=False`` skips temperature and humidity,
     as the map job does.
     """
-    value = F.col("value")
-    raw = {name: _field(value, position) for name, position in WIRE_A.items()}
-    text = {name: F.translate(_value(field), " ", "") for name, field in raw.items()}
-    text["pm2"] = F.translate(_value(raw["pm2"]), " }", "")
+    text = {name: F.translate(_value(position), " ", "") for name, position in WIRE_A.items()}
+    text["pm2"] = F.translate(_value(WIRE_A["pm2"]), " }", "")
     if strip_quotes:
         text["id"] = F.translate(text["id"], '"', "")
     numbers = ["pm2"] + (["tempC", "humidity"] if climate else [])
 
-    parsed = df.select(
-        "*",
-        _has_value(raw["id"]).alias("_has_id"),
+    parsed = _with_texts(df).select(
+        *df.columns,
+        _has_value(WIRE_A["id"]).alias("_has_id"),
         *[text[name].alias(name) for name in ("id", "lat", "lon")],
         _whole_number(text["lat"]).alias("_lat"),
         _whole_number(text["lon"]).alias("_lon"),
@@ -116,7 +129,7 @@ def mark_json(df: DataFrame) -> DataFrame:
     record = F.from_json(
         "value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
-    parsed = df.withColumn("_r", record)
+    parsed = df.withColumn("_r", _once(record))
 
     def number(name: str) -> Column:
         return F.col(f"_r.{name}").try_cast("double")
@@ -151,14 +164,12 @@ def decode_json(df: DataFrame, mode: str = FAILFAST) -> DataFrame:
 
 def mark_store(df: DataFrame) -> DataFrame:
     """Decode wire C: three pieces of text, untouched, and the ``ok`` flag."""
-    value = F.col("value")
-    raw = {name: _field(value, position) for name, position in WIRE_C.items()}
     ok = F.lit(True)
-    for field in raw.values():
-        ok = ok & _has_value(field)
-    return df.select(
+    for position in WIRE_C.values():
+        ok = ok & _has_value(position)
+    return _with_texts(df).select(
         *df.columns,
-        *[_value(raw[name]).alias(name) for name in ("id", "pm2", "ts")],
+        *[_value(position).alias(name) for name, position in WIRE_C.items()],
         F.coalesce(ok, F.lit(False)).alias("ok"),
     )
 
