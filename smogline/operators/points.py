@@ -77,7 +77,12 @@ def trend_points(trend: DataFrame, ts: Column | str | None = None) -> DataFrame:
 
 
 def in_time_range(points: DataFrame, start: str, end: str) -> DataFrame:
-    """Points with start <= ts < end, as the dashboard asks for them."""
-    return points.filter(
-        (F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp"))
-    )
+    """Points with start <= ts < end, as the dashboard asks for them.
+
+    On a table partitioned by day (``date``) only the days in question are read.
+    """
+    lower, upper = (F.lit(t).cast("timestamp") for t in (start, end))
+    ranged = points.filter((F.col("ts") >= lower) & (F.col("ts") < upper))
+    if "date" in points.columns:
+        ranged = ranged.filter(F.col("date").between(F.to_date(lower), F.to_date(upper)))
+    return ranged

@@ -90,10 +90,10 @@ def arrival_number(ts: str = "ts", seq: str = "seq") -> Column:
     """(ts, seq) as one decimal that sorts the same way.
 
     A fixed-width ordering keeps ``min_by`` in hash aggregation, where a struct
-    would force a sort before the partial aggregate. Sequence numbers are not
-    negative (offsets, row ids).
+    would force a sort before the partial aggregate. One microsecond is worth
+    more than the whole range of a BIGINT sequence.
     """
-    shift = F.lit(Decimal(10) ** 19)
+    shift = F.lit(2 * Decimal(10) ** 19)
     return (
         F.unix_micros(ts).cast("decimal(18,0)") * shift + F.col(seq).cast("decimal(19,0)")
     ).cast("decimal(38,0)")
