@@ -27,18 +27,18 @@ _CORRUPT = "_corrupt"
 _PIECES = r"(?:^|,)[^:,]*:?([^:,]*)[^,]*"
 
 
-def _once(column: Column) -> Column:
-    """Evaluate a column a single time.
+def _settled(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator.
 
-    A filter above is pushed through a projection and repeats what it reads; it
-    is not pushed through the generator.
+    A filter on ``ok`` would be pushed through the projections below and decode
+    every message a second time; it is not pushed through a generator.
     """
-    return F.explode(F.array(column))
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_row")).select("_row.*")
 
 
 def _with_texts(df: DataFrame) -> DataFrame:
     """Add ``_text``: the value text of every piece of ``value``."""
-    return df.withColumn("_text", _once(F.regexp_extract_all("value", F.lit(_PIECES), F.lit(1))))
+    return df.withColumn("_text", F.regexp_extract_all("value", F.lit(_PIECES), F.lit(1)))
 
 
 def _value(position: int) -> Column:
@@ -82,18 +82,22 @@ def mark_positional(
         text["id"] = F.translate(text["id"], '"', "")
     numbers = ["pm2"] + (["tempC", "humidity"] if climate else [])
 
-    parsed = _with_texts(df).select(
+    texts = _with_texts(df).select(
         *df.columns,
         _has_value(WIRE_A["id"]).alias("_has_id"),
-        *[text[name].alias(name) for name in ("id", "lat", "lon")],
-        _whole_number(text["lat"]).alias("_lat"),
-        _whole_number(text["lon"]).alias("_lon"),
-        *[text[name].try_cast("double").alias(name) for name in numbers],
+        *[text[name].alias(name) for name in ("id", "lat", "lon", *numbers)],
+    )
+    parsed = texts.withColumns(
+        {
+            "_lat": _whole_number(F.col("lat")),
+            "_lon": _whole_number(F.col("lon")),
+            **{name: F.col(name).try_cast("double") for name in numbers},
+        }
     )
     ok = F.col("_has_id") & F.col("_lat").isNotNull() & F.col("_lon").isNotNull()
     for name in numbers:
         ok = ok & F.col(name).isNotNull()
-    return parsed.select(
+    return _settled(parsed.select(
         *df.columns,
         "id",
         "pm2",
@@ -102,7 +106,7 @@ def mark_positional(
         "lon",
         *numbers[1:],
         F.coalesce(ok, F.lit(False)).alias("ok"),
-    )
+    ))
 
 
 def decode_positional(
@@ -129,7 +133,7 @@ def mark_json(df: DataFrame) -> DataFrame:
     record = F.from_json(
         "value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
-    parsed = df.withColumn("_r", _once(record))
+    parsed = df.withColumn("_r", record)
 
     def number(name: str) -> Column:
         return F.col(f"_r.{name}").try_cast("double")
@@ -145,7 +149,7 @@ def mark_json(df: DataFrame) -> DataFrame:
             F.col(f"_r.{name}").isNull()
             | F.coalesce(whole(name).cast("double") == number(name), F.lit(False))
         )
-    return parsed.select(
+    return _settled(parsed.select(
         *df.columns,
         F.col("_r.sensorId").alias("sensorId"),
         *[F.coalesce(whole(name), F.lit(0)).alias(name) for name in ("lon", "lat")],
@@ -154,7 +158,7 @@ def mark_json(df: DataFrame) -> DataFrame:
         F.coalesce(number("pm2"), F.lit(0.0)).alias("pm2"),
         F.col("_r.measurement").alias("measurement"),
         F.coalesce(ok, F.lit(False)).alias("ok"),
-    )
+    ))
 
 
 def decode_json(df: DataFrame, mode: str = FAILFAST) -> DataFrame:
@@ -167,11 +171,11 @@ def mark_store(df: DataFrame) -> DataFrame:
     ok = F.lit(True)
     for position in WIRE_C.values():
         ok = ok & _has_value(position)
-    return _with_texts(df).select(
+    return _settled(_with_texts(df).select(
         *df.columns,
         *[_value(position).alias(name) for name, position in WIRE_C.items()],
         F.coalesce(ok, F.lit(False)).alias("ok"),
-    )
+    ))
 
 
 def decode_store(df: DataFrame, mode: str = FAILFAST) -> DataFrame:
