@@ -1,0 +1,141 @@
+"""Window results of a stream without window state.
+
+The stateful forms keep every row of an open window in one state entry per key.
+That is fine at sensor rates, but not when one sensor sends a large part of the
+stream. Here arriving rows go to a table, cut by event time, and when the
+watermark passes the end of windows the *batch* operator runs over the rows of
+just these windows, with its own answer to large groups.
+
+The watermark is the latest event time less the delay. A row counts for the
+windows that are still open when it arrives. Every micro-batch writes folders of
+its own and overwrites them when it is repeated, so a restart changes nothing.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
+
+from smogline.operators.areas import area_trend
+from smogline.operators.groups import GROUP_ROWS
+from smogline.operators.sensor_windows import sensor_windows
+from smogline.operators.trend import trend
+from smogline.operators.windows import micros
+from smogline.params import Windows
+from smogline.streaming.sinks import started
+
+NEVER = -(2**62)        # watermark before the first batch, in microseconds
+EARLIEST = -62_135_596_800_000_000  # year 1, the first instant a timestamp column is compared with
+LISTED_BUCKETS = 1000   # up to here the folders to read are named one by one
+
+
+@dataclass(frozen=True)
+class Closing:
+    """A batch operator to run when its windows close."""
+
+    name: str
+    operator: Callable[[DataFrame], DataFrame]  # rows to results with a ``window_end``
+    span: int  # a result needs rows from this long before its end, in microseconds
+    step: int  # window ends are multiples of this
+
+
+def detection_closings(windows: Windows = Windows(), limit: int = GROUP_ROWS) -> list[Closing]:
+    """Pipeline A: sensor windows and area results, for readings."""
+    size, slide, area = micros(windows.size), micros(windows.slide), micros(windows.area)
+    return [
+        Closing("sensor_window", lambda rows: sensor_windows(rows, windows, limit), size, slide),
+        Closing("area_trend", lambda rows: area_trend(sensor_windows(rows, windows, limit), windows),
+                size + area, area),
+    ]
+
+
+def trend_closings(windows: Windows = Windows(), limit: int = GROUP_ROWS) -> list[Closing]:
+    """Pipeline B: the trend record, for observations."""
+    size = micros(windows.trend)
+    return [Closing("trend", lambda rows: trend(rows, windows, limit), size, size)]
+
+
+def _keep(batch: DataFrame, path: str, bucket: int, batch_id: int) -> int | None:
+    """Add the batch to the table of rows; the latest event time in it."""
+    seen = Observation()
+    instant = F.unix_micros("ts")
+    (
+        batch.filter(F.col("ts").isNotNull())
+        .observe(seen, F.max(instant).alias("latest"))
+        .withColumn("bucket", F.call_function("div", instant - F.pmod(instant, F.lit(bucket)), F.lit(bucket)))
+        .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("bucket", "batch_id").parquet(path)
+    )
+    return seen.get["latest"]
+
+
+def _advance(spark: SparkSession, path: str, batch_id: int, latest: int | None, delay: int) -> tuple[int, int]:
+    """The watermark before and after the batch; the new one is written for the next batch."""
+    before = NEVER
+    if batch_id > 0:
+        before = spark.read.parquet(f"{path}/batch_id={batch_id - 1}").first()["watermark"]
+    now = before if latest is None else max(before, latest - delay)
+    spark.range(1).select(F.lit(now).alias("watermark")).write.mode("overwrite").parquet(
+        f"{path}/batch_id={batch_id}"
+    )
+    return before, now
+
+
+def _instant(us: int):
+    return F.timestamp_micros(F.lit(us))
+
+
+def _rows_between(
+    spark: SparkSession, path: str, schema: T.StructType, bucket: int, batch_id: int, lower: int, upper: int
+) -> DataFrame | None:
+    """Rows that had arrived by this batch with lower <= ts < upper; only their buckets are listed."""
+    first, last = lower // bucket, upper // bucket
+    folders = path
+    if last - first < LISTED_BUCKETS:
+        folders = f"{path}/bucket={{{','.join(str(number) for number in range(first, last + 1))}}}"
+    try:
+        table = spark.read.schema(schema).option("basePath", path).parquet(folders)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    arrived = table.filter(F.col("bucket").between(first, last) & (F.col("batch_id") <= batch_id))
+    return arrived.filter(
+        (F.col("ts") >= _instant(max(lower, EARLIEST))) & (F.col("ts") < _instant(upper))
+    ).drop("bucket", "batch_id")
+
+
+def closing_query(
+    rows: DataFrame, root: str, closings: list[Closing], delay: str = "0 seconds",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Start the query; results appear in ``root/<name>/batch_id=<n>``."""
+    bucket = max(closing.span for closing in closings)
+    schema = T.StructType(rows.schema.fields).add("bucket", T.LongType()).add("batch_id", T.LongType())
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        latest = _keep(batch, f"{root}/rows", bucket, batch_id)
+        before, now = _advance(session, f"{root}/progress", batch_id, latest, micros(delay))
+        for closing in closings:
+            if before // closing.step == now // closing.step:
+                continue
+            window_rows = _rows_between(
+                session, f"{root}/rows", schema, bucket, batch_id, before - closing.span, now
+            )
+            if window_rows is None:
+                continue
+            end = F.unix_micros("window_end")
+            closing.operator(window_rows).filter((end > before) & (end <= now)).write.mode(
+                "overwrite"
+            ).parquet(f"{root}/{closing.name}/batch_id={batch_id}")
+
+    writer = rows.writeStream.option("checkpointLocation", f"{root}/_checkpoints/closing")
+    return started(writer.foreachBatch(handle), trigger)

@@ -9,7 +9,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 from smogline.params import JDBC_BATCH_ROWS
 
 
-def _started(writer, trigger: dict | None) -> StreamingQuery:
+def started(writer, trigger: dict | None) -> StreamingQuery:
+    """Start a writer; without a trigger it takes what is there and stops."""
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
@@ -23,7 +24,7 @@ def append_table(
     writer = writer.writeStream.format("parquet").outputMode("append").option("path", path).option(
         "checkpointLocation", checkpoint
     )
-    return _started(writer.partitionBy("date") if date_of else writer, trigger)
+    return started(writer.partitionBy("date") if date_of else writer, trigger)
 
 
 def batch_table(
@@ -34,7 +35,7 @@ def batch_table(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _started(
+    return started(
         df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write),
         trigger,
     )
@@ -50,7 +51,7 @@ def kafka_topic(
         .option("kafka.bootstrap.servers", servers).option("topic", topic)
         .option("checkpointLocation", checkpoint)
     )
-    return _started(writer, trigger)
+    return started(writer, trigger)
 
 
 def jdbc_writer(url: str, table: str, batch_rows: int = JDBC_BATCH_ROWS, **options: str):
@@ -72,4 +73,4 @@ def jdbc_table(
     writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         jdbc_writer(url, table, **options)
     )
-    return _started(writer, trigger)
+    return started(writer, trigger)

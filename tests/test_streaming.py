@@ -15,6 +15,7 @@ from smogline.params import Windows
 from smogline.sources import streams
 from smogline.sources.events import events, observations, readings, wire_a, wire_b
 from smogline.streaming import jobs
+from smogline.streaming.closing import closing_query, detection_closings, trend_closings
 from smogline.streaming.sinks import append_table, batch_table, jdbc_writer
 from smogline.streaming.stateful import trend_stream_folded
 
@@ -200,3 +201,55 @@ def test_kafka_frame_contract(spark):
 def test_jdbc_writer_needs_the_payload_column(spark):
     with pytest.raises(Exception, match="payload"):
         jdbc_writer("jdbc:none", "t")(spark.range(1), 0)
+
+
+@pytest.mark.parametrize("limit", [1_000_000, 60])
+def test_closing_windows_equal_batch(spark, small, landed, tmp_path, limit):
+    """Windows computed from the table of rows, with and without groups too large for one task."""
+    source = decode.decode_json(landed.stream())
+    root = str(tmp_path / "trend")
+    closing_query(source, root, trend_closings(DAYS, 5 if limit == 60 else limit), "1 day").awaitTermination()
+    rows = observations(events(spark, small))
+    last = events(spark, small).agg(F.max("ts")).first()[0] - dt.timedelta(days=1)
+    expected = closed(trend(rows, DAYS), "window_end", last)
+    assert rows_of(spark.read.parquet(f"{root}/trend"), "batch_id") == rows_of(expected)
+
+    root = str(tmp_path / "detection")
+    text = decode.decode_positional(wire_a_stream(spark, small, tmp_path)).drop("key")
+    closing_query(text, root, detection_closings(DAYS, limit), "1 day").awaitTermination()
+    windows = closed(sensor_windows(readings(events(spark, small)), DAYS), "window_end", last)
+    areas = closed(area_trend(windows, DAYS), "window_end", last)
+    read = lambda name: spark.read.parquet(f"{root}/{name}").drop("batch_id")
+    assert rows_of(read("sensor_window")) == rows_of(windows)
+    assert rows_of(read("area_trend")) == rows_of(areas)
+
+
+def wire_a_stream(spark, small, tmp_path):
+    landing = Landing(spark, tmp_path / "wire_a")
+    os.makedirs(landing.path)
+    rows = wire_a(observations(events(spark, small)))
+    for first, last in ((0, 6), (6, 12), (12, 31)):
+        landing.land(rows.filter((F.dayofmonth("ts") > first) & (F.dayofmonth("ts") <= last)))
+    return landing.stream()
+
+
+def test_closing_windows_and_late_rows(spark, tmp_path):
+    landing = Landing(spark, tmp_path / "in")
+    os.makedirs(landing.path)
+    for seconds in ([0, 30, 59], [65], [58], [71], [57], [200], [5000], [5001]):
+        landing.land(message(spark, *seconds))
+    root = str(tmp_path / "out")
+    closing_query(decode.decode_json(landing.stream()), root, trend_closings(), "10 seconds").awaitTermination()
+    rows = spark.read.parquet(f"{root}/trend").orderBy("window_start").collect()
+    assert [(r.countUsecase, r.sumPm2) for r in rows] == [(4, 147.0), (2, 136.0), (1, 200.0)]
+
+
+def test_closing_windows_after_a_restart(spark, tmp_path):
+    landing = Landing(spark, tmp_path / "in")
+    os.makedirs(landing.path)
+    root = str(tmp_path / "out")
+    for seconds in ([0, 30], [59, 65], [150], [151]):
+        landing.land(message(spark, *seconds))
+        closing_query(decode.decode_json(landing.stream()), root, trend_closings(), "10 seconds").awaitTermination()
+    rows = spark.read.parquet(f"{root}/trend").orderBy("window_start").collect()
+    assert [(r.countUsecase, r.sumPm2) for r in rows] == [(3, 89.0), (1, 65.0)]
