@@ -51,12 +51,21 @@ def split_by_size(
     return rows.join(names, on, "left_anti"), rows.join(names, on, "left_semi"), total
 
 
-def rank_in_task(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Add ``rank`` (1-based) and ``n`` with one shuffle and one sort."""
+def rank_in_task(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], first: Sequence[str] = ()
+) -> DataFrame:
+    """Add ``rank`` (1-based) and ``n`` with one shuffle and one sort.
+
+    Columns named in ``first`` take the value of the first row of the group.
+    """
     group = Window.partitionBy(*keys).orderBy(*order)
     whole = group.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return rows.withColumns(
-        {"rank": F.row_number().over(group).cast("long"), "n": F.count(F.lit(1)).over(whole)}
+        {
+            "rank": F.row_number().over(group).cast("long"),
+            "n": F.count(F.lit(1)).over(whole),
+            **{name: F.first(name).over(whole) for name in first},
+        }
     )
 
 

@@ -19,6 +19,7 @@ from smogline.params import Grid, Windows
 KEYS = ["id", "window_start", "window_end"]
 GROUP = ["id", "block", *KEYS[1:]]
 ORDER = ["ts", "seq"]
+LABELS = ["area", "lat", "lon"]
 
 
 def _pack(row: Column, column: Column) -> Column:
@@ -81,24 +82,16 @@ def _result_columns(keys: list, flag: Column, carry: tuple = ("lat", "lon")) ->
     ]
 
 
-def _ranked(readings: DataFrame, windows: Windows, limit: int) -> DataFrame:
-    """Readings once per window, with their position in it and the size of the window."""
-    blocks = assign_blocks(
-        readings.select("id", "pm2", "area", "lat", "lon", "tempC", "humidity", *ORDER),
-        windows.size, windows.slide,
-    )
-    ordinary, large, total = split_by_size(blocks, ["id", "block"], limit)
-    ranked = rank_in_task(
-        windows_of_block(ordinary.repartition("id", "block"), windows.size, windows.slide),
-        GROUP, ORDER,
-    )
-    if large is None:
-        return ranked
-    spread = windows_of_block(large, windows.size, windows.slide)
-    copies = -(-micros(windows.size) // micros(windows.slide))
-    return ranked.unionByName(
-        rank_in_pieces(spread, GROUP, ORDER, piece_count(total * copies, limit))
-    )
+def _edge_aggregates() -> list[Column]:
+    rank, n, pm2 = F.col("rank"), F.col("n"), F.col("pm2")
+    return [
+        F.max("n").alias("_n"),
+        F.sum("pm2").alias("sumPM2"),
+        F.sum(F.when(in_first_edge(rank, n), pm2)).alias("_first"),
+        F.sum(F.when(in_last_edge(rank, n), pm2)).alias("_last"),
+        F.max("tempC").alias("tempC"),
+        F.max("humidity").alias("humidity"),
+    ]
 
 
 def sensor_windows(
@@ -108,19 +101,26 @@ def sensor_windows(
 
     The one shuffle is on (sensor, block of time); windows are opened behind it,
     and ranking and aggregation use its layout. ``lat`` and ``lon`` are those of
-    the first row, for the map.
+    the first row, for the map. The labels of the first row are grouping
+    columns, which keeps text out of the aggregation buffers and so the
+    aggregation hash-based. A sensor with more than ``limit`` rows in a block is
+    ranked in pieces.
     """
-    rank, n, pm2 = F.col("rank"), F.col("n"), F.col("pm2")
-    first_row = rank == 1
-    stats = _ranked(readings, windows, limit).groupBy(*GROUP).agg(
-        F.max("n").alias("_n"),
-        F.sum("pm2").alias("sumPM2"),
-        F.sum(F.when(in_first_edge(rank, n), pm2)).alias("_first"),
-        F.sum(F.when(in_last_edge(rank, n), pm2)).alias("_last"),
-        F.max("tempC").alias("tempC"),
-        F.max("humidity").alias("humidity"),
-        *[F.max(F.when(first_row, F.col(c))).alias(c) for c in ("area", "lat", "lon")],
+    blocks = assign_blocks(
+        readings.select("id", "pm2", *LABELS, "tempC", "humidity", *ORDER), windows.size, windows.slide
+    )
+    ordinary, large, total = split_by_size(blocks, ["id", "block"], limit)
+    opened = windows_of_block(ordinary.repartition("id", "block"), windows.size, windows.slide)
+    stats = (
+        rank_in_task(opened, GROUP, ORDER, LABELS).groupBy(*GROUP, *LABELS).agg(*_edge_aggregates())
     )
+    if large is not None:
+        copies = -(-micros(windows.size) // micros(windows.slide))
+        pieces = piece_count(total * copies, limit)
+        spread = windows_of_block(large, windows.size, windows.slide)
+        ranked = rank_in_pieces(spread, GROUP, ORDER, pieces)
+        labels = [F.max(F.when(F.col("rank") == 1, F.col(name))).alias(name) for name in LABELS]
+        stats = stats.unionByName(ranked.groupBy(*GROUP).agg(*_edge_aggregates(), *labels))
     flag = rise_flag(F.col("_n"), F.col("_first"), F.col("_last"))
     return stats.select(*_result_columns(KEYS, flag))
 
