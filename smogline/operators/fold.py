@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from smogline.operators.groups import GROUP_ROWS, piece_count, rank_in_pieces
-from smogline.session import ensure_checkpoint_dir, scratch_path
+from smogline.session import scratch_path, stored
 
 # Sentinels of an unset difference, and the difference that counts.
 UNSET_UP = -1.0
@@ -78,7 +78,6 @@ def fold_large_groups(
     one state per group.
     """
     spark = rows.sparkSession
-    ensure_checkpoint_dir(spark)
     keys = list(keys)
     narrow = rows.select(*keys, *order, value)
     step = F.floor((F.col("rank") - 1) / F.lit(limit)).cast("int")
@@ -98,19 +97,18 @@ def fold_large_groups(
     steps = spark.read.schema(schema).parquet(path)
     last = steps.agg(F.max("step")).first()[0]
 
-    state = (
-        steps.filter("step = 0").select(*keys, fold_values(F.col("values")).alias("state")).checkpoint()
+    state = stored(
+        steps.filter("step = 0").select(*keys, fold_values(F.col("values")).alias("state")), "state"
     )
     for number in range(1, last + 1):
         chunk = steps.filter(F.col("step") == number).drop("step")
-        state = (
-            state.join(chunk, keys, "left")
-            .select(
+        state = stored(
+            state.join(chunk, keys, "left").select(
                 *keys,
                 F.when(F.col("values").isNull(), F.col("state"))
                 .otherwise(fold_values(F.col("values"), F.col("state")))
                 .alias("state"),
-            )
-            .checkpoint()
+            ),
+            "state",
         )
     return state

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogline.session import ensure_checkpoint_dir
+from smogline.session import stored
 
 GROUP_ROWS = 1_000_000      # largest group handled by one task as a whole
 MAX_PIECES = 20_000         # upper bound on the partitions of the piece layout
@@ -30,17 +30,14 @@ def split_by_size(
 
     The sizes take one pass over the key columns, combined before the shuffle,
     and are skipped when the whole input is no larger than one group may be.
-    The list of large groups is written to the checkpoint folder, so both sides
-    of the split agree; it is broadcast only when it is short.
+    The list of large groups is written out, so both sides of the split agree;
+    it is broadcast only when it is short. Their rows are written out too, as
+    they are read several times from there.
     """
     if rows.count() <= limit:
         return rows, None, 0
-    ensure_checkpoint_dir(rows.sparkSession)
-    large = (
-        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > limit)
-        .checkpoint()
-    )
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    large = stored(sizes.filter(F.col("_rows") > limit), "large")
     groups, total = large.agg(F.count(F.lit(1)), F.sum("_rows")).first()
     if groups == 0:
         return rows, None, 0
@@ -48,7 +45,7 @@ def split_by_size(
     if groups <= BROADCAST_GROUPS:
         names = F.broadcast(names)
     on = list(keys)
-    return rows.join(names, on, "left_anti"), rows.join(names, on, "left_semi"), total
+    return rows.join(names, on, "left_anti"), stored(rows.join(names, on, "left_semi"), "rows"), total
 
 
 def rank_in_task(
@@ -78,15 +75,13 @@ def rank_in_pieces(
 ) -> DataFrame:
     """The same columns as :func:`rank_in_task`, with every group spread over many tasks.
 
-    ``order`` has to be unique in a group. The layout is checkpointed, because
+    ``order`` has to be unique in a group. The layout is written out, because
     the piece number is only meaningful as long as the layout stays as it is.
     """
-    ensure_checkpoint_dir(rows.sparkSession)
     piece = [*keys, "_piece"]
-    laid = (
-        rows.repartitionByRange(pieces, *keys, *order)
-        .withColumn("_piece", F.spark_partition_id())
-        .checkpoint()
+    laid = stored(
+        rows.repartitionByRange(pieces, *keys, *order).withColumn("_piece", F.spark_partition_id()),
+        "pieces",
     )
     group = Window.partitionBy(*keys)
     before = group.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
