@@ -268,6 +268,20 @@ def area_running_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates.groupBy("area").agg(F.max("count").alias("count"))
 
 
+def sensor_rise_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = streams.closed_tables(prepare(spark), sf_dir, DAYS)["sensor_window"]
+    return rounded(result.drop("lat", "lon"), "avgPM2", "sumPM2", "tempF")
+
+
+def area_trend_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streams.closed_tables(prepare(spark), sf_dir, DAYS)["area_trend"]
+
+
+def trend_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = streams.closed_tables(prepare(spark), sf_dir, DAYS)["trend"]
+    return rounded(_flat_pair(result), "avgPm2", "sumPm2", "temperatureFMax")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -282,5 +296,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         points_time_range,
         map_sensor_layer, map_area_layer,
         sensor_rise_stream, area_trend_stream, trend_stream, area_running_count_stream,
+        sensor_rise_closing, area_trend_closing, trend_closing,
     )
 }

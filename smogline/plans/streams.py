@@ -8,6 +8,7 @@ from smogline.params import Windows
 from smogline.session import scratch_path
 from smogline.sources.events import events_stream, observations, readings
 from smogline.streaming import jobs
+from smogline.streaming.closing import closing_query, detection_closings, trend_closings
 
 
 def detection_tables(spark: SparkSession, sf_dir: str, windows: Windows) -> dict[str, DataFrame]:
@@ -26,3 +27,17 @@ def trend_tables(spark: SparkSession, sf_dir: str, windows: Windows) -> dict[str
     wanted = ("trend", "area_count")
     jobs.run_available({name: stages[name] for name in wanted})
     return {name: spark.read.parquet(f"{root}/{name}") for name in wanted}
+
+
+def closed_tables(spark: SparkSession, sf_dir: str, windows: Windows) -> dict[str, DataFrame]:
+    """``sensor_window``, ``area_trend`` and ``trend`` from the state-free form."""
+    tables = {}
+    for source, closings, delay in (
+        (readings(events_stream(spark, sf_dir)), detection_closings(windows), windows.delay),
+        (observations(events_stream(spark, sf_dir)), trend_closings(windows), windows.grace),
+    ):
+        root = scratch_path(spark, "closing")
+        closing_query(source, root, closings, delay).awaitTermination()
+        for closing in closings:
+            tables[closing.name] = spark.read.parquet(f"{root}/{closing.name}").drop("batch_id")
+    return tables
