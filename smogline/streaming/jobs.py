@@ -12,15 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
-from smogline.operators import alerts, areas, points
+from smogline.functions.decode import decode_store
+from smogline.operators import alerts, areas, points, records
 from smogline.operators.sensor_windows import sensor_windows_stream
 from smogline.operators.trend import too_high, trend_stream
 from smogline.params import AREAS, SENSORS, Windows
 from smogline.session import prepare
-from smogline.streaming.sinks import append_table, batch_table
+from smogline.streaming.sinks import append_table, batch_table, jdbc_table, kafka_topic
 
 Stage = Callable[[dict | None], StreamingQuery]
 
+SENSOR_WINDOW_SCHEMA = (
+    "id STRING, window_start TIMESTAMP, window_end TIMESTAMP, pm2tooHigh BOOLEAN, area STRING, "
+    "avgPM2 DOUBLE, elementsInWindow INT, sumPM2 DOUBLE, tempC DOUBLE, tempF DOUBLE, "
+    "humidity DOUBLE, lat STRING, lon STRING"
+)
 AREA_TREND_SCHEMA = (
     "area STRING, window_start TIMESTAMP, window_end TIMESTAMP, sensorsReportingTrend BIGINT"
 )
@@ -66,8 +72,21 @@ def detection_stages(
         messages = alerts.area_messages(results, policy, sensors, number_of_areas)
         return sink("alerts", messages, "window_end", trigger)
 
+    def points_of(table: str, schema: str, shape: Callable[[DataFrame], DataFrame], name: str) -> Stage:
+        def stage(trigger: dict | None = None) -> StreamingQuery:
+            shaped = shape(_table_stream(spark, f"{root}/{table}", schema))
+            return sink(name, shaped, "ts", trigger)
+
+        return stage
+
     return {
-        "Pollution": pollution, "sensor_window": sensor_window, "area_trend": area_trend,
+        "Pollution": pollution,
+        "sensor_window": sensor_window,
+        "area_trend": area_trend,
+        "SensorData": points_of("sensor_window", SENSOR_WINDOW_SCHEMA, points.sensor_data, "SensorData"),
+        "AreaTrend": points_of("area_trend", AREA_TREND_SCHEMA, points.area_trend_points, "AreaTrend"),
+        "sensors": points_of("sensor_window", SENSOR_WINDOW_SCHEMA, points.map_sensors, "sensors"),
+        "areas": points_of("area_trend", AREA_TREND_SCHEMA, points.map_areas, "areas"),
         "alerts": alert,
     }
 
@@ -98,7 +117,38 @@ def trend_stages(
         running = alerts.update_messages(areas.area_running_count(too_high(results)))
         return batch_table(running, f"{root}/area_count", f"{root}/_checkpoints/area_count", "update", trigger)
 
-    return {"pollutionRaw": raw, "trend": trend, "area_count": counts}
+    def trend_points(trigger: dict | None = None) -> StreamingQuery:
+        results = _table_stream(spark, f"{root}/trend", TREND_SCHEMA)
+        return sink("pollution", points.trend_points(results), "ts", trigger)
+
+    return {"pollutionRaw": raw, "trend": trend, "pollution": trend_points, "area_count": counts}
+
+
+def store_stage(text: DataFrame, url: str, table: str, checkpoint: str, **options: str) -> Stage:
+    """The store job: wire C text to one payload column of a database table."""
+
+    def stage(trigger: dict | None = None) -> StreamingQuery:
+        payload = records.store_payload(decode_store(text))
+        return jdbc_table(payload, url, table, checkpoint, trigger, **options)
+
+    return stage
+
+
+def topic_stages(root: str, spark: SparkSession, servers: str, trend_topic: str, count_topic: str) -> dict[str, Stage]:
+    """Publish the trend table and the running counts (needs the Kafka package on the class path)."""
+
+    def trend(trigger: dict | None = None) -> StreamingQuery:
+        results = _table_stream(spark, f"{root}/trend", TREND_SCHEMA)
+        return kafka_topic(records.encode_trend(results), servers, trend_topic,
+                           f"{root}/_checkpoints/trend_topic", "append", trigger)
+
+    def counts(trigger: dict | None = None) -> StreamingQuery:
+        results = _table_stream(spark, f"{root}/trend", TREND_SCHEMA)
+        running = areas.area_running_count(too_high(results))
+        return kafka_topic(records.encode_counts(running), servers, count_topic,
+                           f"{root}/_checkpoints/count_topic", "update", trigger)
+
+    return {"trend_topic": trend, "count_topic": counts}
 
 
 def run_available(stages: dict[str, Stage]) -> None:

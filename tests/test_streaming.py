@@ -113,6 +113,8 @@ def test_trend_job_equals_batch(spark, small, landed, tmp_path):
         counts = spark.read.parquet(f"{root}/area_count").groupBy("area").agg(F.max("count").alias("count"))
         assert rows_of(counts) == rows_of(area_running_count(too_high(batch)))
         assert spark.read.parquet(f"{root}/pollutionRaw").count() == 1000
+        flat = spark.read.parquet(f"{root}/pollution")
+        assert flat.count() == batch.count() and "pair" not in flat.columns
 
 
 def test_detection_job_equals_batch(spark, small, tmp_path):
@@ -133,6 +135,9 @@ def test_detection_job_equals_batch(spark, small, tmp_path):
     assert read("Pollution").count() == 1000
     assert rows_of(read("sensor_window")) == rows_of(windows)
     assert rows_of(read("area_trend")) == rows_of(areas)
+    for name, table in (("SensorData", windows), ("sensors", windows), ("AreaTrend", areas), ("areas", areas)):
+        assert read(name).count() == table.count()
+        assert read(name).filter("ts IS NULL").count() == 0
     assert rows_of(read("alerts")) == rows_of(alerts.area_messages(areas, alerts.BOTH, 640))
 
 
