@@ -30,6 +30,11 @@ _FRESH = (UNSET_UP, 0.0, UNSET_DOWN, False, 0, None, None, None, 0, 0.0,
           float(FLOOR), float(FLOOR), float(FLOOR), FLOOR)
 
 
+def _nested(fields: str) -> str:
+    """The same fields as members of a struct."""
+    return ", ".join(field.replace(" ", ": ", 1) for field in fields.split(", "))
+
+
 def _advance(state: tuple, row) -> tuple:
     """One row into the accumulator; the state machine as in ``operators.fold``."""
     first, second, third, high, raised = state[:5]
@@ -59,33 +64,49 @@ def _advance(state: tuple, row) -> tuple:
 
 
 class TrendProcessor(StatefulProcessor):
+    """All open windows of a key in one state value: read once and written once per micro-batch."""
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "start_us BIGINT", f"end_us BIGINT, {_ACCUMULATOR}")
+        self.open = handle.getValueState(
+            "open", f"windows ARRAY<STRUCT<start_us: BIGINT, end_us: BIGINT, {_nested(_ACCUMULATOR)}>>"
+        )
+
+    def _read(self) -> dict:
+        if not self.open.exists():
+            return {}
+        (windows,) = self.open.get()
+        return {(window[0], window[1]): tuple(window)[2:] for window in windows}
+
+    def _write(self, windows: dict) -> None:
+        """Keep the open windows; one timer, at the earliest end, brings the key back."""
+        for due in list(self.handle.listTimers()):
+            self.handle.deleteTimer(due)
+        if not windows:
+            self.open.clear()
+            return
+        self.open.update(([(*bounds, *state) for bounds, state in windows.items()],))
+        self.handle.registerTimer(min(end for _, end in windows) // 1000)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         closed_us = timerValues.getCurrentWatermarkInMs() * 1000
         batch = pd.concat(rows)
-        batch = batch[batch["end_us"] > closed_us].sort_values(["start_us", "ts", "seq"])
-        for (start, end), part in batch.groupby(["start_us", "end_us"]):
-            slot = (int(start),)
-            if self.open.containsKey(slot):
-                state = tuple(self.open.getValue(slot))[1:]
-            else:
-                state = _FRESH
-                self.handle.registerTimer(int(end) // 1000)
-            for row in part.itertuples():
-                state = _advance(state, row)
-            self.open.updateValue(slot, (int(end), *state))
+        batch = batch[batch["end_us"] > closed_us].sort_values(["ts", "seq"])
+        windows = self._read()
+        for row in batch.itertuples(index=False):
+            bounds = (row.start_us, row.end_us)
+            windows[bounds] = _advance(windows.get(bounds, _FRESH), row)
+        if len(batch):
+            self._write(windows)
         yield pd.DataFrame()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        expired_us = expiredTimerInfo.getExpiryTimeInMs() * 1000
-        names = [field.split()[0] for field in OUTPUT.split(", ")]
-        for (start,), state in list(self.open.iterator()):
-            if state[0] <= expired_us:
-                self.open.removeKey((start,))
-                yield pd.DataFrame([(key[0], start, *state)], columns=names)
+        closed_us = timerValues.getCurrentWatermarkInMs() * 1000
+        windows = self._read()
+        closed = [bounds for bounds in windows if bounds[1] <= closed_us]
+        results = [(key[0], *bounds, *windows.pop(bounds)) for bounds in closed]
+        self._write(windows)
+        yield pd.DataFrame(results, columns=[field.split()[0] for field in OUTPUT.split(", ")])
 
     def close(self) -> None:
         pass
