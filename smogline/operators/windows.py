@@ -27,9 +27,14 @@ BLOCK_WINDOWS = 8  # a block of time holds this many window sizes
 
 
 def micros(duration: str) -> int:
-    """Length of a duration such as ``60 seconds``."""
-    amount, unit = duration.split()
-    return int(amount) * MICROS[unit.removesuffix("s")]
+    """Length of a duration such as ``60 seconds`` or ``1 minute 30 seconds``."""
+    words = duration.split()
+    if not words or len(words) % 2:
+        raise ValueError(f"not a duration: {duration!r}")
+    return sum(
+        int(amount) * MICROS[unit.lower().removesuffix("s")]
+        for amount, unit in zip(words[::2], words[1::2])
+    )
 
 
 def block_micros(size: str, slide: str) -> int:

@@ -172,3 +172,11 @@ def test_every_count_is_listed_once(spark):
     for row in listed.collect():
         assert row.rows == row.different == row["count"] == totals[row.area]
     assert {r["count"] for r in updates.filter("area = 'a' and window_end = 2").collect()} == {25001, 25002, 25003}
+
+
+def test_durations():
+    assert micros("60 seconds") == micros("1 minute") == 60_000_000
+    assert micros("1 minute 30 seconds") == 90_000_000
+    for text in ("", "60", "1 minute 30"):
+        with pytest.raises(ValueError):
+            micros(text)
