@@ -249,36 +249,36 @@ def map_area_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 # streaming forms ------------------------------------------------------------
 
 def sensor_rise_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = streams.detection_tables(prepare(spark), sf_dir, DAYS)["sensor_window"]
+    result = streams.detection_table(prepare(spark), sf_dir, DAYS, "sensor_window")
     return rounded(result.drop("lat", "lon", "date"), "avgPM2", "sumPM2", "tempF")
 
 
 def area_trend_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streams.detection_tables(prepare(spark), sf_dir, DAYS)["area_trend"].drop("date")
+    return streams.detection_table(prepare(spark), sf_dir, DAYS, "area_trend").drop("date")
 
 
 def trend_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = streams.trend_tables(prepare(spark), sf_dir, DAYS)["trend"].drop("date")
+    result = streams.trend_table(prepare(spark), sf_dir, DAYS, "trend").drop("date")
     return rounded(_flat_pair(result), "avgPm2", "sumPm2", "temperatureFMax")
 
 
 def area_running_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last update of each area."""
-    updates = streams.trend_tables(prepare(spark), sf_dir, DAYS)["area_count"]
+    updates = streams.trend_table(prepare(spark), sf_dir, DAYS, "area_count")
     return updates.groupBy("area").agg(F.max("count").alias("count"))
 
 
 def sensor_rise_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = streams.closed_tables(prepare(spark), sf_dir, DAYS)["sensor_window"]
+    result = streams.closed_table(prepare(spark), sf_dir, DAYS, "sensor_window")
     return rounded(result.drop("lat", "lon"), "avgPM2", "sumPM2", "tempF")
 
 
 def area_trend_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streams.closed_tables(prepare(spark), sf_dir, DAYS)["area_trend"]
+    return streams.closed_table(prepare(spark), sf_dir, DAYS, "area_trend")
 
 
 def trend_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = streams.closed_tables(prepare(spark), sf_dir, DAYS)["trend"]
+    result = streams.closed_table(prepare(spark), sf_dir, DAYS, "trend")
     return rounded(_flat_pair(result), "avgPm2", "sumPm2", "temperatureFMax")
 
 

@@ -211,7 +211,7 @@ ORACLE: dict[str, str] = {
         WHERE window_end <= {_CLOSED}""",
     "area_trend_stream": f"""WITH {SENSOR}, closed AS (
           SELECT * FROM sw WHERE window_end <= {_CLOSED}) {_area_cte("closed")}
-        SELECT * FROM areas WHERE window_end <= (SELECT max(window_end) FROM closed)""",
+        SELECT * FROM areas WHERE window_end <= {_CLOSED}""",
     "trend_stream": f"""{TREND} SELECT key, window_start, window_end, tooHigh, tooHighCount,
         {STATS}, {PAIR} FROM trend WHERE window_end <= {_CLOSED}""",
     "area_running_count_stream": f"""{TREND} SELECT area, count(*) AS count FROM trend

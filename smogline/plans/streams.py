@@ -1,4 +1,4 @@
-"""Both streaming jobs run over the events that are there, into tables in the shared folder."""
+"""Streaming forms run over the events that are there, into tables in the shared folder."""
 
 from __future__ import annotations
 
@@ -11,33 +11,31 @@ from smogline.streaming import jobs
 from smogline.streaming.closing import closing_query, detection_closings, trend_closings
 
 
-def detection_tables(spark: SparkSession, sf_dir: str, windows: Windows) -> dict[str, DataFrame]:
-    """``sensor_window`` and ``area_trend`` with the windows that have closed."""
+def detection_table(spark: SparkSession, sf_dir: str, windows: Windows, name: str) -> DataFrame:
+    """``sensor_window`` or ``area_trend`` with the windows that have closed."""
     root = scratch_path(spark, "detection")
     stages = jobs.detection_stages(readings(events_stream(spark, sf_dir)), root, windows)
-    wanted = ("sensor_window", "area_trend")
-    jobs.run_available({name: stages[name] for name in wanted})
-    return {name: spark.read.parquet(f"{root}/{name}") for name in wanted}
+    jobs.run_available({name: stages[name]})
+    return spark.read.parquet(f"{root}/{name}")
 
 
-def trend_tables(spark: SparkSession, sf_dir: str, windows: Windows) -> dict[str, DataFrame]:
-    """``trend`` with the windows that have closed and every update of ``area_count``."""
+def trend_table(spark: SparkSession, sf_dir: str, windows: Windows, name: str) -> DataFrame:
+    """``trend`` with the windows that have closed, or every update of ``area_count`` over it."""
     root = scratch_path(spark, "trend")
     stages = jobs.trend_stages(observations(events_stream(spark, sf_dir)), root, windows)
-    wanted = ("trend", "area_count")
-    jobs.run_available({name: stages[name] for name in wanted})
-    return {name: spark.read.parquet(f"{root}/{name}") for name in wanted}
-
-
-def closed_tables(spark: SparkSession, sf_dir: str, windows: Windows) -> dict[str, DataFrame]:
-    """``sensor_window``, ``area_trend`` and ``trend`` from the state-free form."""
-    tables = {}
-    for source, closings, delay in (
-        (readings(events_stream(spark, sf_dir)), detection_closings(windows), windows.delay),
-        (observations(events_stream(spark, sf_dir)), trend_closings(windows), windows.grace),
-    ):
-        root = scratch_path(spark, "closing")
-        closing_query(source, root, closings, delay).awaitTermination()
-        for closing in closings:
-            tables[closing.name] = spark.read.parquet(f"{root}/{closing.name}").drop("batch_id")
-    return tables
+    needed = ("trend",) if name == "trend" else ("trend", name)
+    jobs.run_available({stage: stages[stage] for stage in needed})
+    return spark.read.parquet(f"{root}/{name}")
+
+
+def closed_table(spark: SparkSession, sf_dir: str, windows: Windows, name: str) -> DataFrame:
+    """``sensor_window``, ``area_trend`` or ``trend`` from the form without window state."""
+    source = events_stream(spark, sf_dir)
+    if name == "trend":
+        rows, closings, delay = observations(source), trend_closings(windows), windows.grace
+    else:
+        rows, closings, delay = readings(source), detection_closings(windows), windows.delay
+    root = scratch_path(spark, "closing")
+    wanted = [closing for closing in closings if closing.name == name]
+    closing_query(rows, root, wanted, delay).awaitTermination()
+    return spark.read.parquet(f"{root}/{name}").drop("batch_id")
