@@ -141,14 +141,16 @@ def test_detection_job_equals_batch(spark, small, tmp_path):
     assert rows_of(read("alerts")) == rows_of(alerts.area_messages(areas, alerts.BOTH, 640))
 
 
-def test_restart_goes_on_from_the_checkpoint(spark, small, tmp_path):
+@pytest.mark.parametrize("trend_of", [trend_stream, trend_stream_folded])
+def test_restart_goes_on_from_the_checkpoint(spark, small, tmp_path, trend_of):
     landing = Landing(spark, tmp_path / "in")
     os.makedirs(landing.path)
     rows = wire_b(observations(events(spark, small)))
     once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
 
     def run(root):
-        jobs.run_available(jobs.trend_stages(decode.decode_json(landing.stream()), root, DAYS))
+        jobs.run_available(
+            jobs.trend_stages(decode.decode_json(landing.stream()), root, DAYS, trend_of))
 
     landing.land(rows.filter("dayofmonth(ts) <= 13"))
     run(twice)
@@ -258,3 +260,14 @@ def test_closing_windows_after_a_restart(spark, tmp_path):
         closing_query(decode.decode_json(landing.stream()), root, trend_closings(), "10 seconds").awaitTermination()
     rows = spark.read.parquet(f"{root}/trend").orderBy("window_start").collect()
     assert [(r.countUsecase, r.sumPm2) for r in rows] == [(3, 89.0), (1, 65.0)]
+
+
+def test_kafka_is_asked_for(spark, tmp_path):
+    """Without its package Spark can only say that it does not know the source and the sink."""
+    with pytest.raises(Exception, match="(?i)kafka"):
+        streams.kafka_keyed(spark, "localhost:9092", "t")
+    empty = spark.createDataFrame([], jobs.TREND_SCHEMA)
+    empty.write.parquet(str(tmp_path / "trend"))
+    for stage in jobs.topic_stages(str(tmp_path), spark, "localhost:9092", "a", "b").values():
+        with pytest.raises(Exception, match="(?i)kafka"):
+            stage()
