@@ -20,7 +20,7 @@ from smogline.operators import trend as tr
 from smogline.params import Windows
 from smogline.plans import streams
 from smogline.session import prepare
-from smogline.sources.events import events, observations, readings, wire_a, wire_b, wire_c
+from smogline.sources.events import events, observations, readings, wire_a, wire_c
 
 DAYS = Windows(size="10 days", slide="5 days", area="60 hours", trend="2 days", grace="1 day",
                delay="1 day")
