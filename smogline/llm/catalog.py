@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import substring_dedup
+from smogline.llm import near_dedup, substring_dedup
 from smogline.llm.workers import findable
 
 
@@ -24,8 +24,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_dedup.near_groups(table(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op8_near_dedup": op8_near_dedup,
 }
 
 ORACLE: dict[str, str] = {}
