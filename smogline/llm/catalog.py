@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import near_dedup, substring_dedup
+from smogline.llm import exact_dedup, near_dedup, substring_dedup
 from smogline.llm.workers import findable
 
 
@@ -24,6 +24,14 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
+        F.lower(F.hex("key")).alias("text_sha256"),
+    )
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_dedup.near_groups(table(spark, sf_dir, "documents"))
     return out.select(
@@ -34,7 +42,17 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_exact_dedup": op3_exact_dedup,
     "op8_near_dedup": op8_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE: dict[str, str] = {
+    "op3_exact_dedup": f"""
+        WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+        FROM d WINDOW same AS (PARTITION BY t)
+    """,
+}
