@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import exact_dedup, near_dedup, substring_dedup
+from smogline.llm import decontaminate, exact_dedup, near_dedup, substring_dedup
 from smogline.llm.workers import findable
 
 
@@ -32,6 +32,18 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return out.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_dedup.near_groups(table(spark, sf_dir, "documents"))
     return out.select(
@@ -43,6 +55,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_decontaminate": op5_decontaminate,
     "op8_near_dedup": op8_near_dedup,
 }
 
