@@ -15,11 +15,12 @@ def attach(rows: DataFrame, key: str, spread: str, parts: dict[str, Column], tot
     Rows of a group are dealt by ``spread``, a column of many values, to as many shares as there
     are shuffle partitions. Shares are aggregated (``parts``), then groups over their shares
     (``totals``); the way back goes over the shares again, so no task gets a whole group of rows.
+    Rows are shuffled once: both uses of the dealt rows read one exchange.
     """
     shares = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.where(F.col(key).isNotNull()).withColumn(
         "_share", F.pmod(F.xxhash64(spread), F.lit(shares))
-    )
+    ).repartition(key, "_share")
     of_share = dealt.groupBy(key, "_share").agg(*[c.alias(n) for n, c in parts.items()])
     of_group = of_share.groupBy(key).agg(*[c.alias(n) for n, c in totals.items()])
     back = of_share.select(key, "_share").join(of_group, key)

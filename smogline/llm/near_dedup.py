@@ -5,19 +5,21 @@ A-Z lowered. Two documents are linked if 100 * intersection >= 100 * threshold *
 
 1. *Fingerprints*: the ``k`` smallest shingle hashes, the size of the set and a digest of the
    whole set. Documents of equal sets collapse into one vertex, so copies cost nothing further.
-2. *Suspects*: sets that share one of their ``first`` smallest hashes with another set. A pair at
-   the threshold shares none of them with probability 0.25 ** first (2e-10 for 16).
+2. *Suspects*: sets that share at least a sixth of their ``first`` smallest hashes with others. Of
+   the 24 smallest of a union, a pair at the threshold shares fewer than 4 with probability 2e-10.
 3. *Inverted lists* of retained values. A pair at the threshold shares 3/4 of its retained values;
    ``overlap`` of them is asked for, 6.5 standard deviations less, and so a pair has a value in
    common among each side's k - overlap * k + 1 rarest: the frequent values, such as those of
    passages that many documents share, have no lists.
-4. Each list compares its members with its first one (its centre), not with each other. Pairs
-   pass if the sketch of their union estimates a similarity within 6 standard deviations of the
-   threshold; exact Jaccard over the full sets then decides.
-5. Components of these links. Members that did not come to the component of their centre are
-   compared with all members of their list outside their own component. After this every pair of
-   a list lies in one component or has been compared, so no link between components is lost,
-   and a group of n near copies costs about n comparisons instead of n * n / 2.
+4. Each list compares its members with one of them, the centre, which has the largest share of
+   values that others have too. Pairs pass if the sketch of their union estimates a similarity
+   within 6 standard deviations of the threshold; exact Jaccard over the full sets then decides.
+5. Components of these links. A member that did not come to the component of its centre is a
+   *stray*. Strays are joined with all members of such lists over their full sets, by prefix and
+   position in the order of rarity: what a stray has alone bounds its overlap with anything, so
+   those that differ from a large group in shingles of their own are not compared with each
+   member of the group. The bound is exact, so no link between components is lost, and a group of
+   n near copies costs about n comparisons instead of n * n / 2.
 
 Defined cases: a document without words has an empty set and is linked with nothing; a null id
 is allowed and never chosen as the smallest; rows of one id are documents of their own; an empty
@@ -100,7 +102,7 @@ def near_groups(
     size: int = 5,
     threshold: float = 0.75,
     k: int = 128,
-    first: int = 16,
+    first: int = 24,
     overlap: float = 0.5,
 ) -> DataFrame:
     """(id, key, n_shingles, component_id) for every row; key is a digest of the row's set.
@@ -135,60 +137,58 @@ def near_groups(
 
 def _links(texts, prints, size, threshold, k, first, overlap) -> DataFrame:
     """(a, b): vertices whose sets are linked; a spanning part of all links of each component."""
-    early = prints.where("key is not null").select(
-        "key", F.explode(F.slice("sketch", 1, first)).alias("value")
-    )
-    shared = early.groupBy("value").agg(F.min("key").alias("x"), F.max("key").alias("y"))
-    suspects = stored(
-        early.join(shared.where("x != y").select("value"), "value", "left_semi")
-        .select("key").distinct(),
-        "suspects",
-    )
+    suspects = stored(_suspects(prints, first), "suspects")
     members = stored(
-        prints.join(checked(suspects), "key", "left_semi")
+        prints.withColumn("short", F.xxhash64("key")).join(checked(suspects), "short", "left_semi")
         .groupBy("key").agg(F.min("row").alias("v"), F.first("n").alias("n"),
                             F.first("sketch").alias("sketch")),
         "members",
     )
     lists = stored(_rare_lists(members, overlap), "lists")
-    items = stored(_items(texts, suspects, members, size), "items")
+    listed = stored(lists.select("v").distinct().join(members.select("v", "key", "n"), "v"), "listed")
+    items = stored(_items(texts, listed, size), "items")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        return stored(_verified(pairs, members, items, threshold, k), "linked")
-
-    centred = attach(
+    centred = stored(attach(
         lists, "value", "v",
-        {"c_": F.min(F.struct("v", "n"))}, {"centre": F.min("c_")},
-    ).select("value", "v", "n", F.col("centre.v").alias("centre"), F.col("centre.n").alias("cn"))
-    centred = stored(centred, "centred")
+        {"c_": F.max(F.struct("typical", (-F.col("v")).alias("low"), "n"))}, {"centre": F.max("c_")},
+    ).select("value", "v", "n", (-F.col("centre.low")).alias("centre"), F.col("centre.n").alias("cn")),
+        "centred")
     near = centred.where(
         (F.col("v") != F.col("centre"))
         & (F.least("n", "cn") >= threshold * F.greatest("n", "cn"))
+    ).select(F.col("centre").alias("a"), F.col("v").alias("b")).distinct()
+    likely = _likely(near, members, threshold, k)
+    links = stored(_linked(likely, items, threshold), "linked")
+
+    comp = components(links)
+    of_member = centred.join(comp.withColumnRenamed("comp", "c"), "v", "left")
+    of_centre = comp.select(F.col("v").alias("centre"), F.col("comp").alias("cc"))
+    placed = of_member.join(of_centre, "centre", "left").select(
+        "value", "v", F.coalesce("c", "v").alias("c"), F.coalesce("cc", "centre").alias("cc")
     )
-    links = linked(near.select(F.col("centre").alias("a"), F.col("v").alias("b")).distinct())
-
-    comp = components(links).withColumnRenamed("comp", "c")
-    of_member = centred.join(comp, "v", "left").withColumn("c", F.coalesce("c", "v"))
-    of_centre = comp.select(F.col("v").alias("centre"), F.col("c").alias("cc"))
-    placed = stored(
-        of_member.join(of_centre, "centre", "left").withColumn("cc", F.coalesce("cc", "centre")),
-        "placed",
-    )
-    stray = placed.where("c != cc").select("value", F.col("v").alias("a"), F.col("n").alias("an"),
-                                           F.col("c").alias("ac"))
-    rest = placed.select("value", F.col("v").alias("b"), F.col("n").alias("bn"),
-                         F.col("c").alias("bc"), F.col("cc"), "centre")
-    missed = stray.join(rest, "value").where(
-        (F.col("ac") != F.col("bc")) & (F.col("b") != F.col("centre"))
-        & ((F.col("bc") == F.col("cc")) | (F.col("a") < F.col("b")))
-        & (F.least("an", "bn") >= threshold * F.greatest("an", "bn"))
+    placed = stored(placed.withColumn("stray", F.col("c") != F.col("cc")), "placed")
+    mixed = placed.where("stray").select("value").distinct()
+    around = placed.join(mixed, "value", "left_semi").groupBy("v").agg(
+        F.first("c").alias("c"), F.max("stray").alias("stray")
+    ).join(items, "v")
+    return links.union(stored(_linked(_overlapping(around, threshold), items, threshold), "linked"))
+
+
+def _suspects(prints: DataFrame, first: int) -> DataFrame:
+    """(short): a hash of each key with enough early values that another set has too."""
+    early = prints.where("key is not null").select(
+        F.xxhash64("key").alias("short"), F.least("n", F.lit(first)).alias("f"),
+        F.explode(F.slice("sketch", 1, first)).alias("value"),
     )
-    more = linked(missed.select("a", "b").distinct())
-    return links.union(more)
+    shared = attach(
+        early, "value", "short",
+        {"x_": F.min("short"), "y_": F.max("short")}, {"x": F.min("x_"), "y": F.max("y_")},
+    ).where("x != y").select("short", "f", "value").distinct()
+    return shared.groupBy("short", "f").count().where("6 * count >= f").select("short").distinct()
 
 
 def _rare_lists(members: DataFrame, overlap: float) -> DataFrame:
-    """(value, v, n): a vertex under its rarest retained values, where another has them too."""
+    """(value, v, n, typical): a vertex under its rarest retained values, where others have them too."""
     retained = members.select("v", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
     counted = attach(retained, "value", "v", {"d_": F.count("*")}, {"df": F.sum("d_")})
     ranked = (
@@ -198,20 +198,54 @@ def _rare_lists(members: DataFrame, overlap: float) -> DataFrame:
     asked = F.ceil(F.lit(overlap) * F.col("s")).cast("int")
     use = F.size("values") - asked + 1  # the others, before these in order, have no second owner
     return ranked.where(use > 0).select(
-        "v", "n", F.explode(F.slice("values", F.lit(1), use)).alias("x")
-    ).select("x.value", "v", "n")
+        "v", "n", (F.size("values") / F.col("s")).alias("typical"),
+        F.explode(F.slice("values", F.lit(1), use)).alias("x"),
+    ).select("x.value", "v", "n", "typical")
 
 
-def _items(texts: DataFrame, suspects: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """(v, items): the full set of every vertex, from the texts again."""
+def _items(texts: DataFrame, listed: DataFrame, size: int) -> DataFrame:
+    """(v, n, items): the full set of every listed vertex, from the texts again."""
     sets = texts.mapInArrow(lambda b: _full(b, size), _SETS).where("key is not null")
-    sets = sets.join(checked(suspects), "key", "left_semi").select("key", "items")
-    one = sets.groupBy("key").agg(F.first("items").alias("items"))
-    return one.join(members.select("key", "v"), "key").select("v", "items")
+    sets = sets.join(checked(listed), "key").select("v", "n", "items")
+    return sets.groupBy("v").agg(F.first("n").alias("n"), F.first("items").alias("items"))
 
 
-def _verified(pairs: DataFrame, members: DataFrame, items: DataFrame, threshold: float, k: int) -> DataFrame:
-    """Pairs (a, b) that the sketch of their union lets pass and the full sets confirm."""
+def _overlapping(around: DataFrame, threshold: float) -> DataFrame:
+    """(a, an, b, bn): strays and members of other components whose full sets may overlap enough.
+
+    Values are put in order of rarity. If the first value that two sets have in common is at
+    place i of one and j of the other, they share at most 1 + min(an - i, bn - j) values; a link
+    asks for threshold / (1 + threshold) of an + bn. Places where no owner of the value is small
+    enough for that are left out before the join.
+    """
+    owned = around.select("v", "c", "stray", "n", F.explode("items").alias("value"))
+    counted = attach(
+        owned, "value", "v",
+        {"d_": F.count("*"), "m_": F.min("n")}, {"df": F.sum("d_"), "least": F.min("m_")},
+    )
+    rare = (
+        counted.where("df > 1").groupBy("v", "c", "stray", "n")  # values of one document
+        .agg(F.sort_array(F.collect_list(F.struct("df", "value", "least"))).alias("values"))
+    )
+    alone = F.col("n") - F.size("values")
+    share = threshold / (1 + threshold)
+    places = rare.select("v", "c", "stray", "n", alone.alias("alone"), F.posexplode("values")).select(
+        "v", "c", "stray", "n", "col.value", "col.least",
+        (F.col("n") - F.col("alone") - F.col("pos")).alias("left"),  # 1 + n - place
+    ).where(F.col("left") + 1e-6 >= share * (F.col("n") + F.greatest("least", F.ceil(threshold * F.col("n")))))
+    one = places.where("stray").select("value", F.col("v").alias("a"), F.col("n").alias("an"),
+                                       F.col("c").alias("ac"), F.col("left").alias("al"))
+    two = places.select("value", F.col("v").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"),
+                        F.col("left").alias("bl"), F.col("stray").alias("bs"))
+    return one.join(two, "value").where(
+        (F.col("ac") != F.col("bc")) & (~F.col("bs") | (F.col("a") < F.col("b")))
+        & (F.least("al", "bl") + 1e-6 >= share * (F.col("an") + F.col("bn")))
+        & (F.least("an", "bn") >= threshold * F.greatest("an", "bn"))
+    ).select("a", "an", "b", "bn").distinct()
+
+
+def _likely(pairs: DataFrame, members: DataFrame, threshold: float, k: int) -> DataFrame:
+    """Pairs (a, b) that the sketch of their union lets pass, with the sizes of their sets."""
     def side(name: str) -> DataFrame:
         return members.select(F.col("v").alias(name), F.col("n").alias(f"{name}n"),
                               F.col("sketch").alias(f"{name}s"))
@@ -220,8 +254,12 @@ def _verified(pairs: DataFrame, members: DataFrame, items: DataFrame, threshold:
     union = F.slice(F.array_sort(F.array_union("as", "bs")), 1, k)
     common = F.size(F.array_intersect(union, F.array_intersect("as", "bs")))
     slack = 6 * (threshold * (1 - threshold) / k) ** 0.5
-    likely = both.where(common >= (threshold - slack) * F.size(union)).select("a", "b", "an", "bn")
-    full = likely.join(items.select(F.col("v").alias("a"), F.col("items").alias("ai")), "a").join(
+    return both.where(common >= (threshold - slack) * F.size(union)).select("a", "an", "b", "bn")
+
+
+def _linked(pairs: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """Pairs that the full sets confirm."""
+    full = pairs.join(items.select(F.col("v").alias("a"), F.col("items").alias("ai")), "a").join(
         items.select(F.col("v").alias("b"), F.col("items").alias("bi")), "b"
     )
     common = F.size(F.array_intersect("ai", "bi"))
