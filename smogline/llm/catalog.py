@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from smogline.llm import decontaminate, exact_dedup, near_dedup, substring_dedup
+from smogline.llm import (
+    bpe, decontaminate, exact_dedup, near_dedup, quality, substring_dedup, token_files,
+)
 from smogline.llm.workers import findable
+from smogline.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +27,17 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def byte_bpe() -> str:
+    """The vocabulary file that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), byte_bpe()).withColumnRenamed("id", "doc_id")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
     return out.select(
@@ -32,6 +46,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_on(docs, table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model).withColumnRenamed("id", "doc_id")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -52,11 +72,26 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, byte_bpe())
+    read = token_files.read_token_files(spark, path).select(
+        "part", "number", "id", "at", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+    return read.join(token_files.starts(spark, path), ["part", "number"]).select(
+        F.col("id").alias("doc_id"), (F.col("before") + F.col("at")).alias("start"),
+        "n_tokens", "ids_crc32",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
     "op8_near_dedup": op8_near_dedup,
+    "op10_token_files": op10_token_files,
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
