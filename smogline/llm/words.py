@@ -79,10 +79,10 @@ class Words:
         return np.flatnonzero(left >= size)
 
 
-def find_words(text: np.ndarray, bounds: np.ndarray) -> Words:
-    """Maximal runs of bytes outside SPACE, texts kept apart."""
+def find_words(text: np.ndarray, bounds: np.ndarray, gaps: np.ndarray = SPACE) -> Words:
+    """Maximal runs of bytes outside ``gaps``, texts kept apart."""
     inside = np.zeros(len(text) + 2, bool)
-    inside[1:-1] = ~SPACE[text]
+    inside[1:-1] = ~gaps[text]
     begins = inside[1:-1] & ~inside[:-2]
     ends = inside[1:-1] & ~inside[2:]
     cut = bounds[1:-1]
