@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogline.llm import (
-    bpe, decontaminate, exact_dedup, near_dedup, quality, substring_dedup, token_files,
+    bpe, decontaminate, exact_dedup, langid, licenses, near_dedup, pii, quality, substring_dedup,
+    token_files,
 )
 from smogline.llm.workers import findable
 from smogline.session import scratch_path
@@ -64,6 +65,15 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predicted(docs, langid.fit_on(docs)).withColumnRenamed("id", "doc_id")
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_dedup.near_groups(table(spark, sf_dir, "documents"))
     return out.select(
@@ -72,6 +82,20 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.personal_data(table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        F.size(F.array_remove(F.transform(kinds, lambda k: k == F.lit(i)), False)).cast("long").alias(f"n_{kind}")
+        for i, kind in enumerate(pii.KINDS)
+    ]
+    every = F.array_sort(F.concat("base", "added"))
+    return out.select(
+        F.col("id").alias("doc_id"), *counts,
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(every).alias("spans"),
+    )
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, byte_bpe())
@@ -90,7 +114,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_quality": op4_quality,
     "op5_decontaminate": op5_decontaminate,
+    "op6_language": op6_language,
+    "op7_licenses": op7_licenses,
     "op8_near_dedup": op8_near_dedup,
+    "op9_personal_data": op9_personal_data,
     "op10_token_files": op10_token_files,
 }
 
