@@ -437,6 +437,23 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     )
 
 
+def encode_checked(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids, restored): the ids of each text, and whether they decode to it."""
+    def run(batches):
+        encoder, decoder = Encoder(vocabulary(path)), Decoder(vocabulary(path))
+        for batch in batches:
+            texts = [t or "" for t in batch["text"].to_pylist()]
+            rows = [encoder.encode(t) for t in texts]
+            yield pa.record_batch({
+                "id": batch["id"], "n_tokens": pa.array([len(r) for r in rows], pa.int64()), "ids": _lists(rows),
+                "restored": pa.array([decoder.decode(r) == t for r, t in zip(rows, texts)], pa.bool_()),
+            })
+
+    return _texts(docs, id_col, text_col).mapInArrow(
+        run, "id long, n_tokens long, ids array<int>, restored boolean"
+    )
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 

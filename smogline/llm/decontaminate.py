@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smogline.llm.groups import checked
+from smogline.llm.groups import checked, row_key
 from smogline.session import stored
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -129,12 +129,6 @@ def contamination(
     )
 
 
-def row_key(id_col: str, text_col: str) -> Column:
-    """A string that tells rows apart by id and text; equal rows share it."""
-    return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
-                       F.hex(F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))))
-
-
 def _items(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> DataFrame:
     """(item, window, length): the distinct windows of each item."""
     words = benchmark.select(F.col(item_col).cast("string").alias("item"), _words(F.col(text_col)).alias("words"))

@@ -37,14 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smogline.llm.components import components
-from smogline.llm.groups import attach, checked
+from smogline.llm.groups import attach, checked, row_key
 from smogline.llm.words import blocks, spans_hash
 from smogline.session import stored
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SETS = "id long, key binary, items array<long>"
-_PRINTS = "id long, key binary, n long, sketch array<long>"
+_PRINTS = "id long, doc string, key binary, n long, sketch array<long>"
 
 
 def shingle_sets(column: pa.ChunkedArray | pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -80,7 +80,8 @@ def _prints(batches, size: int, k: int):
     for batch in batches:
         sets = list(shingle_sets(batch["text"], size))
         yield pa.record_batch({
-            "id": batch["id"], "key": pa.array([_digest(s) for s in sets], pa.binary()),
+            "id": batch["id"], "doc": batch["doc"],
+            "key": pa.array([_digest(s) for s in sets], pa.binary()),
             "n": pa.array([len(s) for s in sets], pa.int64()),
             "sketch": _lists([s[:k] for s in sets]),
         })
@@ -105,12 +106,14 @@ def near_groups(
     first: int = 24,
     overlap: float = 0.5,
 ) -> DataFrame:
-    """(id, key, n_shingles, component_id) for every row; key is a digest of the row's set.
+    """(id, doc, n_shingles, component, component_id) for every row.
 
-    ``component_id`` is the smallest id that links lead to. Works in steps, with tables in the
-    shared folder between them.
+    ``component_id`` is the smallest id that links lead to; ``component`` is a number of the
+    component, which repeated ids do not blur; ``doc`` tells rows of one id by their texts. Works
+    in steps, with tables in the shared folder between them.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    texts = texts.withColumn("doc", row_key("id", "text"))
     prints = stored(
         texts.mapInArrow(lambda b: _prints(b, size, k), _PRINTS)
         .withColumn("row", F.monotonically_increasing_id()),
@@ -118,23 +121,46 @@ def near_groups(
     )
     links = _links(texts, prints, size, threshold, k, first, overlap)
     owners = attach(
-        prints.select("id", "key", "n", "row"), "key", "row",
+        prints.select("id", "doc", "key", "n", "row"), "key", "row",
         {"v_": F.min("row"), "id_": F.min("id")}, {"v": F.min("v_"), "low": F.min("id_")},
     )
     found = components(links)
     sets = owners.groupBy("v").agg(F.first("low").alias("low"))
     lowest = sets.join(found, "v").groupBy("comp").agg(F.min("low").alias("least"))
-    comp_of = found.join(lowest, "comp").select("v", "least")
+    comp_of = found.join(lowest, "comp").select("v", "comp", "least")
     with_words = owners.join(comp_of, "v", "left").select(
-        "id", "key", F.col("n").alias("n_shingles"),
+        "id", "doc", F.col("n").alias("n_shingles"), F.coalesce("comp", "v").alias("component"),
         F.coalesce("least", "low").alias("component_id"),
     )
     empty = prints.where("key is null").select(
-        "id", "key", F.col("n").alias("n_shingles"), F.col("id").alias("component_id")
+        "id", "doc", F.col("n").alias("n_shingles"), F.col("row").alias("component"),
+        F.col("id").alias("component_id"),
     )
     return with_words.unionByName(empty)
 
 
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with one of each group of near duplicates, the one with the smallest id.
+
+    All columns; rows without words all stay. Rows to drop are few against rows that stay, so they
+    are what is joined; texts are shuffled only where that list is too long to be sent around.
+    """
+    groups = near_groups(docs, id_col, text_col, **options)
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "doc")
+    judged = stored(attach(groups, "component", "doc", {"b_": F.min(place)}, {"best": F.min("b_")}), "judged")
+    of_doc = judged.groupBy("doc").agg(
+        F.max(F.col("doc") == F.col("best.doc")).alias("stays"), F.count("*").alias("rows"),
+        F.max("n_shingles").alias("n"),
+    )
+    lists = stored(of_doc.where("not stays or (rows > 1 and n > 0)"), "dropped")
+    gone, again = (stored(lists.where(c).select("doc"), "dropped") for c in ("not stays", "stays"))
+    body = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("body"),
+                       row_key(f"`{id_col}`", f"`{text_col}`").alias("doc"))
+    left = body.join(checked(gone), "doc", "left_anti")
+    once = left.join(checked(again), "doc", "left_semi").dropDuplicates(["doc"])
+    return left.join(checked(again), "doc", "left_anti").unionByName(once).select("body.*")
+
+
 def _links(texts, prints, size, threshold, k, first, overlap) -> DataFrame:
     """(a, b): vertices whose sets are linked; a spanning part of all links of each component."""
     suspects = stored(_suspects(prints, first), "suspects")
