@@ -9,21 +9,25 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 
-def attach(rows: DataFrame, key: str, spread: str, parts: dict[str, Column], totals: dict[str, Column]) -> DataFrame:
+def attach(
+    rows: DataFrame, key: str, spread: str, parts: dict[str, Column], totals: dict[str, Column],
+    keep: str | None = None,
+) -> DataFrame:
     """Every row with the aggregates of its group, null keys left out.
 
     Rows of a group are dealt by ``spread``, a column of many values, to as many shares as there
     are shuffle partitions. Shares are aggregated (``parts``), then groups over their shares
     (``totals``); the way back goes over the shares again, so no task gets a whole group of rows.
-    Rows are shuffled once: both uses of the dealt rows read one exchange.
+    Rows are shuffled once, and shares once: both uses of each read one exchange. Groups that do
+    not meet ``keep``, a condition on the aggregates, go before the way back, with their rows.
     """
     shares = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.where(F.col(key).isNotNull()).withColumn(
-        "_share", F.pmod(F.xxhash64(spread), F.lit(shares))
+        "_share", F.pmod(F.xxhash64(spread), F.lit(shares)).cast("int")
     ).repartition(key, "_share")
-    of_share = dealt.groupBy(key, "_share").agg(*[c.alias(n) for n, c in parts.items()])
+    of_share = dealt.groupBy(key, "_share").agg(*[c.alias(n) for n, c in parts.items()]).repartition(key)
     of_group = of_share.groupBy(key).agg(*[c.alias(n) for n, c in totals.items()])
-    back = of_share.select(key, "_share").join(of_group, key)
+    back = of_share.select(key, "_share").join(of_group.where(keep) if keep else of_group, key)
     return dealt.join(back, [key, "_share"]).drop("_share")
 
 

@@ -194,10 +194,13 @@ def _links(texts, prints, size, threshold, k, first, overlap) -> DataFrame:
     )
     placed = stored(placed.withColumn("stray", F.col("c") != F.col("cc")), "placed")
     mixed = placed.where("stray").select("value").distinct()
-    around = placed.join(mixed, "value", "left_semi").groupBy("v").agg(
-        F.first("c").alias("c"), F.max("stray").alias("stray")
-    ).join(items, "v")
-    return links.union(stored(_linked(_overlapping(around, threshold), items, threshold), "linked"))
+    around = stored(
+        placed.join(mixed, "value", "left_semi").groupBy("v").agg(
+            F.first("c").alias("c"), F.max("stray").alias("stray")
+        ),
+        "around",
+    )
+    return links.union(stored(_linked(_overlapping(around, items, threshold), items, threshold), "linked"))
 
 
 def _suspects(prints: DataFrame, first: int) -> DataFrame:
@@ -208,17 +211,17 @@ def _suspects(prints: DataFrame, first: int) -> DataFrame:
     )
     shared = attach(
         early, "value", "short",
-        {"x_": F.min("short"), "y_": F.max("short")}, {"x": F.min("x_"), "y": F.max("y_")},
-    ).where("x != y").select("short", "f", "value").distinct()
+        {"x_": F.min("short"), "y_": F.max("short")}, {"x": F.min("x_"), "y": F.max("y_")}, "x != y",
+    ).select("short", "f", "value").distinct()
     return shared.groupBy("short", "f").count().where("6 * count >= f").select("short").distinct()
 
 
 def _rare_lists(members: DataFrame, overlap: float) -> DataFrame:
     """(value, v, n, typical): a vertex under its rarest retained values, where others have them too."""
     retained = members.select("v", "n", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
-    counted = attach(retained, "value", "v", {"d_": F.count("*")}, {"df": F.sum("d_")})
+    counted = attach(retained, "value", "v", {"d_": F.count("*")}, {"df": F.sum("d_")}, "df > 1")
     ranked = (
-        counted.where("df > 1").groupBy("v", "n", "s")  # at most k values of each vertex
+        counted.groupBy("v", "n", "s")  # at most k values of each vertex
         .agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))
     )
     asked = F.ceil(F.lit(overlap) * F.col("s")).cast("int")
@@ -236,7 +239,7 @@ def _items(texts: DataFrame, listed: DataFrame, size: int) -> DataFrame:
     return sets.groupBy("v").agg(F.first("n").alias("n"), F.first("items").alias("items"))
 
 
-def _overlapping(around: DataFrame, threshold: float) -> DataFrame:
+def _overlapping(around: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
     """(a, an, b, bn): strays and members of other components whose full sets may overlap enough.
 
     Values are put in order of rarity. If the first value that two sets have in common is at
@@ -244,14 +247,15 @@ def _overlapping(around: DataFrame, threshold: float) -> DataFrame:
     asks for threshold / (1 + threshold) of an + bn. Places where no owner of the value is small
     enough for that are left out before the join.
     """
-    owned = around.select("v", "c", "stray", "n", F.explode("items").alias("value"))
+    owned = items.join(around.select("v"), "v", "left_semi").select("v", "n", F.explode("items").alias("value"))
     counted = attach(
         owned, "value", "v",
-        {"d_": F.count("*"), "m_": F.min("n")}, {"df": F.sum("d_"), "least": F.min("m_")},
+        {"d_": F.count("*"), "m_": F.min("n")}, {"df": F.sum("d_"), "least": F.min("m_")}, "df > 1",
     )
     rare = (
-        counted.where("df > 1").groupBy("v", "c", "stray", "n")  # values of one document
+        counted.groupBy("v", "n")  # values of one document
         .agg(F.sort_array(F.collect_list(F.struct("df", "value", "least"))).alias("values"))
+        .join(around, "v")
     )
     alone = F.col("n") - F.size("values")
     share = threshold / (1 + threshold)
