@@ -26,6 +26,7 @@ import codecs
 import hashlib
 import json
 import re
+from array import array
 from functools import lru_cache
 from collections.abc import Iterable, Iterator
 
@@ -45,8 +46,11 @@ _RUNS = {
     "letter": regex.compile(r"\p{L}*"), "number": regex.compile(r"\p{N}*"),
     "space": regex.compile(rf"[{_WS}]*"), "other": regex.compile(rf"[^{_WS}\p{{L}}\p{{N}}]*"),
 }
-#: In a text without this, every space begins a piece.
-_KNOTTY = re.compile(rf"[{_WS}](?:[{_WS}]|\Z)")
+#: Texts of these characters only, and the same pattern for them, in a faster library.
+_PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ɏ]*")
+_PLAIN_PIECE = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+)
 _CACHED = 1 << 19
 _LONG = 256
 _BLOCK = 1 << 16
@@ -111,7 +115,8 @@ class Vocabulary:
         self.special_pattern = regex.compile(
             "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) or r"(?!)"
         )
-        self.dtype = np.dtype("<u2" if max(self.spelled) < 1 << 16 else "<u4")
+        self.code = "H" if max(self.spelled) < 1 << 16 else "I"
+        self.dtype = np.dtype(self.code)
         self._compatible: dict[tuple[int, int], bool] = {}
 
     def merged(self, data: bytes) -> list[int]:
@@ -185,6 +190,12 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=4)
+def encoder(path: str) -> Encoder:
+    """The encoder of a file, with its cache, once per process."""
+    return Encoder(vocabulary(path))
+
+
 class PieceTransducer:
     """Feeds on the bytes of one piece and emits its tokens as they become stable."""
 
@@ -285,42 +296,38 @@ class StreamEncoder:
         return out + transducer.close()
 
 
+def split_pieces(text: str) -> list[str]:
+    """The pieces of a text without special tokens. Each is encoded as it is on its own."""
+    return (_PLAIN_PIECE if _PLAIN.fullmatch(text) else _PIECE).findall(text)
+
+
 class Encoder:
-    """Whole texts to ids; words that come again are looked up in a cache of bounded size."""
+    """Whole texts to ids; pieces that come again are looked up in a cache of bounded size."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, self.vocabulary.dtype)
-        words = split_words(text, self.vocabulary)
-        if words is None:
+        if any(special in text for special in self.vocabulary.special):
             return self._streamed(text)
-        ids = list(map(self.known.get, words))
+        pieces = split_pieces(text)
+        ids = list(map(self.known.get, pieces))
         if None in ids:
-            ids = [self._word(word) if known is None else known for word, known in zip(words, ids)]
+            ids = [self._piece(piece) if known is None else known for piece, known in zip(pieces, ids)]
         return np.frombuffer(b"".join(ids), self.vocabulary.dtype)
 
-    def _word(self, word: str) -> bytes:
-        if len(word) > _LONG:
-            return self._streamed(word).tobytes()
-        ids = b"".join(map(self._piece, _PIECE.findall(word)))
-        if len(self.known) >= _CACHED:
-            self.known.clear()
-        self.known[word] = ids
-        return ids
-
     def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
+        if len(piece) > _LONG:
+            return self._streamed(piece).tobytes()
+        ids = self.known.get(piece)
         if ids is None:
-            found = self.vocabulary.encode_piece(piece.encode())
-            ids = np.array(found, self.vocabulary.dtype).tobytes()
-            if len(self.pieces) >= _CACHED:
-                self.pieces.clear()
-            self.pieces[piece] = ids
+            ids = array(self.vocabulary.code, self.vocabulary.encode_piece(piece.encode())).tobytes()
+            if len(self.known) >= _CACHED:
+                self.known.clear()
+            self.known[piece] = ids
         return ids
 
     def _streamed(self, text: str) -> np.ndarray:
@@ -331,17 +338,6 @@ class Encoder:
         return np.concatenate(parts)
 
 
-def split_words(text: str, vocabulary: Vocabulary) -> list[str] | None:
-    """The text cut before each space, if pieces begin there; None if they may not."""
-    if _KNOTTY.search(text) or any(special in text for special in vocabulary.special):
-        return None
-    first, *rest = text.split(" ")
-    words = [" " + word for word in rest]
-    if first:
-        words.insert(0, first)
-    return words
-
-
 class Speller:
     """Replaces ids by byte strings, in array operations."""
 
@@ -385,9 +381,9 @@ def decimals(vocabulary: Vocabulary) -> Speller:
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids) for every row; ``ids`` is an array of int."""
     def run(batches):
-        encoder = Encoder(vocabulary(path))
+        encode = encoder(path).encode
         for batch in batches:
-            rows = [encoder.encode(t) for t in batch["text"].to_pylist()]
+            rows = [encode(t) for t in batch["text"].to_pylist()]
             yield pa.record_batch({"id": batch["id"], "ids": _lists(rows)})
 
     return _texts(docs, id_col, text_col).mapInArrow(run, "id long, ids array<int>")
@@ -411,12 +407,12 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     One pass without a shuffle; neither ids nor decoded texts leave the task.
     """
     def run(batches):
-        encoder, decoder = Encoder(vocabulary(path)), Decoder(vocabulary(path))
+        encode, decoder = encoder(path).encode, Decoder(vocabulary(path))
         digits = decimals(vocabulary(path))
         for batch in batches:
             sizes, ids_digest, text_digest = [], [], []
             for text in batch["text"]:
-                ids = encoder.encode(text.as_py())
+                ids = encode(text.as_py())
                 listed, decoded = hashlib.sha256(), hashlib.sha256()
                 for i in range(0, len(ids), _BLOCK):
                     block = digits.spell(ids[i : i + _BLOCK])
@@ -440,10 +436,10 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 def encode_checked(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids, restored): the ids of each text, and whether they decode to it."""
     def run(batches):
-        encoder, decoder = Encoder(vocabulary(path)), Decoder(vocabulary(path))
+        encode, decoder = encoder(path).encode, Decoder(vocabulary(path))
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
-            rows = [encoder.encode(t) for t in texts]
+            rows = [encode(t) for t in texts]
             yield pa.record_batch({
                 "id": batch["id"], "n_tokens": pa.array([len(r) for r in rows], pa.int64()), "ids": _lists(rows),
                 "restored": pa.array([decoder.decode(r) == t for r, t in zip(rows, texts)], pa.bool_()),

@@ -21,7 +21,9 @@ an empty table gives a folder without shards.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from smogline.llm.bpe import split_words, vocabulary
+from smogline.llm.bpe import split_pieces
 from smogline.llm.elias_fano import EliasFano
 
 _MAGIC = b"EFTOKEN1"
@@ -37,14 +39,14 @@ _HEAD = np.dtype([
     ("size", "<u8"), ("part", "<u4"), ("number", "<u4"), ("width", "<u4"), ("nulls", "<u4"),
     ("base", "<i8"), ("ids", "<u8"),
 ])
-_CACHED = 1 << 19
+_CACHED = 1 << 18
 
 
 class LibraryEncoder:
-    """Ids by the ``tokenizers`` library; words that come again are looked up.
+    """Ids by the ``tokenizers`` library; pieces that come again are looked up.
 
-    The library is asked once for the distinct new words of a text, where pieces begin at each
-    space; other texts go to it whole.
+    The library is asked once for the distinct new pieces of a text. A text with special tokens
+    goes to it whole.
     """
 
     def __init__(self, path: str):
@@ -54,21 +56,22 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.vocabulary = vocabulary(path)
-        self.dtype = self.vocabulary.dtype
+        self.special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = np.dtype(self.code)
         self.known: dict[str, bytes] = {}
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        words = split_words(text, self.vocabulary)
-        if words is None:
+        if any(special in text for special in self.special):
             return self._asked([text])[0]
-        found = list(map(self.known.get, words))
+        pieces = split_pieces(text)
+        found = list(map(self.known.get, pieces))
         if None in found:
-            new = list({w for w, x in zip(words, found) if x is None})
+            new = list({w for w, x in zip(pieces, found) if x is None})
             fresh = dict(zip(new, self._asked(new)))
-            found = [fresh[w] if x is None else x for w, x in zip(words, found)]
+            found = [fresh[w] if x is None else x for w, x in zip(pieces, found)]
             if len(self.known) >= _CACHED:
                 self.known.clear()
             self.known.update((w, x) for w, x in fresh.items() if len(w) < 64)
@@ -76,7 +79,13 @@ class LibraryEncoder:
 
     def _asked(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
+        return [array(self.code, e.ids).tobytes() for e in encoded]
+
+
+@lru_cache(maxsize=2)
+def library_encoder(path: str) -> LibraryEncoder:
+    """The encoder of a file, with its cache, once per process."""
+    return LibraryEncoder(path)
 
 
 def shard_bytes(part: int, number: int, doc_ids: list[int | None], documents: list[bytes], dtype) -> bytes:
@@ -140,7 +149,7 @@ def write_token_files(
     text_col: str = "text",
     end_id: int = 2,
     part_bytes: int = 32 << 20,
-    shard_ids: int = 16 << 20,
+    shard_ids: int = 2 << 20,
 ) -> None:
     """Encode every text and write the files to the folder ``path``, which must be new."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -149,7 +158,7 @@ def write_token_files(
     rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
 
     def run(batches):
-        encoder, part = LibraryEncoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = library_encoder(tokenizer), TaskContext.get().partitionId()
         end = np.array([end_id], encoder.dtype).tobytes()
         number, size, doc_ids, documents = 0, 0, [], []
         for batch in batches:
@@ -194,7 +203,7 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return found.where("length > 0").select("content")
 
 
-def _documents(shard: Shard, block: int = 4096) -> Iterator[pa.RecordBatch]:
+def _documents(shard: Shard, block: int = 512) -> Iterator[pa.RecordBatch]:
     ends = shard.ends.values().astype(np.int64)
     known = (shard.doc_ids.values() + np.uint64(shard.base % (1 << 64))).view(np.int64)
     doc_ids = [None] * shard.nulls + known.tolist()
