@@ -27,13 +27,17 @@ _CORRUPT = "_corrupt"
 _PIECES = r"(?:^|,)[^:,]*:?([^:,]*)[^,]*"
 
 
-def _settled(df: DataFrame) -> DataFrame:
-    """The same rows behind a generator.
+def _settled(decoded: DataFrame, passed: list[str]) -> DataFrame:
+    """The same rows, with what was decoded behind a generator.
 
     A filter on ``ok`` would be pushed through the projections below and decode
-    every message a second time; it is not pushed through a generator.
+    every message a second time; it is not pushed through a generator. Columns that
+    are only passed on stay outside of it, so a range of time reaches the scan, and
+    messages outside of the range are not decoded.
     """
-    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_row")).select("_row.*")
+    own = [name for name in decoded.columns if name not in passed]
+    row = F.explode(F.array(F.struct(*own))).alias("_row")
+    return decoded.select(*passed, row).select(*passed, "_row.*")
 
 
 def _with_texts(df: DataFrame) -> DataFrame:
@@ -106,7 +110,7 @@ def mark_positional(
         "lon",
         *numbers[1:],
         F.coalesce(ok, F.lit(False)).alias("ok"),
-    ))
+    ), df.columns)
 
 
 def decode_positional(
@@ -158,7 +162,7 @@ def mark_json(df: DataFrame) -> DataFrame:
         F.coalesce(number("pm2"), F.lit(0.0)).alias("pm2"),
         F.col("_r.measurement").alias("measurement"),
         F.coalesce(ok, F.lit(False)).alias("ok"),
-    ))
+    ), df.columns)
 
 
 def decode_json(df: DataFrame, mode: str = FAILFAST) -> DataFrame:
@@ -175,7 +179,7 @@ def mark_store(df: DataFrame) -> DataFrame:
         *df.columns,
         *[_value(position).alias(name) for name, position in WIRE_C.items()],
         F.coalesce(ok, F.lit(False)).alias("ok"),
-    ))
+    ), df.columns)
 
 
 def decode_store(df: DataFrame, mode: str = FAILFAST) -> DataFrame:

@@ -5,110 +5,95 @@ measured at (``second``), a running difference downward (``third``), a sticky
 flag and a counter. The result depends on every row in order, including how the
 differences round, so it has to be run row by row; it cannot be put together
 from independently computed parts.
+
+One pass in order is therefore the floor for a group. Here it takes one shuffle
+and one sort of the rows, whatever the size of a group: a task reads its sorted
+rows batch by batch and keeps one state, so a group of any length takes constant
+memory. The streaming form runs the same function.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from smogline.operators.groups import GROUP_ROWS, piece_count, rank_in_pieces
-from smogline.session import scratch_path, stored
 
 # Sentinels of an unset difference, and the difference that counts.
 UNSET_UP = -1.0
 UNSET_DOWN = -1000.0
 STEP = 1.0
 
-
-
-def initial_state() -> Column:
-    return F.struct(
-        F.lit(UNSET_UP).alias("first"),
-        F.lit(0.0).alias("second"),
-        F.lit(UNSET_DOWN).alias("third"),
-        F.lit(False).alias("tooHigh"),
-        F.lit(0).alias("tooHighCount"),
-    )
-
-
-def next_state(state: Column, value: Column) -> Column:
-    first, second, third = state["first"], state["second"], state["third"]
-    number = ~F.isnan(value)
-    up = number & (first <= value)
-    down = number & ~up & (third >= value)
-    new_up = first == UNSET_UP
-    new_down = third == UNSET_DOWN
-    moved_up = (value - second) + first
-    moved_down = (value - second) + third
-    raised = up & ~new_up & (moved_up >= STEP)
-    cleared = down & ~new_down & (moved_down >= STEP)
-    return F.struct(
-        F.when(up, F.when(new_up, 0.0).otherwise(moved_up)).otherwise(first).alias("first"),
-        F.when(up | down, value).otherwise(second).alias("second"),
-        F.when(down, F.when(new_down, 0.0).otherwise(moved_down)).otherwise(third).alias("third"),
-        ((state["tooHigh"] | raised) & ~cleared).alias("tooHigh"),
-        (state["tooHighCount"] + raised.cast("int")).alias("tooHighCount"),
-    )
-
-
-def fold_values(values: Column, start: Column | None = None) -> Column:
-    """Run the state machine over an array of values in arrival order."""
-    return F.aggregate(values, initial_state() if start is None else start, next_state)
-
-
-def sorted_values(value: str = "pm2", order: Sequence[str] = ("ts", "seq")) -> Column:
-    """Aggregate expression: the values of a group in arrival order."""
-    rows = F.sort_array(F.collect_list(F.struct(*order, value)))
-    return F.transform(rows, lambda r: r[value])
-
-
-def fold_large_groups(
-    rows: DataFrame, keys: Sequence[str], total: int, limit: int = GROUP_ROWS,
-    value: str = "pm2", order: Sequence[str] = ("ts", "seq"),
+State = tuple[float, float, float, bool, int]
+FRESH: State = (UNSET_UP, 0.0, UNSET_DOWN, False, 0)
+STATE = "first double, second double, third double, tooHigh boolean, tooHighCount int"
+
+
+def fold(values: Iterable[float | None], state: State = FRESH) -> State:
+    """Run the state machine over values in order; null and NaN change nothing."""
+    first, second, third, high, count = state
+    for value in values:
+        if value is None or value != value:
+            continue
+        if first <= value:
+            moved = first != UNSET_UP
+            first = (value - second) + first if moved else 0.0
+            if moved and first >= STEP:
+                high, count = True, count + 1
+        elif third >= value:
+            moved = third != UNSET_DOWN
+            third = (value - second) + third if moved else 0.0
+            high = high and not (moved and third >= STEP)
+        else:
+            continue
+        second = value
+    return first, second, third, high, count
+
+
+def fold_groups(
+    rows: DataFrame, keys: Sequence[str], value: str = "pm2", order: Sequence[str] = ("ts", "seq")
 ) -> DataFrame:
-    """(keys, state) for groups too large for one task.
-
-    Rows are ranked and cut into steps of ``limit`` rows. Step 1 of all groups
-    runs at the same time, then step 2 from the states step 1 left, and so on:
-    a task never holds more than one step of a group, and what is handed on is
-    one state per group.
-    """
-    spark = rows.sparkSession
-    keys = list(keys)
-    narrow = rows.select(*keys, *order, value)
-    step = F.floor((F.col("rank") - 1) / F.lit(limit)).cast("int")
-    path = scratch_path(spark, "steps")
-    (
-        rank_in_pieces(narrow, keys, order, piece_count(total, limit))
-        .withColumn("step", step)
-        .groupBy(*keys, "step")
-        .agg(sorted_values(value, order).alias("values"))
-        .write.partitionBy("step").parquet(path)
-    )
-    schema = (
-        T.StructType(narrow.select(*keys).schema.fields)
-        .add("values", T.ArrayType(T.DoubleType()))
-        .add("step", T.IntegerType())
-    )
-    steps = spark.read.schema(schema).parquet(path)
-    last = steps.agg(F.max("step")).first()[0]
-
-    state = stored(
-        steps.filter("step = 0").select(*keys, fold_values(F.col("values")).alias("state")), "state"
-    )
-    for number in range(1, last + 1):
-        chunk = steps.filter(F.col("step") == number).drop("step")
-        state = stored(
-            state.join(chunk, keys, "left").select(
-                *keys,
-                F.when(F.col("values").isNull(), F.col("state"))
-                .otherwise(fold_values(F.col("values"), F.col("state")))
-                .alias("state"),
-            ),
-            "state",
-        )
-    return state
+    """(keys, state as five columns) for every group; ``rows`` lie together by ``keys``."""
+    schema = rows.select(*keys).schema.simpleString()[len("struct<"):-1] + ", " + STATE
+    columns = [*keys, *order, value]
+    dealt = rows.select(*columns).sortWithinPartitions(*keys, *order).drop(*order)
+    return dealt.mapInArrow(lambda batches: _folded(batches, list(keys), value), schema)
+
+
+def _folded(batches: Iterator[pa.RecordBatch], keys: list[str], value: str) -> Iterator[pa.RecordBatch]:
+    """The states of the groups that end in each batch; the last one goes on into the next."""
+    open_key, state, kinds = None, FRESH, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        kinds = [batch.schema.field(k).type for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for key in keys:
+            code = batch[key].dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            change[1:] |= code[1:] != code[:-1]
+        starts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        values, done = batch[value].to_pylist(), []
+        for lo, hi in zip(starts[:-1], starts[1:]):
+            key = tuple(batch[k][lo].value if hasattr(batch[k][lo], "value") else batch[k][lo].as_py() for k in keys)
+            if key != open_key:
+                if open_key is not None:
+                    done.append((*open_key, *state))
+                open_key, state = key, FRESH
+            state = fold(values[lo:hi], state)
+        yield _states(done, keys, kinds)
+    if open_key is not None:
+        yield _states([(*open_key, *state)], keys, kinds)
+
+
+def _states(done: list[tuple], keys: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    names = [*keys, "first", "second", "third", "tooHigh", "tooHighCount"]
+    types = [*kinds, pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.int32()]
+    columns = list(zip(*done)) or [[]] * len(names)
+    return pa.record_batch([pa.array(list(c), t) for c, t in zip(columns, types)], names)
+
+
+def state_columns() -> list:
+    """Flag, counter and the three differences, as the trend record has them."""
+    return ["tooHigh", "tooHighCount", F.struct("first", "second", "third").alias("pair")]

@@ -56,5 +56,4 @@ def area_layer(
             (start_lng + width).alias("end_lng"),
             colour(F.col("tooHigh"), GREEN_BELOW_REPORTS).alias("color"),
         )
-        .orderBy("area")
     )

@@ -1,8 +1,9 @@
 """Rise detection per sensor window: mean of the last edge against mean of the first edge.
 
 With n rows in arrival order an edge holds 1 + n div 10 rows. The flag is set
-when n > 1 and the last edge lies more than 10 above the first one. Both forms
-below add the values of an edge from the first to the last.
+when n > 1 and the last edge lies more than 10 above the first one. The streaming
+form adds the values of an edge from the first to the last; the batch form adds partial
+sums in any order, so means may differ in their last bits.
 """
 
 from __future__ import annotations

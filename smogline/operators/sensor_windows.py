@@ -2,54 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from smogline.functions.grid import grid_column, grid_label, grid_row
 from smogline.functions.scalars import fahrenheit
-from smogline.operators.groups import (
-    GROUP_ROWS, piece_count, rank_in_pieces, rank_in_task, split_by_size,
-)
+from smogline.operators.panes import assign_panes, pane_micros, ranked, window_starts
 from smogline.operators.rise import in_first_edge, in_last_edge, rise_flag, rise_of_sorted
-from smogline.operators.windows import (
-    arrival_number, assign_blocks, assign_windows, micros, windows_of_block,
-)
-from smogline.params import Grid, Windows
+from smogline.operators.windows import arrival_number, assign_windows, micros
+from smogline.params import Windows
 
 KEYS = ["id", "window_start", "window_end"]
-GROUP = ["id", "block", *KEYS[1:]]
 ORDER = ["ts", "seq"]
-LABELS = ["area", "lat", "lon"]
+CLIMATE = ["tempC", "humidity"]
 
 
-def _pack(row: Column, column: Column) -> Column:
-    """Two INT-sized numbers, of either sign, in one BIGINT."""
-    return F.shiftleft(row, 32) + (column + F.lit(2**31))
-
-
-def _unpack(packed: Column) -> tuple[Column, Column]:
-    return F.shiftright(packed, 32), packed.bitwiseAND(F.lit(2**32 - 1)) - F.lit(2**31)
-
-
-def sensor_statistics(
-    readings: DataFrame, windows: Windows = Windows(), grid: Grid = Grid()
-) -> DataFrame:
+def sensor_statistics(readings: DataFrame, windows: Windows = Windows()) -> DataFrame:
     """Count, sum, average, maxima and first area per (sensor, window), without the flag.
 
-    Everything here combines before the shuffle. The area is carried as a
-    number through the aggregation and turned into text once per window.
+    Everything here combines before the shuffle. The area is the one the reading carries.
     """
-    row = grid_row(F.col("lat").cast("int"), grid)
-    column = grid_column(F.col("lon").cast("int"), grid)
     rows = assign_windows(
         readings.select(
-            "id", "pm2", "tempC", "humidity", "ts", "seq",
-            _pack(row, column).alias("_area"), arrival_number().alias("_order"),
+            "id", "pm2", "tempC", "humidity", "ts", "area", arrival_number().alias("_order")
         ),
         windows.size, windows.slide,
     )
     stats = rows.groupBy(*KEYS).agg(
-        F.min_by("_area", "_order").alias("_area"),
+        F.min_by("area", "_order").alias("area"),
         F.count(F.lit(1)).alias("_n"),
         F.sum("pm2").alias("sumPM2"),
         F.max("tempC").alias("tempC"),
@@ -57,7 +36,7 @@ def sensor_statistics(
     )
     return stats.select(
         *KEYS,
-        grid_label(*_unpack(F.col("_area"))).alias("area"),
+        "area",
         (F.col("sumPM2") / F.col("_n")).alias("avgPM2"),
         F.col("_n").cast("int").alias("elementsInWindow"),
         "sumPM2",
@@ -67,7 +46,7 @@ def sensor_statistics(
     )
 
 
-def _result_columns(keys: list, flag: Column, carry: tuple = ("lat", "lon")) -> list:
+def _result_columns(keys: list, flag: Column, carry: tuple = ("lat", "lon"), climate: bool = True) -> list:
     return [
         *keys,
         flag.alias("pm2tooHigh"),
@@ -75,54 +54,66 @@ def _result_columns(keys: list, flag: Column, carry: tuple = ("lat", "lon")) ->
         (F.col("sumPM2") / F.col("_n")).alias("avgPM2"),
         F.col("_n").cast("int").alias("elementsInWindow"),
         "sumPM2",
-        "tempC",
-        fahrenheit(F.col("tempC")).alias("tempF"),
-        "humidity",
+        *(["tempC", fahrenheit(F.col("tempC")).alias("tempF"), "humidity"] if climate else []),
         *carry,
     ]
 
 
-def _edge_aggregates() -> list[Column]:
-    rank, n, pm2 = F.col("rank"), F.col("n"), F.col("pm2")
-    return [
-        F.max("n").alias("_n"),
-        F.sum("pm2").alias("sumPM2"),
-        F.sum(F.when(in_first_edge(rank, n), pm2)).alias("_first"),
-        F.sum(F.when(in_last_edge(rank, n), pm2)).alias("_last"),
-        F.max("tempC").alias("tempC"),
-        F.max("humidity").alias("humidity"),
-    ]
-
-
 def sensor_windows(
-    readings: DataFrame, windows: Windows = Windows(), limit: int = GROUP_ROWS
+    readings: DataFrame, windows: Windows = Windows(), carry: tuple = ("lat", "lon"), pane: str | None = None
 ) -> DataFrame:
     """One row per (sensor, window) with statistics and the rise flag (batch form).
 
-    The one shuffle is on (sensor, block of time); windows are opened behind it,
-    and ranking and aggregation use its layout. ``lat`` and ``lon`` are those of
-    the first row, for the map. The labels of the first row are grouping
-    columns, which keeps text out of the aggregation buffers and so the
-    aggregation hash-based. A sensor with more than ``limit`` rows in a block is
-    ranked in pieces.
+    One algorithm for every size. Counts, sums, maxima and first labels per (sensor, pane)
+    combine before their shuffle; those of windows follow from them. For the edges, the four
+    columns that a rank needs are shuffled and sorted by (sensor, pane) once, whatever the number
+    of windows of a row; only panes that hold a part of an edge are joined with their rows, and
+    only rows of an edge are added up. ``carry`` names the columns of the first row to keep
+    beside its area. Readings without temperature and humidity, as the map job decodes them,
+    give windows without. The input is read twice, so decode it once and land it before.
     """
-    blocks = assign_blocks(
-        readings.select("id", "pm2", *LABELS, "tempC", "humidity", *ORDER), windows.size, windows.slide
+    climate = [name for name in CLIMATE if name in readings.columns]
+    labels = ["area", *carry]
+    rows = assign_panes(
+        readings.select("id", "pm2", *labels, *climate, *ORDER),
+        pane_micros(windows.size, windows.slide, pane),
+    )
+    first_labels = F.min_by(F.struct(*labels), arrival_number()).alias("first")
+    panes = rows.groupBy("id", "pane").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("pm2").alias("pm2"),
+        *[F.max(name).alias(name) for name in climate], first_labels,
+    ).select("*", "first.*").drop("first")
+    rows = ranked(rows.select("id", "pane", "pm2", *ORDER), "id", ORDER)
+    opened = panes.withColumn("start", F.explode(window_starts(windows.size, windows.slide)))
+    ordered = Window.partitionBy("id", "start").orderBy("pane")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    placed = opened.select(
+        "id", "pane", "start", "rows", *labels,
+        F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"),
+        F.sum("rows").over(whole).alias("_n"),
+        F.sum("pm2").over(whole).alias("sumPM2"),
+        *[F.max(name).over(whole).alias(name) for name in climate],
     )
-    ordinary, large, total = split_by_size(blocks, ["id", "block"], limit)
-    opened = windows_of_block(ordinary.repartition("id", "block"), windows.size, windows.slide)
-    stats = (
-        rank_in_task(opened, GROUP, ORDER, LABELS).groupBy(*GROUP, *LABELS).agg(*_edge_aggregates())
+    first, last = F.col("before") + 1, F.col("before") + F.col("rows")
+    touched = placed.where(in_first_edge(first, F.col("_n")) | in_last_edge(last, F.col("_n")))
+    n, position = F.col("_n"), F.col("before") + F.col("rank")
+    edges = (
+        rows.select("id", "pane", "pm2", "rank")
+        .join(touched.select("id", "pane", "start", "before", "_n"), ["id", "pane"])
+        .where(in_first_edge(position, n) | in_last_edge(position, n))
+        .groupBy("id", "start").agg(
+            F.sum(F.when(in_first_edge(position, n), F.col("pm2"))).alias("_first"),
+            F.sum(F.when(in_last_edge(position, n), F.col("pm2"))).alias("_last"),
+        )
     )
-    if large is not None:
-        copies = -(-micros(windows.size) // micros(windows.slide))
-        pieces = piece_count(total * copies, limit)
-        spread = windows_of_block(large, windows.size, windows.slide)
-        ranked = rank_in_pieces(spread, GROUP, ORDER, pieces)
-        labels = [F.max(F.when(F.col("rank") == 1, F.col(name))).alias(name) for name in LABELS]
-        stats = stats.unionByName(ranked.groupBy(*GROUP).agg(*_edge_aggregates(), *labels))
-    flag = rise_flag(F.col("_n"), F.col("_first"), F.col("_last"))
-    return stats.select(*_result_columns(KEYS, flag))
+    stats = placed.where("before = 0").drop("pane", "rows", "before").join(edges, ["id", "start"])
+    named = stats.withColumns({
+        "window_start": F.timestamp_micros("start"),
+        "window_end": F.timestamp_micros(F.col("start") + F.lit(micros(windows.size))),
+    })
+    flag = rise_flag(n, F.col("_first"), F.col("_last"))
+    return named.select(*_result_columns(KEYS, flag, carry, bool(climate)))
 
 
 def sensor_windows_stream(

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from smogline.functions.grid import block_area
 from smogline.functions.scalars import fahrenheit
-from smogline.operators.fold import fold_large_groups, fold_values, sorted_values
-from smogline.operators.groups import GROUP_ROWS, split_by_size
+from smogline.operators.fold import fold_groups, state_columns
 from smogline.operators.windows import arrival, assign_windows
 from smogline.params import Windows
 
@@ -55,77 +54,28 @@ def _statistics() -> list[Column]:
     ]
 
 
-def _fold_columns(state: str = "_state") -> list[Column]:
-    return [
-        F.col(f"{state}.tooHigh").alias("tooHigh"),
-        F.col(f"{state}.tooHighCount").alias("tooHighCount"),
-        F.struct(*[F.col(f"{state}.{c}").alias(c) for c in ("first", "second", "third")]).alias("pair"),
-    ]
-
-
 def trend_statistics(observations: DataFrame, windows: Windows = Windows()) -> DataFrame:
     """The part of the trend that combines before the shuffle: counts, sums, maxima, last labels."""
     rows = assign_windows(keyed(observations), windows.trend)
     return rows.groupBy(*KEYS).agg(*_aggregates()).select(*KEYS, *_statistics())
 
 
-def _with_fold(rows: DataFrame, extra: list[Column]) -> DataFrame:
-    return rows.groupBy(*KEYS).agg(*extra, sorted_values().alias("_values")).withColumn(
-        "_state", fold_values(F.col("_values"))
-    )
-
-
-def trend_fold(
-    observations: DataFrame, windows: Windows = Windows(), limit: int = GROUP_ROWS
-) -> DataFrame:
+def trend_fold(observations: DataFrame, windows: Windows = Windows()) -> DataFrame:
     """Only the state machine: flag, counter and the three differences per (key, window)."""
     rows = assign_windows(keyed(observations).select("key", "pm2", "ts", "seq"), windows.trend)
-    ordinary, large, total = split_by_size(rows, KEYS, limit)
-    result = _with_fold(ordinary, []).select(*KEYS, *_fold_columns())
-    if large is None:
-        return result
-    folded = fold_large_groups(large, KEYS, total, limit)
-    return result.unionByName(folded.select(*KEYS, *_fold_columns("state")))
+    return fold_groups(rows.repartition(*KEYS), KEYS).select(*KEYS, *state_columns())
 
 
-def trend(
-    observations: DataFrame, windows: Windows = Windows(), limit: int = GROUP_ROWS
-) -> DataFrame:
+def trend(observations: DataFrame, windows: Windows = Windows()) -> DataFrame:
     """The full trend record per (key, window).
 
-    Ordinary groups take one shuffle for statistics and state machine together.
-    Groups above ``limit`` get their statistics by partial aggregation and their
-    state in steps; the two meet in a join with one row per group on each side.
+    Statistics combine before their shuffle; only the five columns that the state machine
+    needs are shuffled row by row. One row per group on each side meets in a join.
     """
     rows = assign_windows(keyed(observations), windows.trend)
-    ordinary, large, total = split_by_size(rows, KEYS, limit)
-    columns = [*KEYS, *_statistics(), *_fold_columns()]
-    result = _with_fold(ordinary, _aggregates()).select(*columns)
-    if large is None:
-        return result
-    states = fold_large_groups(large, KEYS, total, limit).withColumnRenamed("state", "_state")
-    statistics = large.groupBy(*KEYS).agg(*_aggregates())
-    return result.unionByName(statistics.join(states, KEYS).select(*columns))
-
-
-def trend_stream(observations: DataFrame, windows: Windows = Windows()) -> DataFrame:
-    """The full trend record for a stream: ``append`` mode gives each window once, when it closes.
-
-    ``observations`` carries a watermark on ``ts`` with the grace as its delay.
-    """
-    grouped = (
-        keyed(observations)
-        .groupBy("key", F.window("ts", windows.trend).alias("window"))
-        .agg(*_aggregates(), sorted_values().alias("_values"))
-        .withColumn("_state", fold_values(F.col("_values")))
-    )
-    return grouped.select(
-        "key",
-        F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"),
-        *_statistics(),
-        *_fold_columns(),
-    )
+    statistics = rows.groupBy(*KEYS).agg(*_aggregates())
+    states = fold_groups(rows.repartition(*KEYS), KEYS)
+    return statistics.join(states, KEYS).select(*KEYS, *_statistics(), *state_columns())
 
 
 def too_high(trend: DataFrame) -> DataFrame:

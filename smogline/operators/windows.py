@@ -23,7 +23,6 @@ MICROS = {
     "microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
     "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000,
 }
-BLOCK_WINDOWS = 8  # a block of time holds this many window sizes
 
 
 def micros(duration: str) -> int:
@@ -37,51 +36,6 @@ def micros(duration: str) -> int:
     )
 
 
-def block_micros(size: str, slide: str) -> int:
-    """Length of a block: several window sizes, a multiple of the slide."""
-    step = micros(slide)
-    return -(-BLOCK_WINDOWS * micros(size) // step) * step
-
-
-def assign_blocks(rows: DataFrame, size: str, slide: str, ts: str = "ts") -> DataFrame:
-    """Add ``block``: each row once for every block of time that owns one of its windows.
-
-    A block owns the windows that start in it. Shuffling on (key, block) moves a
-    row about 1 + 1/16 times (at size = 2 slides), where shuffling on (key,
-    window) moves it size/slide times.
-    """
-    length, overlap = block_micros(size, slide), micros(size) - micros(slide)
-    instant = F.unix_micros(ts)
-    offset = F.pmod(instant, F.lit(length))
-    home = instant - offset
-    blocks = F.when(offset < overlap, F.array(home, home - length)).otherwise(F.array(home))
-    return rows.filter(F.col(ts).isNotNull()).withColumn("block", F.explode(blocks))
-
-
-def windows_of_block(rows: DataFrame, size: str, slide: str, ts: str = "ts") -> DataFrame:
-    """Add ``window_start`` and ``window_end`` for the windows the row's block owns.
-
-    ``explode`` keeps the partitioning of its input, which the expansion behind
-    ``F.window`` does not.
-    """
-    length, span, step = block_micros(size, slide), micros(size), micros(slide)
-    instant = F.unix_micros(ts)
-    latest = instant - F.pmod(instant, F.lit(step))
-    starts = F.array(*[latest - F.lit(i * step) for i in range(-(-span // step))])
-    start = F.col("_start")
-    return (
-        rows.withColumn("_start", F.explode(starts))
-        .filter((start > instant - span) & (start >= F.col("block")) & (start < F.col("block") + length))
-        .withColumns(
-            {
-                "window_start": F.timestamp_micros(start),
-                "window_end": F.timestamp_micros(start + F.lit(span)),
-            }
-        )
-        .drop("_start")
-    )
-
-
 def last_instant(window_end: Column) -> Column:
     """Event time of a window's result: the last microsecond that belongs to it."""
     return window_end - F.expr("INTERVAL '0.000001' SECOND")

@@ -20,7 +20,7 @@ from smogline.operators import trend as tr
 from smogline.params import Windows
 from smogline.plans import streams
 from smogline.session import prepare
-from smogline.sources.events import events, observations, readings, wire_a, wire_c
+from smogline.sources.events import events, observations, readings, wire_a, wire_b, wire_c
 
 DAYS = Windows(size="10 days", slide="5 days", area="60 hours", trend="2 days", grace="1 day",
                delay="1 day")
@@ -45,7 +45,8 @@ def _sensor_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _area_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return areas.area_trend(_sensor_windows(spark, sf_dir), DAYS)
+    flags = sw.sensor_windows(_readings(spark, sf_dir), DAYS, carry=())
+    return areas.area_trend(flags, DAYS)
 
 
 def _trend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +100,24 @@ def good_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.decode_positional(text, mode=decode.SKIP)
 
 
+def bad_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh message cut short, every ninth with a fraction in a whole number."""
+    wire = wire_b(_observations(spark, sf_dir)).select("key", "value", "seq")
+    value = F.col("value")
+    text = F.when(F.col("seq") % 7 == 0, F.left(value, F.lit(20))).when(
+        F.col("seq") % 9 == 0, F.regexp_replace(value, '"lon":([0-9]+)', '"lon":$1.5')
+    ).otherwise(value)
+    marked = decode.mark_json(wire.withColumn("value", text))
+    return decode.quarantine(marked, "seq").select("seq", F.length("value").alias("length"))
+
+
+def bad_store_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wire = wire_c(_observations(spark, sf_dir))
+    short = F.substring_index("value", ",", 4)
+    text = wire.withColumn("value", F.when(F.col("seq") % 10 == 7, short).otherwise(F.col("value")))
+    return decode.quarantine(decode.mark_store(text), "seq")
+
+
 # projections ----------------------------------------------------------------
 
 def area_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,6 +206,13 @@ def encode_trend_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_flat_pair(back), "avgPm2", "sumPm2", "temperatureFMax")
 
 
+def encode_trend_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text on the topic itself, of rounded numbers in plain notation."""
+    flat = rounded(_trend(spark, sf_dir), "avgPm2", "sumPm2", "temperatureFMax")
+    sent = records.encode_trend(flat.withColumn("pair", F.struct(F.lit(0.5).alias("first"))))
+    return sent.select("key", F.regexp_replace("value", r'"(avgPm2|sumPm2|maxPm2|temperature.Max)":[^,}]*', '"$1":0').alias("value"))
+
+
 # points and payloads --------------------------------------------------------
 
 def points_pollution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +265,14 @@ def map_sensor_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(layer, "avgPM2", "lat_deg", "lng_deg")
 
 
+def map_layer_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The map job end to end: wire A text without temperature and humidity to markers."""
+    text = wire_a(_observations(spark, sf_dir)).select("value", "ts", "seq")
+    windows = sw.sensor_windows(decode.decode_positional(text, climate=False), DAYS)
+    layer = maps.sensor_layer(points.map_sensors(windows, "window_end"))
+    return rounded(layer, "avgPM2", "lat_deg", "lng_deg")
+
+
 def map_area_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every sensor with a reading has a window, so sensors are counted on the readings."""
     area_points = points.map_areas(_area_trend(spark, sf_dir), "window_end")
@@ -286,15 +320,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         decode_positional, decode_json, decode_store_reading, bad_records, good_records,
+        bad_json_records, bad_store_records,
         area_grid, area_block, temp_fahrenheit,
         sensor_window_sliding, sensor_rise, sensor_flag, area_trend, area_alarms,
         alert_messages, alert_messages_above,
         trend_window, trend_fold, trend_too_high, area_running_count, alert_messages_updates,
-        encode_trend_json,
+        encode_trend_json, encode_trend_text,
         points_pollution, points_pollution_plain, points_sensor_data, points_area_trend,
         points_map_sensors, points_map_areas, raw_points, trend_points, store_payload,
         points_time_range,
-        map_sensor_layer, map_area_layer,
+        map_sensor_layer, map_layer_from_text, map_area_layer,
         sensor_rise_stream, area_trend_stream, trend_stream, area_running_count_stream,
         sensor_rise_closing, area_trend_closing, trend_closing,
     )

@@ -126,6 +126,13 @@ ORACLE: dict[str, str] = {
         FROM text WHERE seq % 10 IN (3, 5, 7, 9)""",
     "good_records": f"""WITH {READING} SELECT {POSITIONAL} FROM reading
         WHERE seq % 10 NOT IN (3, 5, 7, 9)""",
+    "bad_json_records": f"""WITH {OBS}, text AS (SELECT seq, lon, CAST(length(to_json({{
+          sensorId: sensorId, lon: lon, lat: lat, temperature: temperature, humidity: humidity,
+          pm2: pm2, measurement: measurement}})) AS INTEGER) AS n FROM obs)
+        SELECT seq, CASE WHEN seq % 7 = 0 THEN 20 ELSE n + 2 END AS length
+        FROM text WHERE seq % 7 = 0 OR seq % 9 = 0""",
+    "bad_store_records": f"""WITH {OBS} SELECT seq, '{{"id":' || sensorId || ',"measurement":pollution,"ts":'
+        || (epoch_us(ts) // 1000) || ',"lon":' || lon AS value FROM obs WHERE seq % 10 = 7""",
     "area_grid": f"""WITH {OBS} SELECT seq, lat, lon,
         '(' || ((lat - 1) // 25) || ',' || ((lon - 1) // 25) || ')' AS area FROM obs""",
     "area_block": f"""WITH {OBS} SELECT seq, lat, lon,
@@ -169,6 +176,13 @@ ORACLE: dict[str, str] = {
         FROM counted""",
     "encode_trend_json": f"""{TREND} SELECT key, window_start, window_end, tooHigh, tooHighCount,
         {STATS}, {PAIR} FROM trend""",
+    "encode_trend_text": f"""{TREND} SELECT
+        '{{"key":' || to_json(key) || ',"window_start":' || (epoch_us(window_start) // 1000)
+          || ',"window_end":' || (epoch_us(window_end) // 1000) || '}}' AS key,
+        '{{"sensorId":"' || sensorId || '","measurement":"' || measurement || '","tooHigh":' || tooHigh
+          || ',"tooHighCount":' || tooHighCount || ',"area":"' || area || '","avgPm2":0,"countUsecase":'
+          || countUsecase || ',"pair":{{"first":0.5}},"sumPm2":0,"maxPm2":0,"temperatureCMax":0,'
+          || '"temperatureFMax":0,"humidityMax":' || humidityMax || '}}' AS value FROM trend""",
     "points_pollution": f"""WITH {READING} SELECT 'Pollution' AS measurement, ts, id, area,
         lat AS latitude, lon AS longitude, pm2, humidity, tempC FROM reading""",
     "points_pollution_plain": f"""WITH {READING} SELECT 'Pollution' AS measurement, ts, id, area,
@@ -195,6 +209,11 @@ ORACLE: dict[str, str] = {
         round(47.063::DOUBLE + CAST(lat AS DOUBLE) * {_STEP_LAT}, 7) AS lat_deg,
         round(15.44::DOUBLE + CAST(lon AS DOUBLE) * {_STEP_LNG}, 7) AS lng_deg,
         CASE WHEN avgPM2 < 15 THEN 'green' ELSE 'red' END AS color FROM sw""",
+    "map_layer_from_text": f"""WITH {SENSOR} SELECT id, round(avgPM2, 7) AS avgPM2,
+        CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS long,
+        round(47.063::DOUBLE + CAST(lat AS DOUBLE) * {_STEP_LAT}, 7) AS lat_deg,
+        round(15.44::DOUBLE + CAST(lon AS DOUBLE) * {_STEP_LNG}, 7) AS lng_deg,
+        CASE WHEN avgPM2 < 15 THEN 'green' ELSE 'red' END AS color FROM sw""",
     "map_area_layer": f"""WITH {AREA}, k AS (
         SELECT (sqrt(count(DISTINCT id)) + 1) / 2 - 1 AS edge FROM sw),
         parts AS (
@@ -218,6 +237,6 @@ ORACLE: dict[str, str] = {
         WHERE tooHigh AND window_end <= {_CLOSED} GROUP BY area""",
 }
 
-# The form without window state gives the same closed windows.
+# Landed rows and the batch operators give the same closed windows.
 for _batch in ("sensor_rise", "area_trend", "trend"):
     ORACLE[f"{_batch}_closing"] = ORACLE[f"{_batch}_stream"]

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from smogline.params import Windows
 from smogline.session import scratch_path
 from smogline.sources.events import events_stream, observations, readings
-from smogline.streaming import jobs
-from smogline.streaming.closing import closing_query, detection_closings, trend_closings
+from smogline.streaming import jobs, ranges
 
 
 def detection_table(spark: SparkSession, sf_dir: str, windows: Windows, name: str) -> DataFrame:
@@ -29,13 +29,17 @@ def trend_table(spark: SparkSession, sf_dir: str, windows: Windows, name: str) -
 
 
 def closed_table(spark: SparkSession, sf_dir: str, windows: Windows, name: str) -> DataFrame:
-    """``sensor_window``, ``area_trend`` or ``trend`` from the form without window state."""
+    """``sensor_window``, ``area_trend`` or ``trend`` of the landed rows, up to where a stream would be.
+
+    The range ends where the latest row, less the lateness that is waited for, has closed windows.
+    """
     source = events_stream(spark, sf_dir)
+    rows, delay = (observations(source), windows.grace) if name == "trend" else (readings(source), windows.delay)
+    root = scratch_path(spark, "landed")
+    ranges.land(rows, f"{root}/rows", f"{root}/_checkpoint").awaitTermination()
+    table = spark.read.schema(f"{rows._jdf.schema().toDDL()}, date DATE").parquet(f"{root}/rows")
+    latest = table.agg(F.max("ts") - F.expr(f"INTERVAL {delay}")).first()[0]
     if name == "trend":
-        rows, closings, delay = observations(source), trend_closings(windows), windows.grace
-    else:
-        rows, closings, delay = readings(source), detection_closings(windows), windows.delay
-    root = scratch_path(spark, "closing")
-    wanted = [closing for closing in closings if closing.name == name]
-    closing_query(rows, root, wanted, delay).awaitTermination()
-    return spark.read.parquet(f"{root}/{name}").drop("batch_id")
+        return ranges.trend_of(table, None, latest, windows)
+    emitted = ranges.sensor_windows_of(table, None, latest, windows)
+    return emitted if name == "sensor_window" else ranges.area_trend_of(emitted, None, latest, windows)

@@ -15,10 +15,11 @@ from pyspark.sql.streaming.query import StreamingQuery
 from smogline.functions.decode import decode_store
 from smogline.operators import alerts, areas, points, records
 from smogline.operators.sensor_windows import sensor_windows_stream
-from smogline.operators.trend import too_high, trend_stream
+from smogline.operators.trend import too_high
 from smogline.params import AREAS, SENSORS, Windows
 from smogline.session import prepare
 from smogline.streaming.sinks import append_table, batch_table, jdbc_table, kafka_topic
+from smogline.streaming.stateful import trend_stream
 
 Stage = Callable[[dict | None], StreamingQuery]
 
@@ -92,8 +93,7 @@ def detection_stages(
 
 
 def trend_stages(
-    observations: DataFrame, root: str, windows: Windows = Windows(),
-    trend_of: Callable[[DataFrame, Windows], DataFrame] = trend_stream,
+    observations: DataFrame, root: str, windows: Windows = Windows()
 ) -> dict[str, Stage]:
     """Pipeline B on a stream of keyed observations: raw points, trend, running counts.
 
@@ -109,7 +109,7 @@ def trend_stages(
         return sink("pollutionRaw", points.raw(observations), "ts", trigger)
 
     def trend(trigger: dict | None = None) -> StreamingQuery:
-        result = trend_of(observations.withWatermark("ts", windows.grace), windows)
+        result = trend_stream(observations.withWatermark("ts", windows.grace), windows)
         return sink("trend", result, "window_end", trigger)
 
     def counts(trigger: dict | None = None) -> StreamingQuery:

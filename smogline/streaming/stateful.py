@@ -1,9 +1,9 @@
-"""The trend per message key with constant state per open window.
+"""The trend per message key on a stream, with constant state per open window.
 
-:func:`smogline.operators.trend.trend_stream` keeps the rows of an open window
-in the state store. The processor here folds rows as they arrive and keeps one
-accumulator per (key, open window), which is what a stream with many rows per
-key and window needs.
+The processor folds rows as they arrive and keeps one accumulator per (key, open
+window). Rows of a micro-batch come in Arrow batches; each batch is ordered and cut by
+window, columns are aggregated at once, and only the state machine runs value by
+value, in the one function the batch form runs too.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from smogline.functions.grid import block_area
-from smogline.operators.fold import STEP, UNSET_DOWN, UNSET_UP
+from smogline.operators.fold import FRESH, fold
 from smogline.operators.trend import FLOOR, keyed
 from smogline.params import Windows
 
@@ -26,8 +26,7 @@ _ACCUMULATOR = (
     "maxPm2 DOUBLE, temperatureCMax DOUBLE, temperatureFMax DOUBLE, humidityMax INT"
 )
 OUTPUT = f"key STRING, start_us BIGINT, end_us BIGINT, {_ACCUMULATOR}"
-_FRESH = (UNSET_UP, 0.0, UNSET_DOWN, False, 0, None, None, None, 0, 0.0,
-          float(FLOOR), float(FLOOR), float(FLOOR), FLOOR)
+_FRESH = (*FRESH, None, None, None, 0, 0.0, float(FLOOR), float(FLOOR), float(FLOOR), FLOOR)
 
 
 def _nested(fields: str) -> str:
@@ -35,31 +34,16 @@ def _nested(fields: str) -> str:
     return ", ".join(field.replace(" ", ": ", 1) for field in fields.split(", "))
 
 
-def _advance(state: tuple, row) -> tuple:
-    """One row into the accumulator; the state machine as in ``operators.fold``."""
-    first, second, third, high, raised = state[:5]
+def _advance(state: tuple, rows: pd.DataFrame) -> tuple:
+    """The ordered rows of one window into its accumulator."""
     count, total, top, celsius, fahrenheit, humidity = state[8:]
-    value = row.pm2
-    if first <= value:
-        if first == UNSET_UP:
-            first = 0.0
-        else:
-            first = (value - second) + first
-            if first >= STEP:
-                high, raised = True, raised + 1
-        second = value
-    elif third >= value:
-        if third == UNSET_DOWN:
-            third = 0.0
-        else:
-            third = (value - second) + third
-            high = high and not third >= STEP
-        second = value
+    last, warmest = rows.iloc[-1], float(rows["temperature"].max())
     return (
-        first, second, third, high, raised,
-        row.sensorId, row.measurement, row.area, count + 1, total + value,
-        max(top, value), max(celsius, row.temperature),
-        max(fahrenheit, row.temperature * 1.8 + 32.0), max(humidity, int(row.humidity)),
+        *fold(rows["pm2"].tolist(), state[:5]),
+        last["sensorId"], last["measurement"], last["area"],
+        count + len(rows), total + float(rows["pm2"].sum(skipna=False)),
+        max(top, float(rows["pm2"].max())), max(celsius, warmest),
+        max(fahrenheit, warmest * 1.8 + 32.0), max(humidity, int(rows["humidity"].max())),
     )
 
 
@@ -90,13 +74,13 @@ class TrendProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         closed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        batch = pd.concat(rows)
-        batch = batch[batch["end_us"] > closed_us].sort_values(["ts", "seq"])
-        windows = self._read()
-        for row in batch.itertuples(index=False):
-            bounds = (row.start_us, row.end_us)
-            windows[bounds] = _advance(windows.get(bounds, _FRESH), row)
-        if len(batch):
+        windows, changed = self._read(), False
+        for batch in rows:
+            batch = batch[batch["end_us"] > closed_us].sort_values(["ts", "seq"])
+            for bounds, own in batch.groupby(["start_us", "end_us"], sort=False):
+                bounds = (int(bounds[0]), int(bounds[1]))
+                windows[bounds], changed = _advance(windows.get(bounds, _FRESH), own), True
+        if changed:
             self._write(windows)
         yield pd.DataFrame()
 
@@ -112,11 +96,11 @@ class TrendProcessor(StatefulProcessor):
         pass
 
 
-def trend_stream_folded(observations: DataFrame, windows: Windows = Windows()) -> DataFrame:
+def trend_stream(observations: DataFrame, windows: Windows = Windows()) -> DataFrame:
     """The trend of a stream with a watermark on ``ts``; needs the RocksDB state store.
 
-    Rows of one micro-batch are folded in event-time order, later micro-batches
-    after earlier ones, so rows that come late count when they come.
+    Rows of one Arrow batch are folded in event-time order, later ones after earlier
+    ones, so rows that come late count when they come.
     """
     rows = keyed(observations).select(
         "key", "sensorId", "measurement", block_area(F.col("lon"), F.col("lat")).alias("area"),

@@ -11,7 +11,7 @@ from smogline.functions.geo import degree_steps
 from smogline.functions.grid import block_area, grid_area
 from smogline.functions.scalars import colour
 from smogline.operators import alerts, maps
-from smogline.operators.fold import fold_values
+from smogline.operators.fold import fold
 from smogline.operators.rise import rise_of_sorted
 from smogline.operators.sensor_windows import sensor_windows
 from smogline.operators.trend import trend
@@ -42,10 +42,9 @@ RISES = [
 
 
 @pytest.mark.parametrize("values,expected", FOLDS)
-def test_fold(spark, values, expected):
-    row = spark.createDataFrame([(values,)], "v array<double>").select(fold_values(F.col("v")).alias("s"))
-    state = row.first()["s"]
-    assert (state.tooHigh, state.tooHighCount, state.first, state.second, state.third) == expected
+def test_fold(values, expected):
+    first, second, third, high, count = fold(values)
+    assert (high, count, first, second, third) == expected
     assert plain.fold(values) == expected
 
 

@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import plain
-from smogline.operators import groups
 from smogline.operators.areas import area_count_updates, area_running_count
-from smogline.operators.fold import fold_values
+from smogline.operators.fold import fold
+from smogline.operators.panes import pane_micros
 from smogline.operators.rise import rise_of_sorted
 from smogline.operators.sensor_windows import sensor_statistics, sensor_windows
 from smogline.operators.trend import trend, trend_fold, trend_statistics
@@ -37,12 +37,12 @@ def series():
     return [random_series(rng) for _ in range(400)]
 
 
-def test_fold_on_random_series(spark, series):
-    frame = spark.createDataFrame(list(enumerate(series)), "i int, v array<double>")
-    for row in frame.select("i", fold_values(F.col("v")).alias("s")).collect():
-        s = row.s
-        got = (s.tooHigh, s.tooHighCount, s.first, s.second, s.third)
-        assert got == plain.fold(series[row.i]), series[row.i]
+def test_fold_on_random_series(series):
+    for values in series:
+        first, second, third, high, count = fold(values)
+        assert (high, count, first, second, third) == plain.fold(values), values
+        gaps = [x for v in values for x in (None, v, float("nan"))]
+        assert fold(gaps) == fold(values) == fold(values[3:], fold(values[:3]))
 
 
 def test_rise_on_random_series(spark, series):
@@ -95,10 +95,10 @@ def windows_by_hand(observations, size, slide):
 
 
 @pytest.mark.parametrize("windows", [Windows(), Windows("50 seconds", "20 seconds"), Windows("30 seconds", "30 seconds")])
-@pytest.mark.parametrize("limit", [groups.GROUP_ROWS, 300])
-def test_rise_whatever_the_group_size(spark, skewed, windows, limit):
+@pytest.mark.parametrize("pane", [None, "5 seconds"])
+def test_rise_with_one_sensor_of_a_third_of_all_rows(spark, skewed, windows, pane):
     expected = windows_by_hand(skewed, windows.size, windows.slide)
-    result = sensor_windows(as_readings(skewed), windows, limit).withColumn(
+    result = sensor_windows(as_readings(skewed), windows, pane=pane).withColumn(
         "us", F.unix_micros("window_start")).collect()
     assert len(result) == len(expected)
     for row in result:
@@ -108,10 +108,45 @@ def test_rise_whatever_the_group_size(spark, skewed, windows, limit):
         assert row.sumPM2 == pytest.approx(sum(values), abs=1e-6)
 
 
-@pytest.mark.parametrize("limit", [groups.GROUP_ROWS, 100])
-def test_fold_whatever_the_group_size(spark, skewed, limit):
+def test_panes_divide_the_windows():
+    assert pane_micros("50 seconds", "20 seconds") == 10_000_000
+    assert pane_micros("50 seconds", "20 seconds", "2 seconds") == 2_000_000
+    with pytest.raises(ValueError):
+        pane_micros("50 seconds", "20 seconds", "20 seconds")
+
+
+def jobs_of(spark, run):
+    """The number of Spark jobs that a call starts."""
+    group = f"counted-{id(run)}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_no_job_runs_while_a_plan_is_built(spark, skewed):
+    readings = as_readings(skewed)
+    assert jobs_of(spark, lambda: (sensor_windows(readings), trend(skewed), trend_fold(skewed))) == 0
+
+
+def test_as_many_jobs_for_one_large_group(spark, skewed):
+    one = skewed.withColumn("key", F.lit("k")).withColumn("ts", F.lit(START)).cache()
+    one.count()
+    few = one.where("seq < 50").cache()
+    few.count()
+    assert jobs_of(spark, trend_fold(one).collect) == jobs_of(spark, trend_fold(few).collect)
+
+
+@pytest.mark.parametrize("batch_rows", [10_000, 7])
+def test_fold_whatever_the_group_size(spark, skewed, batch_rows):
     expected = windows_by_hand(skewed, "60 seconds", "60 seconds")
-    result = trend_fold(skewed, limit=limit).withColumn("us", F.unix_micros("window_start")).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
+    try:
+        result = trend_fold(skewed).withColumn("us", F.unix_micros("window_start")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(result) == len(expected)
     for row in result:
         sensor = row.key.split(":")[1].rstrip("}")
@@ -124,17 +159,15 @@ def comparable(frame):
     return sorted(map(str, frame.withColumns(rounded).select(*sorted(frame.columns)).collect()))
 
 
-def test_trend_is_the_same_for_large_groups(spark, skewed):
-    whole, split = trend(skewed), trend(skewed, limit=100)
-    assert comparable(whole) == comparable(split)
-    statistics = trend_statistics(skewed)
+def test_trend_has_statistics_and_state(spark, skewed):
+    whole, statistics, state = trend(skewed), trend_statistics(skewed), trend_fold(skewed)
     assert comparable(whole.select(statistics.columns)) == comparable(statistics)
+    assert comparable(whole.select(state.columns)) == comparable(state)
 
 
 def test_statistics_agree_with_ranked_windows(spark, skewed):
-    readings = as_readings(skewed).withColumn("area", F.lit(None).cast("string"))
-    left = sensor_statistics(readings).drop("area")
-    right = sensor_windows(readings).select(left.columns)
+    left = sensor_statistics(as_readings(skewed))
+    right = sensor_windows(as_readings(skewed)).select(left.columns)
     assert comparable(left) == comparable(right)
 
 
@@ -143,23 +176,16 @@ def test_first_area_of_a_moving_sensor(spark):
     frame = spark.createDataFrame(
         rows, "id string, pm2 double, area string, lat string, lon string, tempC double, "
               "humidity double, ts timestamp, seq long")
-    # coordinates off the grid keep their label: -31 div 25 = -1, 249 div 25 = 9
-    assert {r.area for r in sensor_statistics(frame).collect()} == {"(-1,9)"}
+    # both take the area that the first reading carries
+    assert {r.area for r in sensor_statistics(frame).collect()} == {"(3,3)"}
     assert {r.area for r in sensor_windows(frame).collect()} == {"(3,3)"}
 
 
-def test_pieces_rank_like_one_task(spark, skewed):
-    keys, order = ["sensorId"], ["ts", "seq"]
-    whole = groups.rank_in_task(skewed, keys, order).select("seq", "rank", "n")
-    pieces = groups.rank_in_pieces(skewed, keys, order, 7).select("seq", "rank", "n")
-    assert sorted(whole.collect()) == sorted(pieces.collect())
-
-
-def test_split_finds_the_large_group(spark, skewed):
-    ordinary, large, total = groups.split_by_size(skewed, ["sensorId"], 1000)
-    assert {r.sensorId for r in large.select("sensorId").distinct().collect()} == {"0"}
-    assert total == large.count() == 2400 and ordinary.count() == 3600
-    assert groups.split_by_size(skewed, ["sensorId"], 5000)[1] is None
+def test_windows_without_climate_and_labels(spark, skewed):
+    whole = sensor_windows(as_readings(skewed))
+    bare = sensor_windows(as_readings(skewed).drop("tempC", "humidity"), carry=())
+    assert not {"tempC", "tempF", "humidity", "lat"} & set(bare.columns)
+    assert comparable(bare) == comparable(whole.select(bare.columns))
 
 
 def test_every_count_is_listed_once(spark):

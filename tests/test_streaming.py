@@ -10,14 +10,12 @@ from smogline.functions import decode
 from smogline.operators import alerts
 from smogline.operators.areas import area_running_count, area_trend
 from smogline.operators.sensor_windows import sensor_windows
-from smogline.operators.trend import too_high, trend, trend_stream
+from smogline.operators.trend import too_high, trend
 from smogline.params import Windows
 from smogline.sources import streams
 from smogline.sources.events import events, observations, readings, wire_a, wire_b
-from smogline.streaming import jobs
-from smogline.streaming.closing import closing_query, detection_closings, trend_closings
+from smogline.streaming import jobs, ranges
 from smogline.streaming.sinks import append_table, batch_table, jdbc_writer
-from smogline.streaming.stateful import trend_stream_folded
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 DAYS = Windows("10 days", "5 days", "60 hours", "2 days", "1 day", "1 day")
@@ -47,15 +45,14 @@ def message(spark, *seconds, pm2=None):
     return spark.createDataFrame(rows, "key string, value string, ts timestamp, seq long")
 
 
-@pytest.mark.parametrize("trend_of", [trend_stream, trend_stream_folded])
-def test_late_rows(spark, tmp_path, trend_of):
+def test_late_rows(spark, tmp_path):
     landing = Landing(spark, tmp_path / "in")
     os.makedirs(landing.path)
     for seconds in ([0, 30, 59], [65], [58], [71], [57], [200]):
         # run up to each file: a window closes in the batch after the one that moved the watermark
         landing.land(message(spark, *seconds))
         stages = jobs.trend_stages(
-            decode.decode_json(landing.stream()), str(tmp_path / "out"), trend_of=trend_of)
+            decode.decode_json(landing.stream()), str(tmp_path / "out"))
         jobs.run_available({"trend": stages["trend"]})
     rows = spark.read.parquet(str(tmp_path / "out/trend")).orderBy("window_start").collect()
     # 58 came within the grace, 57 after the window had closed
@@ -63,18 +60,14 @@ def test_late_rows(spark, tmp_path, trend_of):
     assert rows[0].area == "Area [0, 0]" and rows[0].tooHigh
 
 
-def test_folded_stream_counts_a_late_row_when_it_comes(spark, tmp_path):
+def test_a_late_row_counts_when_it_comes(spark, tmp_path):
     landing = Landing(spark, tmp_path / "in")
     os.makedirs(landing.path)
     for seconds in ([10], [30], [20], [200]):
         landing.land(message(spark, *seconds))
-    for name, form in (("sorted", trend_stream), ("folded", trend_stream_folded)):
-        stages = jobs.trend_stages(
-            decode.decode_json(landing.stream()), str(tmp_path / name), trend_of=form)
-        jobs.run_available({"trend": stages["trend"]})
-    ordered, arrived = (
-        spark.read.parquet(str(tmp_path / name / "trend")).first().pair for name in ("sorted", "folded"))
-    assert (ordered.first, ordered.second) == (20.0, 30.0)  # 10, 20, 30
+    stages = jobs.trend_stages(decode.decode_json(landing.stream()), str(tmp_path / "out"))
+    jobs.run_available({"trend": stages["trend"]})
+    arrived = spark.read.parquet(str(tmp_path / "out/trend")).first().pair
     assert (arrived.first, arrived.second) == (10.0, 20.0)  # 10, 30, 20
 
 
@@ -100,21 +93,16 @@ def landed(spark, small, tmp_path_factory):
 
 
 def test_trend_job_equals_batch(spark, small, landed, tmp_path):
-    source = decode.decode_json(landed.stream())
-    results = {}
-    for name, form in (("rows", trend_stream), ("folded", trend_stream_folded)):
-        root = str(tmp_path / name)
-        jobs.run_available(jobs.trend_stages(source, root, DAYS, form))
-        results[name] = root
+    root = str(tmp_path)
+    jobs.run_available(jobs.trend_stages(decode.decode_json(landed.stream()), root, DAYS))
     last = events(spark, small).agg(F.max("ts")).first()[0] - dt.timedelta(days=1)
     batch = closed(trend(observations(events(spark, small)), DAYS), "window_end", last)
-    for root in results.values():
-        assert rows_of(spark.read.parquet(f"{root}/trend")) == rows_of(batch)
-        counts = spark.read.parquet(f"{root}/area_count").groupBy("area").agg(F.max("count").alias("count"))
-        assert rows_of(counts) == rows_of(area_running_count(too_high(batch)))
-        assert spark.read.parquet(f"{root}/pollutionRaw").count() == 1000
-        flat = spark.read.parquet(f"{root}/pollution")
-        assert flat.count() == batch.count() and "pair" not in flat.columns
+    assert rows_of(spark.read.parquet(f"{root}/trend")) == rows_of(batch)
+    counts = spark.read.parquet(f"{root}/area_count").groupBy("area").agg(F.max("count").alias("count"))
+    assert rows_of(counts) == rows_of(area_running_count(too_high(batch)))
+    assert spark.read.parquet(f"{root}/pollutionRaw").count() == 1000
+    flat = spark.read.parquet(f"{root}/pollution")
+    assert flat.count() == batch.count() and "pair" not in flat.columns
 
 
 def test_detection_job_equals_batch(spark, small, tmp_path):
@@ -141,16 +129,14 @@ def test_detection_job_equals_batch(spark, small, tmp_path):
     assert rows_of(read("alerts")) == rows_of(alerts.area_messages(areas, alerts.BOTH, 640))
 
 
-@pytest.mark.parametrize("trend_of", [trend_stream, trend_stream_folded])
-def test_restart_goes_on_from_the_checkpoint(spark, small, tmp_path, trend_of):
+def test_restart_goes_on_from_the_checkpoint(spark, small, tmp_path):
     landing = Landing(spark, tmp_path / "in")
     os.makedirs(landing.path)
     rows = wire_b(observations(events(spark, small)))
     once, twice = str(tmp_path / "once"), str(tmp_path / "twice")
 
     def run(root):
-        jobs.run_available(
-            jobs.trend_stages(decode.decode_json(landing.stream()), root, DAYS, trend_of))
+        jobs.run_available(jobs.trend_stages(decode.decode_json(landing.stream()), root, DAYS))
 
     landing.land(rows.filter("dayofmonth(ts) <= 13"))
     run(twice)
@@ -210,56 +196,40 @@ def test_jdbc_writer_needs_the_payload_column(spark):
         jdbc_writer("jdbc:none", "t")(spark.range(1), 0)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 60])
-def test_closing_windows_equal_batch(spark, small, landed, tmp_path, limit):
-    """Windows computed from the table of rows, with and without groups too large for one task."""
-    source = decode.decode_json(landed.stream())
-    root = str(tmp_path / "trend")
-    closing_query(source, root, trend_closings(DAYS, 5 if limit == 60 else limit), "1 day").awaitTermination()
+def test_ranges_of_a_landed_table_equal_batch(spark, small, landed, tmp_path):
+    """Two ranges one after the other give what the batch operators give over all rows."""
+    root = str(tmp_path)
+    ranges.land(decode.decode_json(landed.stream()).select("*"), f"{root}/rows", f"{root}/cp").awaitTermination()
+    table = spark.read.parquet(f"{root}/rows")
     rows = observations(events(spark, small))
-    last = events(spark, small).agg(F.max("ts")).first()[0] - dt.timedelta(days=1)
-    expected = closed(trend(rows, DAYS), "window_end", last)
-    assert rows_of(spark.read.parquet(f"{root}/trend"), "batch_id") == rows_of(expected)
-
-    root = str(tmp_path / "detection")
-    text = decode.decode_positional(wire_a_stream(spark, small, tmp_path)).drop("key")
-    closing_query(text, root, detection_closings(DAYS, limit), "1 day").awaitTermination()
-    windows = closed(sensor_windows(readings(events(spark, small)), DAYS), "window_end", last)
-    areas = closed(area_trend(windows, DAYS), "window_end", last)
-    read = lambda name: spark.read.parquet(f"{root}/{name}").drop("batch_id")
-    assert rows_of(read("sensor_window")) == rows_of(windows)
-    assert rows_of(read("area_trend")) == rows_of(areas)
-
-
-def wire_a_stream(spark, small, tmp_path):
-    landing = Landing(spark, tmp_path / "wire_a")
-    os.makedirs(landing.path)
-    rows = wire_a(observations(events(spark, small)))
-    for first, last in ((0, 6), (6, 12), (12, 31)):
-        landing.land(rows.filter((F.dayofmonth("ts") > first) & (F.dayofmonth("ts") <= last)))
-    return landing.stream()
-
-
-def test_closing_windows_and_late_rows(spark, tmp_path):
-    landing = Landing(spark, tmp_path / "in")
-    os.makedirs(landing.path)
-    for seconds in ([0, 30, 59], [65], [58], [71], [57], [200], [5000], [5001]):
-        landing.land(message(spark, *seconds))
-    root = str(tmp_path / "out")
-    closing_query(decode.decode_json(landing.stream()), root, trend_closings(), "10 seconds").awaitTermination()
-    rows = spark.read.parquet(f"{root}/trend").orderBy("window_start").collect()
-    assert [(r.countUsecase, r.sumPm2) for r in rows] == [(4, 147.0), (2, 136.0), (1, 200.0)]
-
-
-def test_closing_windows_after_a_restart(spark, tmp_path):
-    landing = Landing(spark, tmp_path / "in")
-    os.makedirs(landing.path)
-    root = str(tmp_path / "out")
-    for seconds in ([0, 30], [59, 65], [150], [151]):
-        landing.land(message(spark, *seconds))
-        closing_query(decode.decode_json(landing.stream()), root, trend_closings(), "10 seconds").awaitTermination()
-    rows = spark.read.parquet(f"{root}/trend").orderBy("window_start").collect()
-    assert [(r.countUsecase, r.sumPm2) for r in rows] == [(3, 89.0), (1, 65.0)]
+    last = rows.agg(F.max("ts")).first()[0]
+    middle = last - dt.timedelta(days=11)
+    parts = [ranges.trend_of(table, None, middle, DAYS), ranges.trend_of(table, middle, last, DAYS)]
+    assert all(p.count() for p in parts)
+    assert rows_of(parts[0].union(parts[1])) == rows_of(closed(trend(rows, DAYS), "window_end", last))
+    assert "PartitionFilters: [isnotnull(date" in parts[1]._jdf.queryExecution().executedPlan().toString()
+
+
+def reading_rows(spark, *seconds):
+    rows = [(s % 2 * 20.0 + s, "(0,0)", "1", "1", START + dt.timedelta(seconds=s), i) for i, s in enumerate(seconds)]
+    frame = spark.createDataFrame(rows, "pm2 double, area string, lat string, lon string, ts timestamp, seq long")
+    return frame.selectExpr("'s' as id", "*", "1.0D as tempC", "1.0D as humidity", "to_date(ts) as date")
+
+
+@pytest.mark.parametrize("windows", [Windows("50 seconds", "20 seconds", "20 seconds"), Windows("60 seconds", "30 seconds", "120 seconds")])
+def test_area_results_are_sums_of_emitted_windows(spark, windows):
+    """Window ends that are no multiple of the slide, and a row that comes after others of its window."""
+    table = reading_rows(spark, 1, 45, 55, 65, 70, 55, 200, 201, 300)
+    ends = [START + dt.timedelta(seconds=s) for s in (50, 60, 110, 260)]
+    emitted = None
+    for lower, upper in zip([None, *ends], ends):
+        part = ranges.sensor_windows_of(table, lower, upper, windows)
+        emitted = part if emitted is None else emitted.union(part)
+    whole = closed(sensor_windows(table.drop("date"), windows), "window_end", ends[-1])
+    assert rows_of(emitted) == rows_of(whole)
+    found = ranges.area_trend_of(emitted, None, START + dt.timedelta(seconds=1000), windows)
+    flags = emitted.agg(F.sum(F.col("pm2tooHigh").cast("int"))).first()[0]
+    assert found.agg(F.sum("sensorsReportingTrend")).first()[0] == flags
 
 
 def test_kafka_is_asked_for(spark, tmp_path):
