@@ -1,4 +1,4 @@
-"""Registered queries of this subpackage, each over its whole table, and their SQL."""
+"""Registered queries of this subpackage, each over its whole table."""
 
 from __future__ import annotations
 
@@ -120,14 +120,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_personal_data": op9_personal_data,
     "op10_token_files": op10_token_files,
 }
-
-_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-
-ORACLE: dict[str, str] = {
-    "op3_exact_dedup": f"""
-        WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
-        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-               doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
-        FROM d WINDOW same AS (PARTITION BY t)
-    """,
-}
