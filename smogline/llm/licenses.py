@@ -71,7 +71,8 @@ TEMPLATES = {
 
 def templates(spark: SparkSession) -> DataFrame:
     """(name, text)"""
-    return spark.createDataFrame(list(TEMPLATES.items()), "name string, text string")
+    rows = [F.struct(F.lit(n).alias("name"), F.lit(t).alias("text")) for n, t in TEMPLATES.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def _words(text: Column) -> Column:
@@ -113,9 +114,10 @@ def scan(
     text = F.coalesce(F.col("text"), F.lit(""))
     passages = F.array_distinct(F.concat(F.split(text, r"\n"), F.split(text, r"\n[ \t\r]*\n")))
     parts = rows.select("row", F.posexplode(passages).alias("place", "part")).where("part != ''")
-    words = parts.select("row", "place", _words(F.col("part")).alias("words"))
+    # behind a generator, as the filter on the size would else be worked out below, word by word
+    words = parts.select("row", "place", F.explode(F.array(_words(F.col("part")))).alias("words"))
     reach = (2 - threshold) / threshold  # sizes further apart than this cannot be similar enough
-    sets = words.select("row", "place", _bigrams(F.col("words")).alias("b")).where(
+    sets = words.select("row", "place", F.explode(F.array(_bigrams(F.col("words")))).alias("b")).where(
         F.size("b").between(sizes.least / reach, sizes.most * reach)
     )
     pairs = sets.select("row", "place", F.size("b").alias("n"), F.explode("b").alias("bigram")).join(
