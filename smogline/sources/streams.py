@@ -20,15 +20,16 @@ def _kafka(spark: SparkSession, servers: str, topic: str, starting: str, options
 
 
 def from_kafka_frame(frame: DataFrame) -> DataFrame:
-    """Key and value as text, record time as event time, offset as arrival sequence.
+    """Key and value as text, record time as event time, partition and offset as arrival sequence.
 
-    A key always lands in the same topic partition, so offsets order its rows.
+    A key always lands in the same topic partition, so offsets order its rows. Records without
+    a key are spread over partitions; the partition in the upper 15 bits keeps (ts, seq) unique.
     """
     return frame.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         F.col("timestamp").alias("ts"),
-        F.col("offset").alias("seq"),
+        (F.shiftleft(F.col("partition").cast("long"), 48) + F.col("offset")).alias("seq"),
     )
 
 

@@ -184,11 +184,13 @@ def test_json_files_as_source(spark, tmp_path):
 def test_kafka_frame_contract(spark):
     """No Kafka package here: only the shape of its frame can be checked."""
     frame = spark.createDataFrame(
-        [(bytearray(b'{"sensor":1}'), bytearray(b"{}"), "t", 0, 17, START, 0)],
+        [(bytearray(b'{"sensor":1}'), bytearray(b"{}"), "t", 0, 17, START, 0),
+         (None, bytearray(b"{}"), "t", 3, 17, START, 0)],
         "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int")
     shaped = streams.from_kafka_frame(frame)
     assert shaped.dtypes == [("key", "string"), ("value", "string"), ("ts", "timestamp"), ("seq", "bigint")]
-    assert (shaped.first().key, shaped.first().seq) == ('{"sensor":1}', 17)
+    assert [(r.key, r.seq) for r in shaped.orderBy("seq").collect()] == [
+        ('{"sensor":1}', 17), (None, 3 * 2**48 + 17)]  # the same offset of two partitions
 
 
 def test_jdbc_writer_needs_the_payload_column(spark):
