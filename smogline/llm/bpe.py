@@ -28,7 +28,7 @@ import json
 import re
 from array import array
 from functools import lru_cache
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,12 +46,13 @@ _RUNS = {
     "letter": regex.compile(r"\p{L}*"), "number": regex.compile(r"\p{N}*"),
     "space": regex.compile(rf"[{_WS}]*"), "other": regex.compile(rf"[^{_WS}\p{{L}}\p{{N}}]*"),
 }
-#: Texts of these characters only, and the same pattern for them, in a faster library.
-_PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ɏ]*")
+#: The same pattern for ASCII texts and texts of these characters, in a faster library.
+_PLAIN = re.compile(r"[\x00-~À-ÖØ-öø-ɏ]*")
 _PLAIN_PIECE = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9À-ÖØ-öø-ɏ]+"
+    r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 )
-_CACHED = 1 << 19
+_CACHED = 1 << 18
 _LONG = 256
 _BLOCK = 1 << 16
 
@@ -298,7 +299,30 @@ class StreamEncoder:
 
 def split_pieces(text: str) -> list[str]:
     """The pieces of a text without special tokens. Each is encoded as it is on its own."""
-    return (_PLAIN_PIECE if _PLAIN.fullmatch(text) else _PIECE).findall(text)
+    return (_PLAIN_PIECE if text.isascii() or _PLAIN.fullmatch(text) else _PIECE).findall(text)
+
+
+class PieceCache:
+    """The ids of pieces, in two generations of bounded size; what is asked for again stays."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old = most, {}, {}
+
+    def join(self, pieces: list[str], encode: Callable[[list[str]], list[bytes]]) -> bytes:
+        """The ids of all pieces, one after the other; ``encode`` is asked for those not known."""
+        young, old = self.young, self.old
+        new = set(pieces).difference(young)
+        if new:
+            young.update([(p, old[p]) for p in new if p in old])
+            asked = [p for p in new if p not in young]
+            young.update(zip(asked, encode(asked)))
+        ids = b"".join(map(young.__getitem__, pieces))
+        for piece in new:
+            if len(piece) > _LONG:
+                del young[piece]
+        if len(young) >= self.most:
+            self.young, self.old = {}, young
+        return ids
 
 
 class Encoder:
@@ -306,29 +330,22 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict[str, bytes] = {}
+        self.known = PieceCache(_CACHED)
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, self.vocabulary.dtype)
         if any(special in text for special in self.vocabulary.special):
             return self._streamed(text)
-        pieces = split_pieces(text)
-        ids = list(map(self.known.get, pieces))
-        if None in ids:
-            ids = [self._piece(piece) if known is None else known for piece, known in zip(pieces, ids)]
-        return np.frombuffer(b"".join(ids), self.vocabulary.dtype)
-
-    def _piece(self, piece: str) -> bytes:
-        if len(piece) > _LONG:
-            return self._streamed(piece).tobytes()
-        ids = self.known.get(piece)
-        if ids is None:
-            ids = array(self.vocabulary.code, self.vocabulary.encode_piece(piece.encode())).tobytes()
-            if len(self.known) >= _CACHED:
-                self.known.clear()
-            self.known[piece] = ids
-        return ids
+        return np.frombuffer(self.known.join(split_pieces(text), self._pieces), self.vocabulary.dtype)
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        one, code = self.vocabulary.encode_piece, self.vocabulary.code
+        return [
+            array(code, one(piece.encode())).tobytes() if len(piece) <= _LONG
+            else self._streamed(piece).tobytes()
+            for piece in pieces
+        ]
 
     def _streamed(self, text: str) -> np.ndarray:
         stream, parts = StreamEncoder(self.vocabulary), []

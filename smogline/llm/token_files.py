@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from smogline.llm.bpe import split_pieces
+from smogline.llm.bpe import PieceCache, split_pieces
 from smogline.llm.elias_fano import EliasFano
 
 _MAGIC = b"EFTOKEN1"
@@ -59,23 +59,14 @@ class LibraryEncoder:
         self.special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype(self.code)
-        self.known: dict[str, bytes] = {}
+        self.known = PieceCache(_CACHED)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if any(special in text for special in self.special):
             return self._asked([text])[0]
-        pieces = split_pieces(text)
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            new = list({w for w, x in zip(pieces, found) if x is None})
-            fresh = dict(zip(new, self._asked(new)))
-            found = [fresh[w] if x is None else x for w, x in zip(pieces, found)]
-            if len(self.known) >= _CACHED:
-                self.known.clear()
-            self.known.update((w, x) for w, x in fresh.items() if len(w) < 64)
-        return b"".join(found)
+        return self.known.join(split_pieces(text), self._asked)
 
     def _asked(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -148,7 +139,7 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     end_id: int = 2,
-    part_bytes: int = 32 << 20,
+    part_bytes: int = 16 << 20,
     shard_ids: int = 2 << 20,
 ) -> None:
     """Encode every text and write the files to the folder ``path``, which must be new."""
