@@ -7,16 +7,18 @@ spelt out, numbers grouped in other ways, telephone numbers without a country).
 Gradient-boosted trees score candidates by format (length, digits, separators, kinds of
 characters) and context (what stands before and after, telling words). They are fitted on matches of
 the base patterns: those that pass the checks against those that do not; the outcome of a check is
-no input. A quarter of that sample is not fitted on and gives, for each kind, the lowest threshold
-at which ``precision`` of what is selected passes the checks. Candidates above it are added,
-unless they overlap a base span or an added one that starts earlier.
+no input. They are fitted on different matches (with what stands around them), an equal share of
+``fit_candidates`` for each kind and outcome, a quarter of them left out. All matches of the base
+patterns that were not fitted on give, for each kind, the lowest threshold at which ``precision`` of
+what is selected passes the checks. Candidates above it are added, unless they overlap a base span
+or an added one that starts earlier.
 
 Texts are read once. Places follow from the lengths of matches and of the texts between them, by
 sums over the matches of one document.
 
 Defined cases: null texts are empty; rows of one id are documents of their own; a table without
-candidates, or without both outcomes of the checks, has base spans only; empty tables give empty
-results. Places count code points, ends are exclusive.
+candidates, or without both outcomes of the checks among the matches to fit on, has base spans only,
+and so has a kind without a match of its base pattern; empty tables give empty results. Places count code points, ends are exclusive.
 """
 
 from __future__ import annotations
@@ -125,30 +127,40 @@ def _features(rows: DataFrame) -> tuple[DataFrame, list[str]]:
 
 def added_spans(found: DataFrame, fit_candidates: int = 4000, precision: float = 0.97, trees: int = 8) -> DataFrame | None:
     """(row, kind, start, end): candidates besides the base spans that the trees select."""
-    spark = found.sparkSession
-    rest = found.where("not strict or not base")
-    sample = stored(
-        found.where("strict").withColumn("order", F.xxhash64("match", "before", "after"))
-        .orderBy("order", "row", "start").limit(fit_candidates), "sample",
+    share = max(fit_candidates // (2 * len(KINDS)), 1)  # of each kind and outcome
+    identity = F.xxhash64("kind", "match", "before", "after")
+    strict = found.where("strict").withColumn("order", identity)
+    counts = strict.groupBy("kind", "base").agg(F.approx_count_distinct("order").alias("n")).collect()  # at most 8 rows
+    if len({r.base for r in counts}) < 2:
+        return None
+    # so many of the smallest hashes that a share of different matches is among them, whatever the error of the count
+    few = F.lit(False)
+    for r in counts:
+        cut = int(min(1.0, 4 * share / r.n) * 2**53)
+        few = few | ((F.col("kind") == r.kind) & (F.col("base") == r.base) & (F.shiftrightunsigned("order", 11) < cut))
+    place = F.row_number().over(Window.partitionBy("kind", "base").orderBy("order", "match", "before", "after"))
+    sample = (
+        strict.where(few).select("kind", "base", "order", "match", "before", "after").distinct()
+        .withColumn("place", place).where(F.col("place") <= share)
     )
-    outcomes = {r.base for r in sample.select("base").distinct().collect()}
-    if len(outcomes) < 2:
+    # the first of four is not fitted on, so a kind of one match has a threshold
+    fitted = stored(sample.where(F.col("place") % 4 != 1), "fitted")
+    if fitted.select("base").distinct().count() < 2:
         return None
-    rows, names = _features(sample.withColumn("label", F.col("base").cast("double")))
+    rows, names = _features(fitted.withColumn("label", F.col("base").cast("double")))
     vectors = VectorAssembler(inputCols=names, outputCol="features")
-    rows = vectors.transform(rows)
-    tuned = F.pmod("order", F.lit(4)) == 0
-    model = GBTClassifier(maxIter=trees, maxDepth=3, stepSize=0.3, seed=1, maxBins=32).fit(rows.where(~tuned))
-    chance = vector_to_array("probability")[1]
-    levels = F.floor(chance * 50)
+    model = GBTClassifier(maxIter=trees, maxDepth=3, stepSize=0.3, seed=1, maxBins=32).fit(vectors.transform(rows))
+    level = F.floor(vector_to_array("probability")[1] * 50)
+    scored = model.transform(vectors.transform(_features(found)[0]))
+    scored = stored(scored.select("row", "kind", "start", "end", "strict", "base", identity.alias("order"), level.alias("level")), "scored")
     by_level = (
-        model.transform(rows.where(tuned)).groupBy("kind", levels.alias("level"))
-        .agg(F.count("*").alias("n"), F.sum("label").alias("right")).collect()  # at most 4 * 51 rows
+        scored.where("strict").join(F.broadcast(fitted.select("order")), "order", "left_anti").groupBy("kind", "level")
+        .agg(F.count("*").alias("n"), F.sum(F.col("base").cast("long")).alias("right")).collect()  # at most 4 * 51 rows
     )
     limits = {k: _limit([(r.level, r.n, r.right) for r in by_level if r.kind == k], precision) for k in range(len(KINDS))}
     limit = F.element_at(F.array(*[F.lit(limits[k]) for k in range(len(KINDS))]), F.col("kind") + 1)
-    scored = model.transform(vectors.transform(_features(rest)[0]))
-    taken = scored.where(levels >= limit).select("row", "kind", "start", "end", F.lit(False).alias("fixed"))
+    taken = scored.where((~F.col("strict") | ~F.col("base")) & (F.col("level") >= limit))
+    taken = taken.select("row", "kind", "start", "end", F.lit(False).alias("fixed"))
     taken = stored(taken, "taken")
     fixed = found.where("base").select("row", "kind", "start", "end", F.lit(True).alias("fixed"))
     near = fixed.join(taken.select("row").distinct(), "row", "left_semi").unionByName(taken.distinct())

@@ -79,6 +79,26 @@ def test_threshold():
     assert pii._limit([(50, 10, 1)], 0.9) == 51 and pii._limit([], 0.9) == 51
 
 
+def test_rare_kinds_keep_their_thresholds(spark):
+    # one address among numbers that fill any sample of the smallest hashes, and copies of it spelt out
+    r = random.Random(3)
+    rows = [(i, " ; ".join(str(r.randint(10, 10**9)) for _ in range(100))) for i in range(100)]
+    rows += [(i, f"mail joe.doe{i}@example.org now") for i in range(100, 104)]
+    rows += [(i, "call +1 (555) 123-4567 now") for i in range(104, 110)]
+    rows += [(200, "mail joe.doe (at) example.org now")]
+    got = {i: (b, a) for i, b, a in bases(spark, rows, fit_candidates=400)}
+    assert all(got[i][0] == brute(t) for i, t in rows)
+    assert got[200] == ([], [(5, 0, 29)])
+
+
+def test_copies_share_one_place_of_the_sample(spark):
+    # 500 copies of one number leave room for the other matches, and a kind of one match has a threshold
+    rows = [(i, "order 12 34") for i in range(500)] + [(500 + i, f"call +1 (555) 123-45{i:02d} now") for i in range(40)]
+    rows += [(600 + i, f"order {i + 100}") for i in range(40)] + [(700, "seen at 10.0.0.1 ok"), (701, "seen at 10[.]0.0.1 ok")]
+    got = {i: a for i, _, a in bases(spark, rows, fit_candidates=160)}
+    assert got[701] == [(8, 1, 18)]
+
+
 def test_added_by_format(spark):
     r = random.Random(1)
     rows = [(i, f"call {r.choice(['+1 (555) 123-45%02d' % r.randint(0, 99), 'x 12 34'])} now") for i in range(300)]
