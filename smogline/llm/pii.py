@@ -11,7 +11,7 @@ no input. They are fitted on different matches (with what stands around them), a
 ``fit_candidates`` for each kind and outcome, a quarter of them left out. All matches of the base
 patterns that were not fitted on give, for each kind, the lowest threshold at which ``precision`` of
 what is selected passes the checks. Candidates above it are added, unless they overlap a base span
-or an added one that starts earlier.
+or an added one that starts earlier; one that is not added hides no other.
 
 Texts are read once. Places follow from the lengths of matches and of the texts between them, by
 sums over the matches of one document.
@@ -160,20 +160,57 @@ def added_spans(found: DataFrame, fit_candidates: int = 4000, precision: float =
     limits = {k: _limit([(r.level, r.n, r.right) for r in by_level if r.kind == k], precision) for k in range(len(KINDS))}
     limit = F.element_at(F.array(*[F.lit(limits[k]) for k in range(len(KINDS))]), F.col("kind") + 1)
     taken = scored.where((~F.col("strict") | ~F.col("base")) & (F.col("level") >= limit))
-    taken = taken.select("row", "kind", "start", "end", F.lit(False).alias("fixed"))
-    taken = stored(taken, "taken")
-    fixed = found.where("base").select("row", "kind", "start", "end", F.lit(True).alias("fixed"))
-    near = fixed.join(taken.select("row").distinct(), "row", "left_semi").unionByName(taken.distinct())
+    taken = stored(taken.select("row", "kind", "start", "end"), "taken")
+    return free_spans(found.where("base").select("row", "kind", "start", "end"), taken)
+
+
+def free_spans(base: DataFrame, taken: DataFrame) -> DataFrame:
+    """(row, kind, start, end): spans of ``taken`` that overlap neither a base span nor a kept one that starts earlier.
+
+    Of spans with one start the longest counts as the earliest. A span that is dropped hides no other.
+    """
+    fixed = base.join(taken.select("row").distinct(), "row", "left_semi").withColumn("fixed", F.lit(True))
+    near = fixed.unionByName(taken.distinct().withColumn("fixed", F.lit(False)))
     order = Window.partitionBy("row").orderBy("start", F.desc("fixed"), F.desc("end"), "kind")
-    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
-    free = near.select(
-        "*", F.max("end").over(before).alias("reached"),
-        F.min(F.when(F.col("fixed"), F.col("start"))).over(after).alias("next"),
+    # the same order backwards, as a frame up to the last row is gone through again for every row
+    back = Window.partitionBy("row").orderBy(F.desc("start"), "fixed", "end", F.desc("kind"))
+    earlier = (Window.unboundedPreceding, -1)
+    clear = near.select(
+        "*", F.max(F.when(F.col("fixed"), F.col("end"))).over(order.rowsBetween(*earlier)).alias("reached"),
+        F.min(F.when(F.col("fixed"), F.col("start"))).over(back.rowsBetween(*earlier)).alias("next"),
     ).where(
         ~F.col("fixed") & (F.coalesce("reached", F.lit(0)) <= F.col("start"))
         & (F.col("next").isNull() | (F.col("next") >= F.col("end")))
+    ).select("row", "kind", "start", "end")
+    # runs of candidates that overlap; none of a run overlaps any of another
+    order = Window.partitionBy("row").orderBy("start", F.desc("end"), "kind")
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = clear.withColumn("opens", (F.coalesce(reached, F.lit(0)) <= F.col("start")).cast("long"))
+    runs = runs.withColumn("run", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    span = F.struct("start", (-F.col("end")).alias("back"), "kind", "end")
+    return (
+        runs.groupBy("row", "run").agg(F.sort_array(F.collect_list(span)).alias("spans"))  # within one document
+        .select("row", F.inline(_accepted(F.col("spans")))).select("row", "kind", "start", "end")
     )
-    return free.select("row", "kind", "start", "end")
+
+
+def _accepted(spans: Column) -> Column:
+    """Of sorted spans, each one that starts where the accepted ones before it have ended.
+
+    They are gathered in blocks, as every step copies what it adds to.
+    """
+    none = F.slice(spans, 1, 0)
+    state = F.struct(F.lit(0).alias("at"), F.slice(F.array(none), 1, 0).alias("blocks"), none.alias("last"))
+
+    def step(a: Column, s: Column) -> Column:
+        full = F.size(a["last"]) >= 128
+        return F.when(s["start"] >= a["at"], F.struct(
+            s["end"].cast("int").alias("at"),
+            F.when(full, F.concat(a["blocks"], F.array(a["last"]))).otherwise(a["blocks"]).alias("blocks"),
+            F.when(full, F.array(s)).otherwise(F.concat(a["last"], F.array(s))).alias("last"),
+        )).otherwise(a)
+
+    return F.aggregate(spans, state, step, lambda a: F.concat(F.flatten(a["blocks"]), a["last"]))
 
 
 def _limit(levels: list[tuple[int, int, float]], precision: float) -> int:

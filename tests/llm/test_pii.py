@@ -99,6 +99,39 @@ def test_copies_share_one_place_of_the_sample(spark):
     assert got[701] == [(8, 1, 18)]
 
 
+def greedy(spans):
+    out = []
+    for s in sorted(spans, key=lambda x: (x[0], -x[2], x[1])):
+        if not out or out[-1][2] <= s[0]:
+            out.append(s)
+    return out
+
+
+def test_dropped_candidates_hide_nothing(spark):
+    r = random.Random(6)
+    base, wide = {}, {}
+    for row in range(300):
+        spans = lambda n: {(a, r.randint(0, 3), a + r.randint(1, 12)) for a in r.choices(range(80), k=n)}
+        base[row], wide[row] = spans(r.randint(0, 4)), spans(r.randint(0, 20))
+    wide[300], base[300] = {(0, 3, 10), (5, 2, 20), (15, 3, 25)}, set()  # the second hides the third no more
+    wide[301], base[301] = {(0, 2, 30), (12, 3, 20), (21, 1, 28)}, {(5, 1, 11)}  # nor does one that runs over a base span
+    rows = [(row, f, *s) for f, of in ((True, base), (False, wide)) for row, spans in of.items() for s in spans]
+    df = spark.createDataFrame(rows, "row long, fixed boolean, start int, kind int, end int")
+    found = df.where("fixed").drop("fixed"), df.where("not fixed").drop("fixed")
+    got = {row: [] for row in base}
+    for x in pii.free_spans(*found).collect():
+        got[x.row].append((x.start, x.kind, x.end))
+    over = lambda s, b: s[0] < b[2] and b[0] < s[2]
+    assert {k: sorted(v) for k, v in got.items()} == {
+        row: sorted(greedy(s for s in wide[row] if not any(over(s, b) for b in base[row]))) for row in base}
+    assert got[300] and len(got[300]) == 2 and len(got[301]) == 2
+
+
+def test_many_overlapping_candidates(spark):
+    df = spark.range(20000).selectExpr("1L row", "3 kind", "cast(id * 2 as int) start", "cast(id * 2 + 3 as int) end")
+    assert pii.free_spans(df.limit(0), df).count() == 10000
+
+
 def test_added_by_format(spark):
     r = random.Random(1)
     rows = [(i, f"call {r.choice(['+1 (555) 123-45%02d' % r.randint(0, 99), 'x 12 34'])} now") for i in range(300)]
