@@ -105,8 +105,8 @@ def contamination(
         .groupBy("key").agg(F.collect_set("print").alias("hits"))  # within one document
     )
     hits = stored(hits, "hits")
-    near = texts.select("key", "text").join(
-        hits if hits.count() > 100_000 else F.broadcast(hits), "key"
+    near = texts.select("key", "text").join(checked(hits.select("key")), "key", "left_semi").join(
+        hits, "key"  # arrays of any length: not broadcast by a count of rows
     ).select("key", "hits", _words(F.col("text")).alias("words"))
     windows = near.select("key", F.explode(F.array_distinct(F.concat(
         *[_around(n, *plan) for n, plan in plans.items()]

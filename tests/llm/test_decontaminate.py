@@ -78,6 +78,15 @@ def test_edges(spark):
     same(spark, [], [(1, item)])
 
 
+def test_only_narrow_rows_are_marked_for_broadcast(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    seen, mark = [], F.broadcast
+    monkeypatch.setattr(F, "broadcast", lambda df: seen.append(df.dtypes) or mark(df))
+    same(spark, *corpus(4))
+    assert [("key", "string")] in seen
+    assert not any(kind.startswith("array") for dtypes in seen for _, kind in dtypes)
+
+
 def test_drop(spark):
     df = spark.createDataFrame([(1, "a b c", None), (None, "a b d", 2), (None, "a b d", 2), (2, None, 3)],
                                "doc_id long, text string, key int")
