@@ -2,16 +2,42 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+_STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_IN_MEMORY = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone, so that window labels are UTC everywhere."""
+    """What every job relies on, whatever session it is given.
+
+    UTC as the session time zone, so that window labels are the same everywhere; RocksDB as the state
+    store, which keyed state with several variables needs (any other store that the caller named
+    stays); and this library on the path of the Python workers.
+    """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    if spark.conf.get(_STATE_STORE).rsplit(".", 1)[-1] == _IN_MEMORY.rsplit(".", 1)[-1]:
+        spark.conf.set(_STATE_STORE, _ROCKSDB)
+    return findable(spark)
+
+
+def findable(spark: SparkSession) -> SparkSession:
+    """Put the folder of the library on the workers' path, where they share it with the driver.
+
+    On a cluster the library is installed or sent with --py-files; then this changes nothing.
+    """
+    env = spark.sparkContext.environment
+    have = env.get("PYTHONPATH", "")
+    if _ROOT not in have.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [have, _ROOT]))
     return spark
 
 

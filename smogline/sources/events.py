@@ -20,11 +20,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1000) -> DataFrame:
-    """The same table as a file stream."""
+    """The same table, one file or a folder of files, as a file stream.
+
+    A streaming source takes a folder or a pattern; the brackets make the table's name a pattern
+    that matches nothing else.
+    """
     return (
         spark.readStream.schema(EVENTS_SCHEMA)
         .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(f"{sf_dir}/events*.parquet")
+        .parquet(f"{sf_dir}/[e]vents.parquet")
     )
 
 
