@@ -1,21 +1,5 @@
-"""Makes this package importable in Python workers started by the session."""
+"""The workers' path, under the name that this package uses."""
 
-from __future__ import annotations
+from smogline.session import findable
 
-import os
-
-from pyspark.sql import SparkSession
-
-_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def findable(spark: SparkSession) -> SparkSession:
-    """Put the folder of the library on the workers' path, where they share it with the driver.
-
-    On a cluster the library is installed or sent with --py-files; then this changes nothing.
-    """
-    env = spark.sparkContext.environment
-    have = env.get("PYTHONPATH", "")
-    if _ROOT not in have.split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(filter(None, [have, _ROOT]))
-    return spark
+__all__ = ["findable"]
