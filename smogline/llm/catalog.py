@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smogline.llm import (
-    bpe, decontaminate, exact_dedup, langid, licenses, near_dedup, pii, quality, substring_dedup,
-    token_files,
+    alignment, bpe, decontaminate, exact_dedup, hard_negatives, langid, licenses, near_dedup, pii, quality,
+    substring_dedup, token_counts, token_files,
 )
 from smogline.llm.workers import findable
 from smogline.session import scratch_path
@@ -108,6 +108,34 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_counts.token_counts(table(spark, sf_dir, "documents"), byte_bpe())
+    return out.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit")
+    )
+
+
+def piece_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.aligned(table(spark, sf_dir, "documents"), byte_bpe(), piece_bpe())
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id is divisible by 7 get the next label; components become whole 256ths."""
+    vectors = hard_negatives.prepared(
+        table(spark, sf_dir, "embeddings"), "vec_id",
+        F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")),
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 256).cast("double")),
+    )
+    return hard_negatives.mined(vectors, F.col("id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -119,4 +147,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_personal_data": op9_personal_data,
     "op10_token_files": op10_token_files,
+    "op11_token_counts": op11_token_counts,
+    "op12_alignment": op12_alignment,
+    "op13_hard_negatives": op13_hard_negatives,
 }

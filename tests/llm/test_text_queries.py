@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_near_dedup": "doc_id:bigint n_shingles:bigint component_id:bigint kept:boolean",
     "op9_personal_data": "doc_id:bigint n_email:bigint n_ip:bigint n_card:bigint n_phone:bigint base_sha256:string spans:string",
     "op10_token_files": "doc_id:bigint start:bigint n_tokens:bigint ids_crc32:bigint",
+    "op11_token_counts": "doc_id:bigint n_bytes:bigint n_tokens:bigint over_limit:boolean",
+    "op12_alignment": "doc_id:bigint n_a:bigint n_b:bigint n_groups:bigint n_links:bigint n_shared:bigint n_best:bigint count_sum:bigint groups_sha256:string",
+    "op13_hard_negatives": "anchor_id:bigint positive_id:bigint rank:int negative_id:bigint positive_score:bigint negative_score:bigint",
 }
 
 
@@ -30,7 +33,7 @@ def duck():
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_query_equals_sql(spark, duck, name):
     result = catalog.QUERIES[name](spark, SF_DIR).toPandas()
-    assert len(result) == 1000
+    assert len(result) == 1000 or name == "op13_hard_negatives" and len(result) > 100
     assert oracle_check.differences(result, duck.sql(ORACLE[name]).df()) is None
 
 
@@ -38,7 +41,8 @@ def test_query_equals_sql(spark, duck, name):
 def test_columns(spark, small, name):
     frame = catalog.QUERIES[name](spark, small)
     assert " ".join(f"{c}:{t}" for c, t in frame.dtypes) == COLUMNS[name]
-    assert frame.count() == spark.read.parquet(f"{small}/documents.parquet").count()
+    if "doc_id" in frame.columns:
+        assert frame.count() == spark.read.parquet(f"{small}/documents.parquet").count()
 
 
 def test_all_are_registered():
