@@ -42,8 +42,9 @@ from smogline.llm.bpe import Speller, byte_alphabet
 from smogline.llm.csr import Csr, members, row_products, spans
 from smogline.session import stored
 
-CHUNK_BYTES = 1 << 23
-BLOCK_BYTES = 1 << 19  # bytes of different parts that are aligned at once
+CHUNK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 18  # bytes of different parts that are aligned at once
+_ENCODED = 1 << 11  # parts given to a library at once; what it returns is far larger than their ids
 _SHIFT = 32  # a pair of ids as one number: A above, B below
 
 
@@ -88,8 +89,12 @@ class Pair:
             yield cuts.spaced_words(part)
 
     def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        ids_a = [e.ids for e in self.a.encode_batch_fast(parts, add_special_tokens=False)]
-        return ids_a, self.b.encode([p[1:] for p in parts], num_threads=1)
+        ids_a, ids_b = [], []
+        for i in range(0, len(parts), _ENCODED):
+            some = parts[i : i + _ENCODED]
+            ids_a += [e.ids for e in self.a.encode_batch_fast(some, add_special_tokens=False)]
+            ids_b += self.b.encode([p[1:] for p in some], num_threads=1)
+        return ids_a, ids_b
 
 
 @lru_cache(maxsize=2)
