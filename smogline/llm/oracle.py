@@ -97,6 +97,6 @@ SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank,
        positive_score, s AS negative_score
 FROM positive JOIN score USING (anchor_id)
 WHERE NOT same AND 50 * positive_score <= 100 * s AND 100 * s <= 95 * positive_score
-QUALIFY row_number() OVER best <= 3
-WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY s DESC, other)""",
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY s DESC, other)
+QUALIFY row_number() OVER best <= 3""",
 }
