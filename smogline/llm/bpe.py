@@ -13,11 +13,18 @@ either part. ``sufficient_lookahead`` is the largest reach of the merge list. A
 least so many bytes before the end of what has been read stays whatever follows, and is emitted;
 the bytes after it are all the state that is kept.
 
+A text goes through ``StreamEncoder`` block by block. A piece of the vocabulary's pattern ends every
+merge, so a piece that is followed by three more characters is stable, and the ids of short pieces
+are looked up; a piece of more than ``_LONG`` characters goes through ``PieceTransducer``, which needs
+the lookahead. What is kept is a block, a piece's last bytes and a cache of bounded bytes.
+
 *Decoding.* Ids become bytes block by block, and bytes become text in an incremental UTF-8 decoder,
 which holds at most 3 bytes between blocks. Invalid bytes become U+FFFD.
 
-Defined cases: a null text is empty and has no ids; a special token in a text is one token, as the
-library has it; white space and runs of any length are streamed in blocks.
+Defined cases: a null text is empty and has no ids; a null id stays null; repeated rows are encoded each;
+an empty table gives none; a special token in a text is one token, as the library has it; white space
+and runs of any length are streamed in blocks. Columns other than id and text, whatever their names,
+are not read.
 """
 
 from __future__ import annotations
@@ -52,9 +59,12 @@ _PLAIN_PIECE = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9À-ÖØ-öø-ɏ]+"
     r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 )
-_CACHED = 1 << 18
+_PAIRS = 1 << 16  # neighbours whose compatibility is kept
+_CACHE_BYTES = 16 << 20
+_ENTRY = 200  # bytes of a cached piece besides its characters
 _LONG = 256
 _BLOCK = 1 << 16
+_ROWS_BYTES = 1 << 20  # text whose ids are handed on at once
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -134,7 +144,7 @@ class Vocabulary:
     def compatible(self, left: int, right: int) -> bool:
         known = self._compatible.get((left, right))
         if known is None:
-            if len(self._compatible) >= _CACHED:
+            if len(self._compatible) >= _PAIRS:
                 self._compatible.clear()
             known = self.merged(self.spelled[left] + self.spelled[right]) == [left, right]
             self._compatible[left, right] = known
@@ -223,78 +233,91 @@ class PieceTransducer:
 
 
 class StreamEncoder:
-    """Encodes a text that comes in parts of any size, in memory that does not depend on it."""
+    """Encodes a text that comes in parts of any size, in memory that does not depend on it.
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-        self.hold = max([0, *(len(t) - 1 for t in vocabulary.special)])
+    Ids come as the bytes of an array of the vocabulary's type.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, known: PieceCache):
+        self.vocabulary, self.known = vocabulary, known
         self.tail = ""  # may begin a special token
         self.text = ""  # no special token in it
         self.run: tuple[str, PieceTransducer] | None = None
 
-    def feed(self, part: str) -> list[int]:
-        out: list[int] = []
+    def feed(self, part: str, last: bool = False) -> bytes:
+        out: list[bytes] = []
         self.tail += part
-        while match := self.vocabulary.special_pattern.search(self.tail):
-            self.text += self.tail[: match.start()]
-            out += self._pieces(True) + [self.vocabulary.special[match.group()]]
-            self.tail = self.tail[match.end() :]
-        ready = max(0, len(self.tail) - self.hold)
+        if any(special in self.tail for special in self.vocabulary.special):
+            while match := self.vocabulary.special_pattern.search(self.tail):
+                self.text += self.tail[: match.start()]
+                out += [self._pieces(True), self._ids([self.vocabulary.special[match.group()]])]
+                self.tail = self.tail[match.end() :]
+        ready = len(self.tail) - (0 if last else self._begun())
         self.text, self.tail = self.text + self.tail[:ready], self.tail[ready:]
-        return out + self._pieces(False)
+        return b"".join([*out, self._pieces(last)])
 
-    def close(self) -> list[int]:
-        self.text, self.tail = self.text + self.tail, ""
-        return self._pieces(True)
+    def _begun(self) -> int:
+        """How many characters at the end of the tail may begin a special token."""
+        return max((n for s in self.vocabulary.special for n in range(1, len(s)) if self.tail.endswith(s[:n])), default=0)
 
-    def _pieces(self, last: bool) -> list[int]:
-        out: list[int] = []
+    def _ids(self, ids: list[int]) -> bytes:
+        return array(self.vocabulary.code, ids).tobytes()
+
+    def _pieces(self, last: bool) -> bytes:
+        out: list[bytes] = []
         while True:
             if self.run:
-                out += self._go_on(last)
+                out.append(self._go_on(last))
                 if self.run:
-                    return out
-            at = 0
-            for match in _PIECE.finditer(self.text):
-                if not last and match.end() > len(self.text) - 3:  # 're could still become one
                     break
-                out += self._whole(match.group())
-                at = match.end()
-            self.text = self.text[at:]
-            if last or len(self.text) <= _LONG:
-                return out
-            body = self.text.lstrip(" ")[:1] or " "
-            kind = ("letter" if regex.match(r"\p{L}", body) else "number" if regex.match(r"\p{N}", body)
-                    else "space" if regex.match(f"[{_WS}]", self.text[:2][-1]) and regex.match(f"[{_WS}]", self.text[0])
-                    else "other")
-            if kind != "space" and regex.match(f"[{_WS}]", body):
-                kind = "space"
-            self.run = (kind, PieceTransducer(self.vocabulary))
-            if kind != "space" and self.text[0] == " ":
-                out += self.run[1].feed(b" ")
-                self.text = self.text[1:]
-
-    def _go_on(self, last: bool) -> list[int]:
+            found = split_pieces(self.text)
+            rest = 0
+            while not last and found and rest < 3:  # 're could still become one
+                rest += len(found.pop())
+            out.append(self.known.join(found, self._encoded))
+            self.text = self.text[len(self.text) - rest :] if rest else ""
+            if len(self.text) <= _LONG:
+                break
+            self._begin()
+        return b"".join(out)
+
+    def _begin(self) -> None:
+        """A long piece has begun; its kind tells where it ends."""
+        first, body = self.text[0], self.text.lstrip(" ")[:1] or " "
+        spaces = regex.match(f"[{_WS}]{{2}}", self.text) or regex.match(f"[{_WS}]", body) or first != " " and regex.match(f"[{_WS}]", first)
+        kind = ("space" if spaces else "letter" if regex.match(r"\p{L}", body)
+                else "number" if regex.match(r"\p{N}", body) else "other")
+        self.run = (kind, PieceTransducer(self.vocabulary))
+        if kind != "space" and first == " ":
+            self.run[1].rest, self.text = b" ", self.text[1:]
+
+    def _go_on(self, last: bool) -> bytes:
         kind, piece = self.run
+        out: list[int] = []
         end = _RUNS[kind].match(self.text).end()
         over = last or end < len(self.text)
         if kind == "space" and not (last and end == len(self.text)):
             end = max(0, end - 1)  # the last one belongs to what follows
-        out = piece.feed(self.text[:end].encode())
+        data = self.text[:end].encode()
+        step = 4 * self.vocabulary.lookahead
+        for i in range(0, len(data), step):
+            out += piece.feed(data[i : i + step])
         self.text = self.text[end:]
         if over:
             out += piece.close()
             self.run = None
-        return out
+        return self._ids(out)
+
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        one = self.vocabulary.encode_piece
+        return [self._ids(one(p.encode())) if len(p) <= _LONG else self._long(p.encode()) for p in pieces]
 
-    def _whole(self, piece: str) -> list[int]:
-        data = piece.encode()
-        if len(data) <= _LONG:
-            return self.vocabulary.encode_piece(data)
+    def _long(self, data: bytes) -> bytes:
         transducer, out = PieceTransducer(self.vocabulary), []
-        for i in range(0, len(data), 4 * self.vocabulary.lookahead):
-            out += transducer.feed(data[i : i + 4 * self.vocabulary.lookahead])
-        return out + transducer.close()
+        step = 4 * self.vocabulary.lookahead
+        for i in range(0, len(data), step):
+            out.append(self._ids(transducer.feed(data[i : i + step])))
+        return b"".join([*out, self._ids(transducer.close())])
 
 
 def split_pieces(text: str) -> list[str]:
@@ -303,10 +326,10 @@ def split_pieces(text: str) -> list[str]:
 
 
 class PieceCache:
-    """The ids of pieces, in two generations of bounded size; what is asked for again stays."""
+    """The ids of pieces, in two generations of at most ``most`` bytes each; what is asked for again stays."""
 
     def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
+        self.most, self.held, self.young, self.old = most, 0, {}, {}
 
     def join(self, pieces: list[str], encode: Callable[[list[str]], list[bytes]]) -> bytes:
         """The ids of all pieces, one after the other; ``encode`` is asked for those not known."""
@@ -320,39 +343,29 @@ class PieceCache:
         for piece in new:
             if len(piece) > _LONG:
                 del young[piece]
-        if len(young) >= self.most:
-            self.young, self.old = {}, young
+            else:
+                self.held += _ENTRY + 4 * len(piece)
+        if self.held >= self.most:
+            self.young, self.old, self.held = {}, young, 0
         return ids
 
 
 class Encoder:
-    """Whole texts to ids; pieces that come again are looked up in a cache of bounded size."""
+    """Texts to ids, block by block; pieces that come again are looked up."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known = PieceCache(_CACHED)
+        self.known = PieceCache(_CACHE_BYTES)
 
-    def encode(self, text: str | None) -> np.ndarray:
-        if not text:
-            return np.zeros(0, self.vocabulary.dtype)
-        if any(special in text for special in self.vocabulary.special):
-            return self._streamed(text)
-        return np.frombuffer(self.known.join(split_pieces(text), self._pieces), self.vocabulary.dtype)
-
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        one, code = self.vocabulary.encode_piece, self.vocabulary.code
-        return [
-            array(code, one(piece.encode())).tobytes() if len(piece) <= _LONG
-            else self._streamed(piece).tobytes()
-            for piece in pieces
-        ]
-
-    def _streamed(self, text: str) -> np.ndarray:
-        stream, parts = StreamEncoder(self.vocabulary), []
+    def stream(self, text: str | None) -> Iterator[np.ndarray]:
+        """The ids of a text, in parts, each as soon as it is stable."""
+        text, stream = text or "", StreamEncoder(self.vocabulary, self.known)
         for i in range(0, len(text), _BLOCK):
-            parts.append(np.array(stream.feed(text[i : i + _BLOCK]), self.vocabulary.dtype))
-        parts.append(np.array(stream.close(), self.vocabulary.dtype))
-        return np.concatenate(parts)
+            ids = stream.feed(text[i : i + _BLOCK], i + _BLOCK >= len(text))
+            yield np.frombuffer(ids, self.vocabulary.dtype)
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return np.concatenate([np.zeros(0, self.vocabulary.dtype), *self.stream(text)])
 
 
 class Speller:
@@ -397,13 +410,7 @@ def decimals(vocabulary: Vocabulary) -> Speller:
 
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids) for every row; ``ids`` is an array of int."""
-    def run(batches):
-        encode = encoder(path).encode
-        for batch in batches:
-            rows = [encode(t) for t in batch["text"].to_pylist()]
-            yield pa.record_batch({"id": batch["id"], "ids": _lists(rows)})
-
-    return _texts(docs, id_col, text_col).mapInArrow(run, "id long, ids array<int>")
+    return encode_checked(docs, path, id_col, text_col).select("id", "ids")
 
 
 def decode_ids(encoded: DataFrame, path: str, id_col: str = "id", ids_col: str = "ids") -> DataFrame:
@@ -421,22 +428,25 @@ def decode_ids(encoded: DataFrame, path: str, id_col: str = "id", ids_col: str =
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256): each text encoded, its ids decoded, both hashed.
 
-    One pass without a shuffle; neither ids nor decoded texts leave the task.
+    One pass without a shuffle; a text is encoded, listed and decoded block by block, and neither ids
+    nor decoded texts leave the task or are held whole.
     """
     def run(batches):
-        encode, decoder = encoder(path).encode, Decoder(vocabulary(path))
+        stream, speller = encoder(path).stream, Decoder(vocabulary(path)).speller
         digits = decimals(vocabulary(path))
         for batch in batches:
             sizes, ids_digest, text_digest = [], [], []
             for text in batch["text"]:
-                ids = encode(text.as_py())
-                listed, decoded = hashlib.sha256(), hashlib.sha256()
-                for i in range(0, len(ids), _BLOCK):
-                    block = digits.spell(ids[i : i + _BLOCK])
-                    listed.update(block if i + _BLOCK < len(ids) else block[:-1])
-                for part in decoder.stream([ids]):
-                    decoded.update(part.encode())
-                sizes.append(len(ids))
+                listed, decoded, n = hashlib.sha256(), hashlib.sha256(), 0
+                machine = codecs.getincrementaldecoder("utf-8")("replace")
+                for ids in stream(text.as_py()):
+                    if len(ids):
+                        block = digits.spell(ids)[:-1]
+                        listed.update(b"," + block if n else block)
+                        decoded.update(machine.decode(speller.spell(ids)).encode())
+                        n += len(ids)
+                decoded.update(machine.decode(b"", True).encode())
+                sizes.append(n)
                 ids_digest.append(listed.hexdigest())
                 text_digest.append(decoded.hexdigest())
             yield pa.record_batch({
@@ -451,17 +461,40 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 def encode_checked(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids, restored): the ids of each text, and whether they decode to it."""
+    """(id, n_tokens, ids, restored): the ids of each text, and whether they decode to it.
+
+    Rows go on as soon as they stand for ``_ROWS_BYTES`` of text, whatever the size of the batch they
+    came in. The ids of one text are one value, so the longest text bounds what a task holds.
+    """
     def run(batches):
-        encode, decoder = encoder(path).encode, Decoder(vocabulary(path))
-        for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            rows = [encode(t) for t in texts]
-            yield pa.record_batch({
-                "id": batch["id"], "n_tokens": pa.array([len(r) for r in rows], pa.int64()), "ids": _lists(rows),
-                "restored": pa.array([decoder.decode(r) == t for r, t in zip(rows, texts)], pa.bool_()),
+        known, speller = encoder(path), Decoder(vocabulary(path)).speller
+
+        def block(ids, rows, restored):
+            return pa.record_batch({
+                "id": pa.array(ids, pa.int64()), "n_tokens": pa.array([len(r) for r in rows], pa.int64()),
+                "ids": _lists(rows), "restored": pa.array(restored, pa.bool_()),
             })
 
+        for batch in batches:
+            held, out = 0, ([], [], [])
+            for i, value in zip(batch["id"], batch["text"]):
+                text = value.as_py() or ""
+                parts, at, same = [np.zeros(0, known.vocabulary.dtype)], 0, True
+                machine = codecs.getincrementaldecoder("utf-8")("replace")
+                for ids in known.stream(text):
+                    parts.append(ids)
+                    back = machine.decode(speller.spell(ids))
+                    same, at = same and text.startswith(back, at), at + len(back)
+                back = machine.decode(b"", True)
+                for column, x in zip(out, (i.as_py(), np.concatenate(parts), same and text[at:] == back)):
+                    column.append(x)
+                held += len(text)
+                if held >= _ROWS_BYTES:
+                    yield block(*out)
+                    held, out = 0, ([], [], [])
+            if out[0]:
+                yield block(*out)
+
     return _texts(docs, id_col, text_col).mapInArrow(
         run, "id long, n_tokens long, ids array<int>, restored boolean"
     )

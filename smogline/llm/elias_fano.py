@@ -86,8 +86,20 @@ class EliasFano:
         shifts = np.arange(self.low_bits, dtype=np.uint64)
         return (bits.reshape(hi - lo, self.low_bits).astype(np.uint64) << shifts).sum(axis=1, dtype=np.uint64)
 
-    def values(self) -> np.ndarray:
-        """All values, in order."""
-        ones = np.flatnonzero(np.unpackbits(self.high)) if self.n else np.zeros(0, np.int64)
-        rest = (ones - np.arange(self.n)).astype(np.uint64)
-        return (rest << np.uint64(self.low_bits)) | self._lows(0, self.n)
+    def selects(self, lo: int, hi: int) -> np.ndarray:
+        """The places of ones lo to hi - 1, from the sample before the first of them on."""
+        if lo >= hi:
+            return np.zeros(0, np.int64)
+        first = lo // _SAMPLE * _SAMPLE
+        at = int(self.samples[lo // _SAMPLE])
+        byte, end = at >> 3, (at >> 3) + (hi - first)
+        while (found := int(np.bitwise_count(self.high[byte:end]).sum())) < hi - first + 8 and end < len(self.high):
+            end += max(64, end - byte)
+        ones = byte * 8 + np.flatnonzero(np.unpackbits(self.high[byte:end]))
+        skip = int(np.searchsorted(ones, at)) + lo - first
+        return ones[skip : skip + hi - lo]
+
+    def between(self, lo: int, hi: int) -> np.ndarray:
+        """Values lo to hi - 1; only the bytes that hold them are unpacked."""
+        rest = (self.selects(lo, hi) - np.arange(lo, hi)).astype(np.uint64)
+        return (rest << np.uint64(self.low_bits)) | self._lows(lo, hi)

@@ -15,7 +15,8 @@ parts; a part is sorted, encoded block by block and cut into shards of ``shard_i
 written and committed by Spark in any store that it can write, and read back as binary files.
 
 Defined cases: a null text is empty; each document ends with ``end_id``, so none is without ids;
-an empty table gives a folder without shards.
+null ids come first, repeated rows are documents of their own; an empty table gives a folder without
+shards. Columns other than id and text, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ _HEAD = np.dtype([
     ("size", "<u8"), ("part", "<u4"), ("number", "<u4"), ("width", "<u4"), ("nulls", "<u4"),
     ("base", "<i8"), ("ids", "<u8"),
 ])
-_CACHED = 1 << 18
+_CACHE_BYTES = 48 << 20
 
 
 class LibraryEncoder:
@@ -59,7 +60,7 @@ class LibraryEncoder:
         self.special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype(self.code)
-        self.known = PieceCache(_CACHED)
+        self.known = PieceCache(_CACHE_BYTES)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -116,6 +117,17 @@ class Shard:
         """Where document i begins and ends among the ids of the shard."""
         return (self.ends[i - 1] if i else 0), self.ends[i]
 
+    def spans(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where documents lo to hi - 1 begin and end, by one select over their boundaries."""
+        ends = self.ends.between(max(lo - 1, 0), hi).astype(np.int64)
+        return (ends[:-1], ends[1:]) if lo else (np.concatenate([[0], ends[:-1]]), ends)
+
+    def doc_ids_of(self, lo: int, hi: int) -> list[int | None]:
+        """The ids of documents lo to hi - 1."""
+        nulls = max(0, min(hi, self.nulls) - lo)
+        known = self.doc_ids.between(max(lo - self.nulls, 0), max(hi - self.nulls, 0))
+        return [None] * nulls + (known + np.uint64(self.base % (1 << 64))).view(np.int64).tolist()
+
     def document(self, i: int) -> np.ndarray:
         start, end = self.span(i)
         return self.ids[start:end]
@@ -195,20 +207,16 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _documents(shard: Shard, block: int = 512) -> Iterator[pa.RecordBatch]:
-    ends = shard.ends.values().astype(np.int64)
-    known = (shard.doc_ids.values() + np.uint64(shard.base % (1 << 64))).view(np.int64)
-    doc_ids = [None] * shard.nulls + known.tolist()
-    for lo in range(0, len(ends), block):
-        hi = min(lo + block, len(ends))
-        starts = np.concatenate([[ends[lo - 1] if lo else 0], ends[lo : hi - 1]])
+    for lo in range(0, len(shard), block):
+        hi = min(lo + block, len(shard))
+        starts, ends = shard.spans(lo, hi)
         yield pa.record_batch({
             "part": pa.array([shard.part] * (hi - lo), pa.int32()),
             "number": pa.array([shard.number] * (hi - lo), pa.int32()),
-            "id": pa.array(doc_ids[lo:hi], pa.int64()),
+            "id": pa.array(shard.doc_ids_of(lo, hi), pa.int64()),
             "at": pa.array(starts, pa.int64()),
-            "n_tokens": pa.array(ends[lo:hi] - starts, pa.int64()),
-            "ids": pa.array([shard.ids[a:b].astype("<u4").tobytes()
-                             for a, b in zip(starts, ends[lo:hi])], pa.binary()),
+            "n_tokens": pa.array(ends - starts, pa.int64()),
+            "ids": pa.array([shard.ids[a:b].astype("<u4").tobytes() for a, b in zip(starts, ends)], pa.binary()),
         })
 
 

@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from smogline.llm.bpe import (
-    Decoder, Encoder, StreamEncoder, byte_alphabet, decode_ids, encode_texts, round_trip, vocabulary,
+    Decoder, Encoder, PieceCache, StreamEncoder, byte_alphabet, decode_ids, encode_checked, encode_texts, round_trip,
+    vocabulary,
 )
 from smogline.llm.catalog import byte_bpe
 
@@ -29,10 +30,10 @@ def test_same_as_the_library(library, text, step):
     v = vocabulary(PATH)
     want = library.encode(text, add_special_tokens=False).ids
     assert Encoder(v).encode(text).tolist() == want
-    stream, got = StreamEncoder(v), []
+    stream, got = StreamEncoder(v, PieceCache(1000)), b""
     for i in range(0, len(text), step):
         got += stream.feed(text[i : i + step])
-    assert got + stream.close() == want
+    assert np.frombuffer(got + stream.feed("", True), v.dtype).tolist() == want
     assert Decoder(v).decode(np.array(want, int)) == library.decode(want, skip_special_tokens=False)
 
 
@@ -46,15 +47,42 @@ def test_long_pieces_are_streamed(library, text):
     v = vocabulary(PATH)
     want = library.encode(text, add_special_tokens=False).ids
     assert Encoder(v).encode(text).tolist() == want
-    stream, got, most = StreamEncoder(v), [], 0
+    stream, got, most = StreamEncoder(v, PieceCache(1000)), b"", 0
     for i in range(0, len(text), 37):
         got += stream.feed(text[i : i + 37])
         rest = len(stream.run[1].rest) if stream.run else 0
         most = max(most, rest + len(stream.text) + len(stream.tail))
-    assert got + stream.close() == want
+    assert np.frombuffer(got + stream.feed("", True), v.dtype).tolist() == want
     assert most < 4 * v.lookahead + 400
 
 
+def test_every_text_goes_through_the_transducer_in_blocks(library, monkeypatch):
+    from smogline.llm import bpe
+    seen, feed = [], StreamEncoder.feed
+    monkeypatch.setattr(StreamEncoder, "feed", lambda self, part, last=False: seen.append(len(part)) or feed(self, part, last))
+    monkeypatch.setattr(bpe, "_BLOCK", 100)
+    text = "the cat <|endoftext|>" * 30 + "x" * 900 + " we're\n\n here " * 40
+    encoder = Encoder(vocabulary(PATH))
+    assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sum(seen) == len(text) and max(seen) == 100 and len(list(encoder.stream(text))) == len(seen) / 2
+
+
+def test_cache_is_bounded_by_bytes():
+    cache = PieceCache(5000)
+    for i in range(2000):
+        assert cache.join([f"p{i}", "a"], lambda pieces: [p.encode() for p in pieces]) == f"p{i}a".encode()
+    assert len(cache.young) + len(cache.old) <= 2 * (5000 // 200 + 1)
+
+
+def test_rows_go_on_in_blocks_of_bytes(spark, monkeypatch, library):
+    rows = [(i, "word é " * 3000 if i % 3 else None, "x") for i in range(300)] + [(None, "null id", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string").coalesce(1)
+    got = encode_checked(docs, PATH).selectExpr("id", "n_tokens", "size(ids) = n_tokens as whole", "restored").collect()
+    n = len(library.encode("word é " * 3000, add_special_tokens=False).ids)
+    assert all(r.whole and r.restored for r in got) and len(got) == 301
+    assert {r.n_tokens for r in got if r.id is not None and r.id % 3} == {n}
+
+
 def test_bytes_that_are_no_text(library):
     v, r = vocabulary(PATH), random.Random(2)
     for _ in range(300):

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 from smogline.llm.catalog import byte_bpe, op10_token_files
 from smogline.llm.elias_fano import EliasFano
 from smogline.llm.token_files import (
-    LibraryEncoder, Shard, read_token_files, shard_bytes, starts, write_token_files,
+    LibraryEncoder, Shard, _documents, read_token_files, shard_bytes, starts, write_token_files,
 )
 
 
@@ -19,7 +19,7 @@ from smogline.llm.token_files import (
 def test_elias_fano(values):
     values = np.sort(np.array(values, np.uint64))
     back, end = EliasFano.read(b"xyz" + (raw := EliasFano.of(values).to_bytes()), 3)
-    assert end == 3 + len(raw) and back.values().tolist() == values.tolist()
+    assert end == 3 + len(raw) and back.between(0, len(back)).tolist() == values.tolist()
     assert [back[i] for i in range(len(back))] == values.tolist()
 
 
@@ -33,6 +33,11 @@ def test_size_and_select():
         assert ef[int(i)] == values[i]
     with pytest.raises(IndexError):
         ef[len(values)]
+    sparse = EliasFano.of(np.sort(np.concatenate([r.integers(0, 50, 600), 2**40 + r.integers(0, 50, 600)])))
+    for of in (ef, sparse):
+        whole = [of[i] for i in range(1200)]
+        for lo, hi in ((0, 1), (0, 512), (255, 257), (512, 1024), (599, 601), (1199, 1200), (7, 7)):
+            assert of.between(lo, hi).tolist() == whole[lo:hi]
 
 
 def test_shard():
@@ -41,6 +46,23 @@ def test_shard():
     assert (shard.part, shard.number, len(shard), shard.n_ids) == (2, 7, 4, 9)
     assert [shard.doc_id(i) for i in range(4)] == [None, -5, -5, 2**62]
     assert [shard.document(i).tolist() for i in range(4)] == [[0], [0, 1, 2, 3, 4], [], [0, 1, 2]]
+    for lo in range(4):
+        for hi in range(lo + 1, 5):
+            assert shard.doc_ids_of(lo, hi) == [None, -5, -5, 2**62][lo:hi]
+            assert list(zip(*(x.tolist() for x in shard.spans(lo, hi)))) == [shard.span(i) for i in range(lo, hi)]
+
+
+def test_documents_are_read_by_select(spark, tmp_path, monkeypatch):
+    """Nothing in the library unpacks a whole list of boundaries."""
+    docs = spark.createDataFrame([(i, "a b " * (i % 7), "x") for i in range(3000)], "doc_id long, text string, ids string")
+    write_token_files(docs.coalesce(1), str(tmp_path / "t"), byte_bpe())
+    (path,) = (tmp_path / "t").glob("part-*")
+    seen, between = [], EliasFano.between
+    monkeypatch.setattr(EliasFano, "between", lambda self, lo, hi: seen.append(hi - lo) or between(self, lo, hi))
+    (shard,) = Shard.all(path.read_bytes())
+    rows = [r for b in _documents(shard) for r in b.to_pylist()]
+    assert [r["id"] for r in rows] == list(range(3000)) and max(seen) <= 513
+    assert [r["n_tokens"] for r in rows] == [shard.span(i)[1] - shard.span(i)[0] for i in range(3000)]
 
 
 @settings(max_examples=60, deadline=None)
