@@ -11,14 +11,17 @@ the same rule for windows of its length.
 
 1. Each document is scanned once for its words and fingerprints, which are stored.
 2. Fingerprints of documents are joined with the distinct ones of the benchmark.
-3. Documents with hits are read again. A hit is extended to the windows of words that contain it,
-   and these are joined with the windows of the benchmark by their words, not by a hash.
+3. Documents with hits are read again, and the places of known fingerprints in them are found by a
+   join. Each is extended to the windows of words that contain it, and these are joined with the
+   windows of the benchmark by their words, not by a hash.
 
-The distinct fingerprints and windows of the benchmark are broadcast if they are at most
-``groups.BROADCAST_ROWS``; beyond, the joins shuffle.
+The distinct fingerprints and windows of the benchmark are broadcast if they take at most
+``groups.BROADCAST_BYTES``; beyond, the joins shuffle.
 
 Defined cases: null texts and texts without words have no words and are not contaminated; null
-ids are ids like others; rows of one id are judged by their own texts; without items nothing is hit.
+ids of documents are ids like others; rows of one id are judged by their own texts; without items
+nothing is hit. Items without an id hit like others; together they count as one item in ``n_items``
+and are not listed. Columns other than ids and texts, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -77,7 +80,7 @@ def contamination(
     size: int = 10,
     k: int = 5,
 ) -> DataFrame:
-    """(id, key, n_words, n_hit, items) for every row; items: sorted item ids, as strings.
+    """(id, key, n_words, n_hit, n_items, items) for every row; items: sorted item ids, as strings.
 
     ``key`` tells rows of one id by their texts.
     """
@@ -95,22 +98,26 @@ def contamination(
     )
     rows = scanned.select("id", "key", "n_words")
     if not plans:
-        return rows.select("*", F.lit(0).cast("long").alias("n_hit"),
+        return rows.select("*", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
                            F.array().cast("array<string>").alias("items"))
 
     known = stored(_item_prints(items, plans).distinct(), "known")
-    hits = (
-        scanned.select("key", F.explode("prints").alias("print"))
-        .join(checked(known), "print", "left_semi")
-        .groupBy("key").agg(F.collect_set("print").alias("hits"))  # within one document
+    hits = stored(
+        scanned.select("key", F.explode("prints").alias("print")).join(checked(known), "print", "left_semi")
+        .select("key").distinct(), "hits",
     )
-    hits = stored(hits, "hits")
-    near = texts.select("key", "text").join(checked(hits.select("key")), "key", "left_semi").join(
-        hits, "key"  # arrays of any length: not broadcast by a count of rows
-    ).select("key", "hits", _words(F.col("text")).alias("words"))
-    windows = near.select("key", F.explode(F.array_distinct(F.concat(
-        *[_around(n, *plan) for n, plan in plans.items()]
-    ))).alias("w")).select("key", "w.start", "w.length", "w.window").distinct()
+    near = stored(
+        texts.select("key", "text").join(checked(hits), "key", "left_semi")
+        .select("key", _words(F.col("text")).alias("words")).dropDuplicates(["key"]), "near",
+    )
+    windows = None
+    for n, (gram, run) in plans.items():
+        own = near.join(_places(near, known, gram), "key").select("key", "words", F.explode(_starts("places", run)).alias("start"))
+        own = own.where(F.col("start") <= F.size("words") - n + 1).select(
+            "key", "start", F.lit(n).alias("length"),
+            F.array_join(F.slice("words", F.col("start"), F.lit(n)), " ").alias("window"),
+        )
+        windows = own if windows is None else windows.unionByName(own)
     distinct = stored(items.select("window", "length").distinct(), "distinct")
     hit = stored(windows.join(checked(distinct), ["window", "length"], "left_semi"), "hit")
 
@@ -121,10 +128,11 @@ def contamination(
     of_doc = (
         hit.select("key", "window", "length").distinct()
         .join(items, ["window", "length"]).select("key", "item").distinct()
-        .groupBy("key").agg(F.sort_array(F.collect_list("item")).alias("items"))
+        .groupBy("key").agg(F.count(F.lit(1)).alias("n_items"), F.sort_array(F.collect_list("item")).alias("items"))
     )
     return rows.join(covered.join(of_doc, "key"), "key", "left").select(
         "id", "key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
@@ -135,7 +143,7 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str, size: int) -> Dat
     length = F.least(F.size("words"), F.lit(size))
     starts = F.sequence(F.lit(1), F.size("words") - length + 1)
     return (
-        words.where((F.size("words") > 0) & F.col("item").isNotNull())
+        words.where(F.size("words") > 0)
         .select("item", "words", length.alias("length"), F.explode(starts).alias("start"))
         .select("item", F.array_join(F.slice("words", F.col("start"), F.col("length")), " ").alias("window"), "length")
         .distinct()
@@ -152,20 +160,19 @@ def _item_prints(items: DataFrame, plans: dict[int, tuple[int, int]]) -> DataFra
     return out
 
 
-def _around(n: int, k: int, run: int) -> Column:
-    """The windows of n words that contain a hit: structs of start (from 1), length and words."""
-    words = F.col("words")
-    grams = _grams(words, k)
-    places = F.filter(
-        F.transform(grams, lambda g, i: F.when(F.array_contains(F.col("hits"), g), i + 1)),
-        lambda p: p.isNotNull(),
-    )
-    starts = F.flatten(F.transform(places, lambda p: F.sequence(F.greatest(p - (run - 1), F.lit(1)), p)))
-    starts = F.filter(F.array_distinct(starts), lambda s: s <= F.size(words) - n + 1)
-    return F.transform(starts, lambda s: F.struct(
-        s.alias("start"), F.lit(n).alias("length"),
-        F.array_join(F.slice(words, s, F.lit(n)), " ").alias("window"),
-    ))
+def _places(near: DataFrame, known: DataFrame, k: int) -> DataFrame:
+    """(key, places): where the documents have a known fingerprint, in order."""
+    grams = near.select("key", F.posexplode(_grams(F.col("words"), k)).alias("at", "print"))
+    found = grams.join(checked(known), "print", "left_semi")
+    return found.groupBy("key").agg(F.sort_array(F.collect_list(F.col("at") + 1)).alias("places"))  # of one document
+
+
+def _starts(places: str, run: int) -> Column:
+    """Where windows that contain one of the places begin, each once."""
+    p = F.col(places)
+    return F.flatten(F.transform(p, lambda at, i: F.sequence(
+        F.greatest(at - (run - 1), F.lit(1), F.coalesce(F.get(p, i - 1), F.lit(0)) + 1), at
+    )))
 
 
 def _covered(spans: str) -> Column:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of a side that may be broadcast: keys of at most 16 bytes, so some tens of MB.
-BROADCAST_ROWS = 500_000
+#: Bytes of a side that may be broadcast, with what a row costs in the table that is built from it.
+BROADCAST_BYTES = 32 << 20
+_ROW_BYTES = 48
 
 
 def attach(
@@ -31,9 +32,20 @@ def attach(
     return dealt.join(back, [key, "_share"]).drop("_share")
 
 
-def checked(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored table of narrow rows, marked for broadcast if it has at most ``most`` of them."""
-    return F.broadcast(rows) if rows.count() <= most else rows
+def checked(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """A stored table, marked for broadcast if all its values take at most ``most`` bytes.
+
+    Texts are measured, not taken to be short; columns of arrays are never broadcast.
+    """
+    size, fixed = F.lit(0), _ROW_BYTES
+    for name, kind in rows.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(name), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            return rows
+        fixed += 8
+    taken = rows.agg(F.coalesce(F.sum((size + F.lit(fixed)).cast("long")), F.lit(0))).first()[0]
+    return F.broadcast(rows) if taken <= (BROADCAST_BYTES if most is None else most) else rows
 
 
 def row_key(id_col: str, text_col: str) -> Column:

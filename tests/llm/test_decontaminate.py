@@ -18,8 +18,8 @@ def brute(rows, items, size=10):
     for item, text in items:
         w = words(text)
         n = min(len(w), size)
-        for i in range(len(w) - n + 1 if n and item is not None else 0):
-            windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+        for i in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[i : i + n]), set()).add(item)
     lengths = {len(w) for w in windows}
     out = []
     for doc, text in rows:
@@ -29,14 +29,14 @@ def brute(rows, items, size=10):
                 if (key := tuple(w[i : i + n])) in windows:
                     hit.update(range(i, i + n))
                     found |= windows[key]
-        out.append((doc, len(w), len(hit), tuple(sorted(found))))
+        out.append((doc, len(w), len(hit), len(found), tuple(sorted(str(i) for i in found if i is not None))))
     return out
 
 
 def same(spark, rows, items, **kw):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = [(r.id, r.n_words, r.n_hit, tuple(r["items"])) for r in contamination(df, bench, **kw).collect()]
+    got = [(r.id, r.n_words, r.n_hit, r.n_items, tuple(r["items"])) for r in contamination(df, bench, **kw).collect()]
     key = lambda r: (r[0] is None, r[0] or 0) + r[1:]
     assert sorted(got, key=key) == sorted(brute(rows, items, kw.get("size", 10)), key=key)
 
@@ -74,6 +74,7 @@ def test_edges(spark):
     rows = [(1, None), (1, ""), (None, item), (None, item), (2, item), (2, "x " + item + " x " + item),
             (3, "...!"), (4, " ".join([item] * 3000)), (5, item.replace("e5", "E5")), (6, item[3:30])]
     same(spark, rows, [(1, item), (1, item), (2, None)])
+    same(spark, rows, [(None, item), (None, item + " more"), (3, "j0 k1")])
     same(spark, rows, [])
     same(spark, [], [(1, item)])
 
@@ -87,6 +88,25 @@ def test_only_narrow_rows_are_marked_for_broadcast(spark, monkeypatch):
     assert not any(kind.startswith("array") for dtypes in seen for _, kind in dtypes)
 
 
+def test_beyond_the_bound_nothing_is_broadcast(spark, monkeypatch):
+    from smogline.llm import groups
+    monkeypatch.setattr(groups, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(groups.F, "broadcast", lambda df: pytest.fail("broadcast"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        same(spark, *corpus(5))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_bound_counts_bytes(spark, tmp_path):
+    from smogline.llm.groups import checked
+    wide = spark.createDataFrame([("x" * 5000,)] * 20, "window string")
+    hinted = lambda df: "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(checked(wide, 200_000)) and not hinted(checked(wide, 50_000))
+
+
 def test_drop(spark):
     df = spark.createDataFrame([(1, "a b c", None), (None, "a b d", 2), (None, "a b d", 2), (2, None, 3)],
                                "doc_id long, text string, key int")
