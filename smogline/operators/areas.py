@@ -33,18 +33,10 @@ def area_trend(sensor_windows: DataFrame, windows: Windows = Windows()) -> DataF
     )
 
 
-def area_trend_stream(sensor_windows: DataFrame, windows: Windows = Windows()) -> DataFrame:
-    """The same on a stream; ``sensor_windows`` still has its ``window`` column."""
-    flags = sensor_flags(sensor_windows)
-    return (
-        flags.groupBy("area", F.window(F.window_time("window"), windows.area).alias("_w"))
-        .agg(F.sum("flag").alias("sensorsReportingTrend"))
-        .select(
-            "area",
-            F.col("_w.start").alias("window_start"),
-            F.col("_w.end").alias("window_end"),
-            "sensorsReportingTrend",
-        )
+def area_totals(parts: DataFrame) -> DataFrame:
+    """Sums per (area, window) from the results of :func:`area_trend` over parts of the sensor windows."""
+    return parts.groupBy("area", "window_start", "window_end").agg(
+        F.sum("sensorsReportingTrend").alias("sensorsReportingTrend")
     )
 
 
@@ -53,9 +45,11 @@ def area_running_count(too_high: DataFrame) -> DataFrame:
     return too_high.groupBy("area").agg(F.count(F.lit(1)).alias("count"))
 
 
-def area_count_updates(too_high: DataFrame) -> DataFrame:
+def area_count_updates(too_high: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Every value the running count takes, with the end of the window that caused it.
 
+    ``before`` (area, count) is what was counted earlier; a stream carries it from batch to batch.
+
     Rows are counted per (area, window) first; only these counts are summed up
     in order. The values between two sums are then listed in blocks, so that
     one window with very many flags is listed by many tasks.
@@ -64,8 +58,13 @@ def area_count_updates(too_high: DataFrame) -> DataFrame:
     until = Window.partitionBy("area").orderBy("window_end").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
+    summed = counts.withColumn("_to", F.sum("_n").over(until))
+    if before is not None:
+        summed = summed.join(before.withColumnRenamed("count", "_before"), "area", "left").withColumn(
+            "_to", F.col("_to") + F.coalesce("_before", F.lit(0))
+        ).drop("_before")
     return (
-        counts.withColumn("_to", F.sum("_n").over(until))
+        summed
         .withColumn("_from", F.col("_to") - F.col("_n") + 1)
         .withColumn("_block", F.explode(F.sequence("_from", "_to", F.lit(COUNT_BLOCK))))
         .repartition("area", "_block")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from smogline.functions.scalars import fahrenheit
 from smogline.operators.panes import assign_panes, pane_micros, ranked, window_starts
-from smogline.operators.rise import in_first_edge, in_last_edge, rise_flag, rise_of_sorted
+from smogline.operators.rise import in_first_edge, in_last_edge, rise_flag
 from smogline.operators.windows import arrival_number, assign_windows, micros
 from smogline.params import Windows
 
@@ -116,34 +116,6 @@ def sensor_windows(
     return named.select(*_result_columns(KEYS, flag, carry, bool(climate)))
 
 
-def sensor_windows_stream(
-    readings: DataFrame, windows: Windows = Windows(), carry: tuple = ("lat", "lon")
-) -> DataFrame:
-    """The same rows for a stream (``append``: a window appears once it has closed).
-
-    ``readings`` carries a watermark on ``ts``. The group is kept as an array in
-    the state store until the window closes; ``carry`` names the columns of the
-    first row that are kept beside its area. The ``window`` column is left in
-    for a window on top of this one.
-    """
-    entry = F.struct("ts", "seq", "pm2", "area", *carry)
-    grouped = readings.groupBy("id", F.window("ts", windows.size, windows.slide).alias("window")).agg(
-        F.sort_array(F.collect_list(entry)).alias("_rows"),
-        F.count(F.lit(1)).alias("_n"),
-        F.sum("pm2").alias("sumPM2"),
-        F.max("tempC").alias("tempC"),
-        F.max("humidity").alias("humidity"),
-    )
-    first = F.element_at("_rows", 1)
-    flag = rise_of_sorted(F.transform("_rows", lambda r: r["pm2"]))
-    keys = [
-        "id", "window",
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-    ]
-    named = grouped.withColumns({c: first[c] for c in ("area", *carry)})
-    return named.select(*_result_columns(keys, flag, carry))
-
-
 def sensor_flags(sensor_windows: DataFrame) -> DataFrame:
     """The second output of the window operator: one 0/1 flag per sensor window, with its area."""
     return sensor_windows.withColumn("flag", F.col("pm2tooHigh").cast("int"))

@@ -25,6 +25,7 @@ from smogline.sources.events import events, observations, readings, wire_a, wire
 DAYS = Windows(size="10 days", slide="5 days", area="60 hours", trend="2 days", grace="1 day",
                delay="1 day")
 ALARM_SENSORS = 640
+LATE_FILES = 6
 PLACES = 7
 
 
@@ -100,22 +101,27 @@ def good_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode.decode_positional(text, mode=decode.SKIP)
 
 
-def bad_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every seventh message cut short, every ninth with a fraction in a whole number."""
-    wire = wire_b(_observations(spark, sf_dir)).select("key", "value", "seq")
+def damaged_json(wire: DataFrame) -> DataFrame:
     value = F.col("value")
     text = F.when(F.col("seq") % 7 == 0, F.left(value, F.lit(20))).when(
         F.col("seq") % 9 == 0, F.regexp_replace(value, '"lon":([0-9]+)', '"lon":$1.5')
     ).otherwise(value)
-    marked = decode.mark_json(wire.withColumn("value", text))
-    return decode.quarantine(marked, "seq").select("seq", F.length("value").alias("length"))
+    return wire.withColumn("value", text)
 
 
-def bad_store_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wire = wire_c(_observations(spark, sf_dir))
+def damaged_store(wire: DataFrame) -> DataFrame:
     short = F.substring_index("value", ",", 4)
-    text = wire.withColumn("value", F.when(F.col("seq") % 10 == 7, short).otherwise(F.col("value")))
-    return decode.quarantine(decode.mark_store(text), "seq")
+    return wire.withColumn("value", F.when(F.col("seq") % 10 == 7, short).otherwise(F.col("value")))
+
+
+def bad_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh message cut short, every ninth with a fraction in a whole number."""
+    marked = decode.mark_json(damaged_json(wire_b(_observations(spark, sf_dir)).select("key", "value", "seq")))
+    return decode.quarantine(marked, "seq")
+
+
+def bad_store_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decode.quarantine(decode.mark_store(damaged_store(wire_c(_observations(spark, sf_dir)))), "seq")
 
 
 # projections ----------------------------------------------------------------
@@ -207,10 +213,17 @@ def encode_trend_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encode_trend_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The text on the topic itself, of rounded numbers in plain notation."""
-    flat = rounded(_trend(spark, sf_dir), "avgPm2", "sumPm2", "temperatureFMax")
-    sent = records.encode_trend(flat.withColumn("pair", F.struct(F.lit(0.5).alias("first"))))
-    return sent.select("key", F.regexp_replace("value", r'"(avgPm2|sumPm2|maxPm2|temperature.Max)":[^,}]*', '"$1":0').alias("value"))
+    """The text on the topic itself; numbers as decimals of six places, which print alike everywhere."""
+    trend = _trend(spark, sf_dir)
+    plain = lambda c: F.round(c, 6).cast("decimal(18,6)")
+    names = ("avgPm2", "sumPm2", "maxPm2", "temperatureCMax", "temperatureFMax")
+    pair = F.struct(*[plain(F.col(f"pair.{c}")).alias(c) for c in ("first", "second", "third")])
+    return records.encode_trend(trend.withColumns({**{c: plain(F.col(c)) for c in names}, "pair": pair}))
+
+
+def encode_counts_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value of the running counts as it goes to the topic."""
+    return records.encode_counts(areas.area_count_updates(tr.too_high(_trend(spark, sf_dir))))
 
 
 # points and payloads --------------------------------------------------------
@@ -284,15 +297,31 @@ def map_area_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sensor_rise_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = streams.detection_table(prepare(spark), sf_dir, DAYS, "sensor_window")
-    return rounded(result.drop("lat", "lon", "date"), "avgPM2", "sumPM2", "tempF")
+    return rounded(result.drop("lat", "lon"), "avgPM2", "sumPM2", "tempF")
+
+
+def sensor_flag_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second output of the window operator, from the same state and query as the first."""
+    return streams.detection_table(prepare(spark), sf_dir, DAYS, "sensor_flag")
 
 
 def area_trend_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return streams.detection_table(prepare(spark), sf_dir, DAYS, "area_trend").drop("date")
+    return streams.detection_table(prepare(spark), sf_dir, DAYS, "area_trend")
+
+
+def map_area_layer_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layer = streams.map_area_layer(prepare(spark), sf_dir, DAYS)
+    return rounded(layer, "start_lat", "start_lng", "end_lat", "end_lng")
 
 
 def trend_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = streams.trend_table(prepare(spark), sf_dir, DAYS, "trend").drop("date")
+    result = streams.trend_table(prepare(spark), sf_dir, DAYS, "trend")
+    return rounded(_flat_pair(result), "avgPm2", "sumPm2", "temperatureFMax")
+
+
+def trend_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows of the stream and those that its named store still holds."""
+    result = streams.trend_with_open(prepare(spark), sf_dir, DAYS)
     return rounded(_flat_pair(result), "avgPm2", "sumPm2", "temperatureFMax")
 
 
@@ -302,6 +331,38 @@ def area_running_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updates.groupBy("area").agg(F.max("count").alias("count"))
 
 
+def alert_messages_updates_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streams.trend_table(prepare(spark), sf_dir, DAYS, "area_count")
+
+
+def late_rows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every eleventh event comes one file late, of six; did it still count?"""
+    return streams.late_rows(prepare(spark), sf_dir, DAYS, F.col("seq") % 11 == 0, LATE_FILES, 1)
+
+
+def bad_records_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and bad rows of a running job over damaged text."""
+    text = damaged(wire_a(_observations(spark, sf_dir)).select("value", "seq"))
+    return streams.split_table(spark, text, decode.mark_positional, "readings", "bad_records")
+
+
+def bad_json_records_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = damaged_json(wire_b(_observations(spark, sf_dir)).select("key", "value", "seq"))
+    return streams.split_table(spark, text, decode.mark_json, "observations", "bad_records")
+
+
+def bad_store_records_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = damaged_store(wire_c(_observations(spark, sf_dir)))
+    return streams.split_table(spark, text, decode.mark_store, "store_readings", "bad_store_records")
+
+
+def rise_from_text_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wire A lines of one file, in its order; the file has one time, so a sensor has windows of all its rows."""
+    lines = streams.text_lines(spark, wire_a(_observations(spark, sf_dir)))
+    windows = sw.sensor_windows(decode.decode_positional(lines), Windows("1 day", "1 day"))
+    return rounded(windows, "sumPM2").select("id", "elementsInWindow", "pm2tooHigh", "sumPM2", "area", "lat", "lon")
+
+
 def sensor_rise_closing(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = streams.closed_table(prepare(spark), sf_dir, DAYS, "sensor_window")
     return rounded(result.drop("lat", "lon"), "avgPM2", "sumPM2", "tempF")
@@ -330,7 +391,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         points_map_sensors, points_map_areas, raw_points, trend_points, store_payload,
         points_time_range,
         map_sensor_layer, map_layer_from_text, map_area_layer,
-        sensor_rise_stream, area_trend_stream, trend_stream, area_running_count_stream,
+        encode_counts_text,
+        sensor_rise_stream, sensor_flag_stream, area_trend_stream, map_area_layer_stream,
+        trend_stream, trend_store, area_running_count_stream, alert_messages_updates_stream, late_rows_stream,
+        bad_records_stream, bad_json_records_stream, bad_store_records_stream, rise_from_text_file,
         sensor_rise_closing, area_trend_closing, trend_closing,
     )
 }

@@ -103,6 +103,17 @@ WIRE_A = """'{"measurement":"pollution", "id": ' || sensorId || ', "long": ' ||
   || ', "humidity": ' || humidity || ', "temperature": ' || temperature || ', "pm2": ' || pm2 || '}'"""
 POSITIONAL = "seq, id, pm2, area, lat, lon, tempC, humidity"
 
+JSON_TEXT = """text AS (
+  SELECT seq, seq % 7 = 0 OR seq % 9 = 0 AS bad,
+         CASE WHEN seq % 7 = 0 THEN left(record, 20) ELSE regexp_replace(record, '"lon":([0-9]+)', '"lon":\\1.5') END AS value
+  FROM (SELECT seq, CAST(to_json({sensorId: sensorId, lon: lon, lat: lat, temperature: temperature,
+          humidity: humidity, pm2: pm2, measurement: measurement}) AS VARCHAR) AS record FROM obs))"""
+
+
+def _decimal(column: str) -> str:
+    return f"CAST(round({column}, 6) AS DECIMAL(18, 6))"
+
+
 # 0.1 km of latitude and longitude at the map origin, in degrees
 _STEP_LAT = "(100.0::DOUBLE * (180 / (6371000::DOUBLE * sin(radians(47.063::DOUBLE)) * pi())))"
 _STEP_LNG = f"({_STEP_LAT} / cos(radians(47.063::DOUBLE)))"
@@ -126,11 +137,7 @@ ORACLE: dict[str, str] = {
         FROM text WHERE seq % 10 IN (3, 5, 7, 9)""",
     "good_records": f"""WITH {READING} SELECT {POSITIONAL} FROM reading
         WHERE seq % 10 NOT IN (3, 5, 7, 9)""",
-    "bad_json_records": f"""WITH {OBS}, text AS (SELECT seq, lon, CAST(length(to_json({{
-          sensorId: sensorId, lon: lon, lat: lat, temperature: temperature, humidity: humidity,
-          pm2: pm2, measurement: measurement}})) AS INTEGER) AS n FROM obs)
-        SELECT seq, CASE WHEN seq % 7 = 0 THEN 20 ELSE n + 2 END AS length
-        FROM text WHERE seq % 7 = 0 OR seq % 9 = 0""",
+    "bad_json_records": f"""WITH {OBS}, {JSON_TEXT} SELECT seq, value FROM text WHERE bad""",
     "bad_store_records": f"""WITH {OBS} SELECT seq, '{{"id":' || sensorId || ',"measurement":pollution,"ts":'
         || (epoch_us(ts) // 1000) || ',"lon":' || lon AS value FROM obs WHERE seq % 10 = 7""",
     "area_grid": f"""WITH {OBS} SELECT seq, lat, lon,
@@ -180,9 +187,14 @@ ORACLE: dict[str, str] = {
         '{{"key":' || to_json(key) || ',"window_start":' || (epoch_us(window_start) // 1000)
           || ',"window_end":' || (epoch_us(window_end) // 1000) || '}}' AS key,
         '{{"sensorId":"' || sensorId || '","measurement":"' || measurement || '","tooHigh":' || tooHigh
-          || ',"tooHighCount":' || tooHighCount || ',"area":"' || area || '","avgPm2":0,"countUsecase":'
-          || countUsecase || ',"pair":{{"first":0.5}},"sumPm2":0,"maxPm2":0,"temperatureCMax":0,'
-          || '"temperatureFMax":0,"humidityMax":' || humidityMax || '}}' AS value FROM trend""",
+          || ',"tooHighCount":' || tooHighCount || ',"area":"' || area || '","avgPm2":' || {_decimal("avgPm2")}
+          || ',"countUsecase":' || countUsecase || ',"pair":{{"first":' || {_decimal("pair_first")} || ',"second":'
+          || {_decimal("pair_second")} || ',"third":' || {_decimal("pair_third")} || '}},"sumPm2":' || {_decimal("sumPm2")}
+          || ',"maxPm2":' || {_decimal("maxPm2")} || ',"temperatureCMax":' || {_decimal("temperatureCMax")}
+          || ',"temperatureFMax":' || {_decimal("temperatureFMax")} || ',"humidityMax":' || humidityMax || '}}' AS value
+        FROM trend""",
+    "encode_counts_text": f"""{TREND} SELECT area AS key,
+        CAST(row_number() OVER (PARTITION BY area ORDER BY window_end) AS VARCHAR) AS value FROM trend WHERE tooHigh""",
     "points_pollution": f"""WITH {READING} SELECT 'Pollution' AS measurement, ts, id, area,
         lat AS latitude, lon AS longitude, pm2, humidity, tempC FROM reading""",
     "points_pollution_plain": f"""WITH {READING} SELECT 'Pollution' AS measurement, ts, id, area,
@@ -235,8 +247,46 @@ ORACLE: dict[str, str] = {
         {STATS}, {PAIR} FROM trend WHERE window_end <= {_CLOSED}""",
     "area_running_count_stream": f"""{TREND} SELECT area, count(*) AS count FROM trend
         WHERE tooHigh AND window_end <= {_CLOSED} GROUP BY area""",
+    "sensor_flag_stream": f"""WITH {SENSOR}
+        SELECT id, window_end, CAST(pm2tooHigh AS INTEGER) AS flag, area FROM sw WHERE window_end <= {_CLOSED}""",
+    "trend_store": f"""{TREND} SELECT key, window_start, window_end, tooHigh, tooHighCount,
+        {STATS}, {PAIR}, window_end > {_CLOSED} AS open FROM trend""",
+    "alert_messages_updates_stream": f"""{TREND}, counted AS (
+        SELECT area, window_end, row_number() OVER (PARTITION BY area ORDER BY window_end) AS count
+        FROM trend WHERE tooHigh AND window_end <= {_CLOSED})
+        SELECT area, window_end, count,
+          'In ' || area || 'was registred a too high Pm2.5 concentration' || count AS message
+        FROM counted""",
+    # a file moves the watermark for the files after it; a window takes rows in while its end lies behind that
+    "late_rows_stream": f"""WITH {OBS}, landed AS (
+          SELECT seq, ts, least(floor(seq * 6 / (SELECT max(seq) + 1 FROM obs)) + CASE WHEN seq % 11 = 0 THEN 1 ELSE 0 END, 5) AS file
+          FROM obs),
+        moved AS (SELECT file, (max(epoch_us(max(ts)) // 1000) OVER (ORDER BY file) - 86400000) * 1000 AS mark
+                  FROM landed GROUP BY file)
+        SELECT seq, epoch_us(time_bucket(INTERVAL 2 DAY, ts, TIMESTAMP '1970-01-01') + INTERVAL 2 DAY)
+                    > coalesce(mark, 0) AS counted
+        FROM landed LEFT JOIN moved ON moved.file = landed.file - 1 WHERE seq % 11 = 0""",
+    "bad_json_records_stream": f"""WITH {OBS}, {JSON_TEXT}
+        SELECT seq, CASE WHEN bad THEN value END AS value FROM text""",
+    "rise_from_text_file": f"""WITH {READING}, lines AS (
+          SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq) AS rk, count(*) OVER (PARTITION BY id) AS n FROM reading)
+        SELECT id, CAST(max(n) AS INTEGER) AS elementsInWindow,
+          max(n) > 1 AND avg(pm2) FILTER (rk > n - 1 - n // 10) - avg(pm2) FILTER (rk <= 1 + n // 10) > 10 AS pm2tooHigh,
+          round(sum(pm2), 7) AS sumPM2, min_by(area, rk) AS area, min_by(lat, rk) AS lat, min_by(lon, rk) AS lon
+        FROM lines GROUP BY id""",
 }
 
+# A running job splits the same messages: bad ones with their text, good ones without.
+for _bad in ("bad_records", "bad_store_records"):
+    ORACLE[f"{_bad}_stream"] = f"""SELECT event_id AS seq, bad.value AS value FROM events
+        LEFT JOIN ({ORACLE[_bad]}) bad ON bad.seq = event_id"""
+
+# The map over the areas that have closed.
+ORACLE["map_area_layer_stream"] = ORACLE["map_area_layer"].replace(
+    f"WITH {AREA}", f"""WITH {SENSOR}, ended AS (SELECT * FROM sw WHERE window_end <= {_CLOSED})
+        {_area_cte("ended").replace("GROUP BY ALL)", f"GROUP BY ALL HAVING {_AREA_BUCKET} + INTERVAL 60 HOUR <= {_CLOSED})")}"""
+)
+
 # Landed rows and the batch operators give the same closed windows.
 for _batch in ("sensor_rise", "area_trend", "trend"):
     ORACLE[f"{_batch}_closing"] = ORACLE[f"{_batch}_stream"]

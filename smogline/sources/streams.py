@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,15 +63,30 @@ def file_records(
 def file_text(spark: SparkSession, path: str, files_per_trigger: int = 1000) -> DataFrame:
     """Plain text files, one message per line; the file's time stands in for the arrival time.
 
-    Lines of a file carry no order of their own. ``seq`` only makes results
-    repeatable; land records (:func:`file_records`) where the order of messages
-    within a file matters.
+    ``seq`` is the place of a line in its file (the start of the block that a task reads, and the number
+    of the line in it), below 23 bits from the name of the file. So lines of a file keep their order however
+    the file is split, and files of the same millisecond are not mixed.
     """
-    return (
-        spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
-        .select(
-            "value",
-            F.col("_metadata.file_modification_time").alias("ts"),
-            F.xxhash64("value").alias("seq"),
-        )
+    found = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path).select(
+        "value",
+        F.col("_metadata.file_modification_time").alias("ts"),
+        F.shiftrightunsigned(F.xxhash64("_metadata.file_path"), 41).alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
     )
+    return found.mapInArrow(_numbered, "value STRING, ts TIMESTAMP, seq BIGINT")
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the lines of each block; a task reads blocks one after the other, each from its start."""
+    last, count = None, 0
+    for batch in batches:
+        file, start = (batch[c].to_numpy() for c in ("file", "start"))
+        cuts = np.flatnonzero((np.diff(file) != 0) | (np.diff(start) != 0)) + 1
+        place = np.empty(len(file), np.int64)
+        for lo, hi in zip([0, *cuts], [*cuts, len(file)]):
+            if hi > lo:
+                if (file[lo], start[lo]) != last:
+                    last, count = (file[lo], start[lo]), 0
+                place[lo:hi] = np.arange(count, count + hi - lo)
+                count += hi - lo
+        yield pa.record_batch({"value": batch["value"], "ts": batch["ts"], "seq": pa.array((file << 40) + start + place)})

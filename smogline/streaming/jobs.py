@@ -1,8 +1,10 @@
-"""The two streaming jobs, wired from source to tables.
+"""The streaming jobs, wired from source to tables.
 
-Each stage is a streaming query with its own checkpoint under ``root``. Alerts and
-running counts read the table of the stage before them, so they add no window
-state. Started again on the same ``root``, every stage goes on from its checkpoint.
+A job is a few streaming queries, each with its own checkpoint under ``root``. The first one decodes the
+source, once, and writes points, decoded rows and bad rows; the next one runs the windows over the
+decoded rows and writes everything that follows from them, so window state is held once. Whatever a
+query carries from batch to batch (open area windows, running counts) is a small table of its own,
+one folder per batch. Started again on the same ``root``, every query goes on from its checkpoint.
 """
 
 from __future__ import annotations
@@ -10,24 +12,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import StructType
 
-from smogline.functions.decode import decode_store
-from smogline.operators import alerts, areas, points, records
-from smogline.operators.sensor_windows import sensor_windows_stream
+from smogline.functions import decode
+from smogline.operators import alerts, areas, maps, points, records
 from smogline.operators.trend import too_high
-from smogline.params import AREAS, SENSORS, Windows
+from smogline.params import AREAS, MAP_AREAS, SENSORS, Windows
 from smogline.session import prepare
-from smogline.streaming.sinks import append_table, batch_table, jdbc_table, kafka_topic
-from smogline.streaming.stateful import trend_stream
+from smogline.streaming.sinks import Batch, jdbc_writer, kafka_topic, made, several_tables
+from smogline.streaming.stateful import sensor_windows_and_late, trend_and_late
 
 Stage = Callable[[dict | None], StreamingQuery]
 
-SENSOR_WINDOW_SCHEMA = (
-    "id STRING, window_start TIMESTAMP, window_end TIMESTAMP, pm2tooHigh BOOLEAN, area STRING, "
-    "avgPM2 DOUBLE, elementsInWindow INT, sumPM2 DOUBLE, tempC DOUBLE, tempF DOUBLE, "
-    "humidity DOUBLE, lat STRING, lon STRING"
-)
 AREA_TREND_SCHEMA = (
     "area STRING, window_start TIMESTAMP, window_end TIMESTAMP, sensorsReportingTrend BIGINT"
 )
@@ -37,118 +35,193 @@ TREND_SCHEMA = (
     "maxPm2 DOUBLE, temperatureCMax DOUBLE, temperatureFMax DOUBLE, humidityMax INT, "
     "tooHigh BOOLEAN, tooHighCount INT, pair STRUCT<first: DOUBLE, second: DOUBLE, third: DOUBLE>"
 )
+COUNT_SCHEMA = "area STRING, count BIGINT"
 
 
-def _table_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+def _table_stream(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """A table as a stream; its folders give no columns, as it may have none yet."""
+    made(spark, path)
+    return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
-def detection_stages(
+def _checkpoint(root: str, name: str) -> str:
+    return f"{root}/_checkpoints/{name}"
+
+
+def decoded_stage(
+    marked: DataFrame, root: str, good: str, shapes: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+    bad: str = "bad_records",
+) -> Stage:
+    """Split a decoded stream with its ``ok`` flag: good rows to ``good``, bad ones to ``bad``.
+
+    ``shapes`` are further tables made of the good rows. Each message is decoded once, for all tables.
+    """
+    def tables(rows: DataFrame, batch: Batch) -> dict:
+        fine = rows.where("ok").drop("ok", "value")
+        date_of = "ts" if dict(rows.dtypes).get("ts") == "timestamp" else None  # wire C has text there
+        passed = [c for c in ("key", date_of, "seq") if c in rows.columns]
+        return {
+            good: (fine, date_of), bad: (decode.quarantine(rows, *passed), date_of),
+            **{name: (shape(fine), "ts") for name, shape in (shapes or {}).items()},
+        }
+
+    return lambda trigger=None: several_tables(marked, tables, root, _checkpoint(root, good), trigger)
+
+
+def landed_stage(rows: DataFrame, root: str, good: str, shapes: dict[str, Callable[[DataFrame], DataFrame]]) -> Stage:
+    """The same for rows that come decoded."""
+    def tables(kept: DataFrame, batch: Batch) -> dict:
+        return {good: (kept, "ts"), **{name: (shape(kept), "ts") for name, shape in shapes.items()}}
+
+    return lambda trigger=None: several_tables(rows, tables, root, _checkpoint(root, good), trigger)
+
+
+def window_stage(
     readings: DataFrame, root: str, windows: Windows = Windows(), sensors: int = SENSORS,
     number_of_areas: int = AREAS, policy: str = alerts.BOTH,
-) -> dict[str, Stage]:
-    """Pipeline A on a stream of readings: points, sensor windows, area trend, alerts."""
-    spark = prepare(readings.sparkSession)
+) -> Stage:
+    """All that follows from sensor windows: both outputs of the window operator, points, areas, alerts.
 
-    def sink(name: str, df: DataFrame, date_of: str, trigger: dict | None) -> StreamingQuery:
-        return append_table(df, f"{root}/{name}", f"{root}/_checkpoints/{name}", date_of, trigger)
+    An area window is closed when the watermark has passed its end, as all sensor windows in it
+    are out by then; until then its sum so far is carried in ``carried_area_open``.
+    """
+    def tables(found: DataFrame, batch: Batch) -> dict:
+        closed = found.where("late_ts IS NULL").drop("late_ts", "late_seq")
+        before = batch.before("carried_area_open", AREA_TREND_SCHEMA)
+        sums = batch.keep(areas.area_totals(areas.area_trend(closed, windows).unionByName(before)))
+        ended = F.unix_micros("window_end") <= F.lit(batch.watermark_us)
+        area = sums.where(ended)
+        flags = closed.select("id", "window_end", F.col("pm2tooHigh").cast("int").alias("flag"), "area")
+        return {
+            "sensor_window": (closed, "window_end"),
+            "sensor_flag": (flags, "window_end"),
+            "SensorData": (points.sensor_data(closed, "window_end"), "ts"),
+            "sensors": (points.map_sensors(closed, "window_end"), "ts"),
+            "late_readings": (found.where("late_ts IS NOT NULL").select("id", F.col("late_ts").alias("ts"), F.col("late_seq").alias("seq")), None),
+            "area_trend": (area, "window_end"),
+            "AreaTrend": (points.area_trend_points(area, "window_end"), "ts"),
+            "areas": (points.map_areas(area, "window_end"), "ts"),
+            "alerts": (alerts.area_messages(area, policy, sensors, number_of_areas), "window_end"),
+            "carried_area_open": (sums.where(~ended), None),
+        }
 
-    def pollution(trigger: dict | None = None) -> StreamingQuery:
-        return sink("Pollution", points.pollution(readings), "ts", trigger)
+    def stage(trigger: dict | None = None) -> StreamingQuery:
+        found = sensor_windows_and_late(readings.withWatermark("ts", windows.delay), windows)
+        return several_tables(found, tables, root, _checkpoint(root, "sensor_window"), trigger)
 
-    def sensor_window(trigger: dict | None = None) -> StreamingQuery:
-        marked = readings.withWatermark("ts", windows.delay)
-        result = sensor_windows_stream(marked, windows).drop("window")
-        return sink("sensor_window", result, "window_end", trigger)
+    return stage
 
-    def area_trend(trigger: dict | None = None) -> StreamingQuery:
-        # Read from the sensor_window table, an area window could only close once
-        # the next sensor windows are in; on the stream itself it closes with them.
-        marked = readings.withWatermark("ts", windows.delay)
-        flags = sensor_windows_stream(marked, windows, carry=())
-        return sink("area_trend", areas.area_trend_stream(flags, windows), "window_end", trigger)
 
-    def alert(trigger: dict | None = None) -> StreamingQuery:
-        results = _table_stream(spark, f"{root}/area_trend", AREA_TREND_SCHEMA)
-        messages = alerts.area_messages(results, policy, sensors, number_of_areas)
-        return sink("alerts", messages, "window_end", trigger)
+def sensor_id_stage(readings: DataFrame, root: str, horizon: str = "30 days") -> Stage:
+    """``sensor_ids``: each sensor once per horizon, for the map's number of sensors.
 
-    def points_of(table: str, schema: str, shape: Callable[[DataFrame], DataFrame], name: str) -> Stage:
-        def stage(trigger: dict | None = None) -> StreamingQuery:
-            shaped = shape(_table_stream(spark, f"{root}/{table}", schema))
-            return sink(name, shaped, "ts", trigger)
+    The state holds ids only, and drops one when nothing of the sensor came for ``horizon``.
+    """
+    def tables(rows: DataFrame, batch: Batch) -> dict:
+        return {"sensor_ids": (rows, None)}
 
-        return stage
+    def stage(trigger: dict | None = None) -> StreamingQuery:
+        seen = readings.select("id", "ts").withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["id"])
+        return several_tables(seen, tables, root, _checkpoint(root, "sensor_ids"), trigger)
+
+    return stage
 
+
+def detection_stages(
+    readings: DataFrame, root: str, windows: Windows = Windows(), sensors: int = SENSORS,
+    number_of_areas: int = AREAS, policy: str = alerts.BOTH, horizon: str = "30 days",
+) -> dict[str, Stage]:
+    """Pipeline A on a stream of readings, or of decoded messages with their ``ok`` flag."""
+    spark = prepare(readings.sparkSession)
+    rows = _table_stream(spark, f"{root}/readings", readings.drop("ok", "value").schema)
+    first = decoded_stage if "ok" in readings.columns else landed_stage
     return {
-        "Pollution": pollution,
-        "sensor_window": sensor_window,
-        "area_trend": area_trend,
-        "SensorData": points_of("sensor_window", SENSOR_WINDOW_SCHEMA, points.sensor_data, "SensorData"),
-        "AreaTrend": points_of("area_trend", AREA_TREND_SCHEMA, points.area_trend_points, "AreaTrend"),
-        "sensors": points_of("sensor_window", SENSOR_WINDOW_SCHEMA, points.map_sensors, "sensors"),
-        "areas": points_of("area_trend", AREA_TREND_SCHEMA, points.map_areas, "areas"),
-        "alerts": alert,
+        "readings": first(readings, root, "readings", {"Pollution": lambda r: points.pollution(r, "ts")}),
+        "sensor_window": window_stage(rows, root, windows, sensors, number_of_areas, policy),
+        "sensor_ids": sensor_id_stage(rows, root, horizon),
     }
 
 
-def trend_stages(
-    observations: DataFrame, root: str, windows: Windows = Windows()
-) -> dict[str, Stage]:
-    """Pipeline B on a stream of keyed observations: raw points, trend, running counts.
+def trend_stage(observations: DataFrame, root: str, windows: Windows = Windows()) -> Stage:
+    """All that follows from the trend: the records, points, rows that came too late, every running count.
 
-    Counting runs as a query of its own over the trend table: an aggregation in
-    ``update`` mode cannot sit on top of one that waits for its windows.
+    What was counted per area so far is carried in ``carried_area_total``, so each value of a count is a row of
+    ``area_count``, whatever the number of windows that close in one batch.
     """
-    spark = prepare(observations.sparkSession)
+    def tables(found: DataFrame, batch: Batch) -> dict:
+        closed = found.where("late_ts IS NULL").drop("late_ts", "late_seq")
+        before, flagged = batch.before("carried_area_total", COUNT_SCHEMA), too_high(closed)
+        late = found.where("late_ts IS NOT NULL").select("key", F.col("late_ts").alias("ts"), F.col("late_seq").alias("seq"))
+        counts = areas.area_running_count(flagged).unionByName(before)
+        return {
+            "trend": (closed, "window_end"),
+            "pollution": (points.trend_points(closed, "window_end"), "ts"),
+            "late_observations": (late, None),
+            "area_count": (alerts.update_messages(areas.area_count_updates(flagged, before)), None),
+            "carried_area_total": (counts.groupBy("area").agg(F.sum("count").alias("count")), None),
+        }
 
-    def sink(name: str, df: DataFrame, date_of: str, trigger: dict | None) -> StreamingQuery:
-        return append_table(df, f"{root}/{name}", f"{root}/_checkpoints/{name}", date_of, trigger)
+    def stage(trigger: dict | None = None) -> StreamingQuery:
+        found = trend_and_late(observations.withWatermark("ts", windows.grace), windows)
+        return several_tables(found, tables, root, _checkpoint(root, "trend"), trigger)
 
-    def raw(trigger: dict | None = None) -> StreamingQuery:
-        return sink("pollutionRaw", points.raw(observations), "ts", trigger)
+    return stage
 
-    def trend(trigger: dict | None = None) -> StreamingQuery:
-        result = trend_stream(observations.withWatermark("ts", windows.grace), windows)
-        return sink("trend", result, "window_end", trigger)
 
-    def counts(trigger: dict | None = None) -> StreamingQuery:
-        results = _table_stream(spark, f"{root}/trend", TREND_SCHEMA)
-        running = alerts.update_messages(areas.area_running_count(too_high(results)))
-        return batch_table(running, f"{root}/area_count", f"{root}/_checkpoints/area_count", "update", trigger)
+def trend_stages(
+    observations: DataFrame, root: str, windows: Windows = Windows()
+) -> dict[str, Stage]:
+    """Pipeline B on a stream of keyed observations, or of decoded messages with their ``ok`` flag."""
+    spark = prepare(observations.sparkSession)
+    rows = _table_stream(spark, f"{root}/observations", observations.drop("ok", "value").schema)
+    first = decoded_stage if "ok" in observations.columns else landed_stage
+    return {
+        "observations": first(observations, root, "observations", {"pollutionRaw": lambda r: points.raw(r, "ts")}),
+        "trend": trend_stage(rows, root, windows),
+    }
 
-    def trend_points(trigger: dict | None = None) -> StreamingQuery:
-        results = _table_stream(spark, f"{root}/trend", TREND_SCHEMA)
-        return sink("pollution", points.trend_points(results), "ts", trigger)
 
-    return {"pollutionRaw": raw, "trend": trend, "pollution": trend_points, "area_count": counts}
+def store_stage(text: DataFrame, root: str) -> Stage:
+    """The store job: wire C text to a table of payloads, bad messages to a table of their own."""
+    prepare(text.sparkSession)
+    return decoded_stage(
+        decode.mark_store(text.drop("ts")), root, "store_readings", bad="bad_store_records",
+    )
 
 
-def store_stage(text: DataFrame, url: str, table: str, checkpoint: str, **options: str) -> Stage:
-    """The store job: wire C text to one payload column of a database table."""
+def payload_stage(spark: SparkSession, root: str, url: str, table: str, **options: str) -> Stage:
+    """The payloads of the store job to a column of a database table, at least once."""
+    schema = "seq BIGINT, id STRING, ts STRING, pm2 STRING"
 
     def stage(trigger: dict | None = None) -> StreamingQuery:
-        payload = records.store_payload(decode_store(text))
-        return jdbc_table(payload, url, table, checkpoint, trigger, **options)
+        rows = records.store_payload(_table_stream(spark, f"{root}/store_readings", schema))
+        writer = rows.writeStream.option("checkpointLocation", _checkpoint(root, "payload"))
+        return writer.foreachBatch(jdbc_writer(url, table, **options)).trigger(**(trigger or {"availableNow": True})).start()
 
     return stage
 
 
 def topic_stages(root: str, spark: SparkSession, servers: str, trend_topic: str, count_topic: str) -> dict[str, Stage]:
-    """Publish the trend table and the running counts (needs the Kafka package on the class path)."""
+    """Publish the trend records and every running count (needs the Kafka package on the class path)."""
 
-    def trend(trigger: dict | None = None) -> StreamingQuery:
-        results = _table_stream(spark, f"{root}/trend", TREND_SCHEMA)
-        return kafka_topic(records.encode_trend(results), servers, trend_topic,
-                           f"{root}/_checkpoints/trend_topic", "append", trigger)
+    def publish(table: str, schema: str, encode: Callable[[DataFrame], DataFrame], topic: str, name: str) -> Stage:
+        def stage(trigger: dict | None = None) -> StreamingQuery:
+            rows = encode(_table_stream(spark, f"{root}/{table}", schema))
+            return kafka_topic(rows, servers, topic, _checkpoint(root, name), "append", trigger)
+
+        return stage
+
+    return {
+        "trend_topic": publish("trend", TREND_SCHEMA, records.encode_trend, trend_topic, "trend_topic"),
+        "count_topic": publish("area_count", COUNT_SCHEMA, records.encode_counts, count_topic, "count_topic"),
+    }
 
-    def counts(trigger: dict | None = None) -> StreamingQuery:
-        results = _table_stream(spark, f"{root}/trend", TREND_SCHEMA)
-        running = areas.area_running_count(too_high(results))
-        return kafka_topic(records.encode_counts(running), servers, count_topic,
-                           f"{root}/_checkpoints/count_topic", "update", trigger)
 
-    return {"trend_topic": trend, "count_topic": counts}
+def map_layer(spark: SparkSession, root: str, number_of_areas: int = MAP_AREAS) -> DataFrame:
+    """The area layer of the map, from the points and the sensors that the detection job has written."""
+    read = lambda name, schema: spark.read.schema(schema).parquet(f"{root}/{name}")
+    areas_of = read("areas", "measurement STRING, ts TIMESTAMP, area STRING, tooHigh BIGINT")
+    return maps.area_layer(areas_of, read("sensor_ids", "id STRING, ts TIMESTAMP"), number_of_areas)
 
 
 def run_available(stages: dict[str, Stage]) -> None:

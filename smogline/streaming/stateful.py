@@ -1,32 +1,39 @@
-"""The trend per message key on a stream, with constant state per open window.
+"""Keyed state of the streams: the trend per message key, and sensor windows from panes.
 
-The processor folds rows as they arrive and keeps one accumulator per (key, open
-window). Rows of a micro-batch come in Arrow batches; each batch is ordered and cut by
-window, columns are aggregated at once, and only the state machine runs value by
-value, in the one function the batch form runs too.
+Both processors take rows, not frames: the rows of a key and micro-batch are sorted and folded in one
+pass, state is read once and written once. Times are microseconds inside of them, so that
+Spark's own filter on the event-time column, which would drop a row whose window is still open, does not
+apply; a row is too late when every window it lies in has closed. Such a row is not lost but comes out
+with ``late_ts`` and ``late_seq`` set and all else null.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import itemgetter
+from struct import iter_unpack, pack
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from smogline.functions.grid import block_area
 from smogline.operators.fold import FRESH, fold
+from smogline.operators.panes import pane_micros
 from smogline.operators.trend import FLOOR, keyed
-from smogline.params import Windows
+from smogline.operators.windows import micros
+from smogline.params import EDGE_DIVISOR, RISE_THRESHOLD, Windows
 
+_LATE = ", late_ts BIGINT, late_seq BIGINT"
 _ACCUMULATOR = (
     "first DOUBLE, second DOUBLE, third DOUBLE, tooHigh BOOLEAN, tooHighCount INT, "
     "sensorId STRING, measurement STRING, area STRING, countUsecase INT, sumPm2 DOUBLE, "
     "maxPm2 DOUBLE, temperatureCMax DOUBLE, temperatureFMax DOUBLE, humidityMax INT"
 )
-OUTPUT = f"key STRING, start_us BIGINT, end_us BIGINT, {_ACCUMULATOR}"
+TREND_OUTPUT = f"key STRING, start_us BIGINT, end_us BIGINT, {_ACCUMULATOR}{_LATE}"
 _FRESH = (*FRESH, None, None, None, 0, 0.0, float(FLOOR), float(FLOOR), float(FLOOR), FLOOR)
+OPEN = "open"  # name of the trend's window store
+PANES = "panes"  # name of the sensor windows' store
 
 
 def _nested(fields: str) -> str:
@@ -34,92 +41,274 @@ def _nested(fields: str) -> str:
     return ", ".join(field.replace(" ", ": ", 1) for field in fields.split(", "))
 
 
-def _advance(state: tuple, rows: pd.DataFrame) -> tuple:
+def _names(fields: str) -> list[str]:
+    return [field.split()[0] for field in fields.split(", ")]
+
+
+def _top(floor, values):
+    return max([floor, *(v for v in values if v is not None)])
+
+
+def _now(timer_values) -> int:
+    return timer_values.getCurrentWatermarkInMs() * 1000
+
+
+def _advance(state: tuple, rows: list[Row]) -> tuple:
     """The ordered rows of one window into its accumulator."""
     count, total, top, celsius, fahrenheit, humidity = state[8:]
-    last, warmest = rows.iloc[-1], float(rows["temperature"].max())
+    values, last = [r.pm2 for r in rows], rows[-1]
+    warmest = max((r.temperature for r in rows if r.temperature is not None), default=None)
     return (
-        *fold(rows["pm2"].tolist(), state[:5]),
-        last["sensorId"], last["measurement"], last["area"],
-        count + len(rows), total + float(rows["pm2"].sum(skipna=False)),
-        max(top, float(rows["pm2"].max())), max(celsius, warmest),
-        max(fahrenheit, warmest * 1.8 + 32.0), max(humidity, int(rows["humidity"].max())),
+        *fold(values, state[:5]), last.sensorId, last.measurement, last.area,
+        count + len(rows), total + sum(v for v in values if v is not None),
+        _top(top, values), _top(celsius, [warmest]),
+        _top(fahrenheit, [None if warmest is None else warmest * 1.8 + 32.0]),
+        _top(humidity, [r.humidity for r in rows]),
     )
 
 
 class TrendProcessor(StatefulProcessor):
-    """All open windows of a key in one state value: read once and written once per micro-batch."""
+    """All open windows of a key in one state value, with one accumulator for each."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getValueState(
-            "open", f"windows ARRAY<STRUCT<start_us: BIGINT, end_us: BIGINT, {_nested(_ACCUMULATOR)}>>"
+            OPEN, f"windows ARRAY<STRUCT<start_us: BIGINT, end_us: BIGINT, {_nested(_ACCUMULATOR)}>>"
         )
+        self.result = Row(*_names(TREND_OUTPUT))
 
     def _read(self) -> dict:
-        if not self.open.exists():
-            return {}
-        (windows,) = self.open.get()
-        return {(window[0], window[1]): tuple(window)[2:] for window in windows}
+        found = self.open.get()
+        return {(w[0], w[1]): tuple(w)[2:] for w in found[0]} if found else {}
 
-    def _write(self, windows: dict) -> None:
+    def _write(self, windows: dict, timer: int | None) -> None:
         """Keep the open windows; one timer, at the earliest end, brings the key back."""
-        for due in list(self.handle.listTimers()):
-            self.handle.deleteTimer(due)
         if not windows:
             self.open.clear()
             return
         self.open.update(([(*bounds, *state) for bounds, state in windows.items()],))
-        self.handle.registerTimer(min(end for _, end in windows) // 1000)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        closed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        windows, changed = self._read(), False
-        for batch in rows:
-            batch = batch[batch["end_us"] > closed_us].sort_values(["ts", "seq"])
-            for bounds, own in batch.groupby(["start_us", "end_us"], sort=False):
-                bounds = (int(bounds[0]), int(bounds[1]))
-                windows[bounds], changed = _advance(windows.get(bounds, _FRESH), own), True
-        if changed:
-            self._write(windows)
-        yield pd.DataFrame()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        closed_us = timerValues.getCurrentWatermarkInMs() * 1000
-        windows = self._read()
-        closed = [bounds for bounds in windows if bounds[1] <= closed_us]
-        results = [(key[0], *bounds, *windows.pop(bounds)) for bounds in closed]
-        self._write(windows)
-        yield pd.DataFrame(results, columns=[field.split()[0] for field in OUTPUT.split(", ")])
+        due = min(end for _, end in windows)
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(-(-timer // 1000))
+            self.handle.registerTimer(-(-due // 1000))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        closed, windows = _now(timerValues), self._read()
+        timer = min((end for _, end in windows), default=None)
+        taken: dict[tuple, list] = {}
+        for row in sorted(rows, key=lambda r: (r.ts_us, r.seq)):
+            if row.end_us > closed:
+                taken.setdefault((row.start_us, row.end_us), []).append(row)
+            else:
+                yield self.result(key[0], *[None] * (2 + len(_FRESH)), row.ts_us, row.seq)
+        for bounds, own in taken.items():
+            windows[bounds] = _advance(windows.get(bounds, _FRESH), own)
+        if taken:
+            self._write(windows, timer)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        closed, windows = _now(timerValues), self._read()
+        for bounds in sorted(b for b in windows if b[1] <= closed):
+            yield self.result(key[0], *bounds, *windows.pop(bounds), None, None)
+        self._write(windows, None)
 
     def close(self) -> None:
         pass
 
 
-def trend_stream(observations: DataFrame, windows: Windows = Windows()) -> DataFrame:
-    """The trend of a stream with a watermark on ``ts``; needs the RocksDB state store.
+def trend_columns() -> list[Column]:
+    """Columns of the trend from those of an accumulator."""
+    return [
+        F.timestamp_micros("start_us").alias("window_start"),
+        F.timestamp_micros("end_us").alias("window_end"),
+        F.col("sensorId"), F.col("measurement"), F.col("area"),
+        (F.col("sumPm2") / F.col("countUsecase")).alias("avgPm2"),
+        *map(F.col, ("countUsecase", "sumPm2", "maxPm2", "temperatureCMax", "temperatureFMax", "humidityMax",
+                     "tooHigh", "tooHighCount")),
+        F.struct("first", "second", "third").alias("pair"),
+    ]
 
-    Rows of one Arrow batch are folded in event-time order, later ones after earlier
-    ones, so rows that come late count when they come.
-    """
+
+def trend_and_late(observations: DataFrame, windows: Windows = Windows()) -> DataFrame:
+    """Closed windows and, with ``late_ts`` set, rows that came too late; watermark on ``ts``, RocksDB state."""
     rows = keyed(observations).select(
         "key", "sensorId", "measurement", block_area(F.col("lon"), F.col("lat")).alias("area"),
-        "temperature", "humidity", "pm2", "ts", "seq", F.window("ts", windows.trend).alias("_w"),
+        "temperature", "humidity", "pm2", "seq", F.unix_micros("ts").alias("ts_us"), F.window("ts", windows.trend).alias("_w"),
     ).select(
-        "*",
-        F.unix_micros("_w.start").alias("start_us"),
-        F.unix_micros("_w.end").alias("end_us"),
+        "*", F.unix_micros("_w.start").alias("start_us"), F.unix_micros("_w.end").alias("end_us"),
     ).drop("_w")
-    folded = rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=TrendProcessor(), outputStructType=OUTPUT, outputMode="append",
-        timeMode="EventTime",
+    folded = rows.groupBy("key").transformWithState(
+        statefulProcessor=TrendProcessor(), outputStructType=TREND_OUTPUT, outputMode="append", timeMode="EventTime",
     )
-    return folded.select(
-        "key",
-        F.timestamp_micros("start_us").alias("window_start"),
-        F.timestamp_micros("end_us").alias("window_end"),
-        "sensorId", "measurement", "area",
-        (F.col("sumPm2") / F.col("countUsecase")).alias("avgPm2"),
-        "countUsecase", "sumPm2", "maxPm2", "temperatureCMax", "temperatureFMax", "humidityMax",
-        "tooHigh", "tooHighCount", F.struct("first", "second", "third").alias("pair"),
+    return folded.select("key", *trend_columns(), F.timestamp_micros("late_ts").alias("late_ts"), "late_seq")
+
+
+def trend_stream(observations: DataFrame, windows: Windows = Windows()) -> DataFrame:
+    """The trend of a stream: a window appears once, after it has closed.
+
+    Rows of one micro-batch are folded in event-time order, later ones after earlier ones, so rows that
+    come late count when they come.
+    """
+    return trend_and_late(observations, windows).where("late_ts IS NULL").drop("late_ts", "late_seq")
+
+
+# sensor windows from panes ------------------------------------------------------
+
+_PANE = "rows BINARY, tempC DOUBLE, humidity DOUBLE, first_us BIGINT, first_seq BIGINT, labels ARRAY<STRING>"
+_ROW = "<qqd"  # time, sequence, value
+
+
+def _sensor_output(carry: tuple) -> str:
+    return (
+        "id STRING, start_us BIGINT, end_us BIGINT, pm2tooHigh BOOLEAN, area STRING, elementsInWindow INT, "
+        "sumPM2 DOUBLE, tempC DOUBLE, humidity DOUBLE, " + "".join(f"{c} STRING, " for c in carry) + _LATE[2:]
+    )
+
+
+def _both(choose, one, two):
+    """The larger or smaller of two values that may be null."""
+    return two if one is None else one if two is None else choose(one, two)
+
+
+def _rises(values: list[float]) -> bool:
+    n = len(values)
+    size = 1 + n // EDGE_DIVISOR
+    return n > 1 and sum(values[n - size :]) / size - sum(values[:size]) / size > RISE_THRESHOLD
+
+
+class SensorProcessor(StatefulProcessor):
+    """The panes of a sensor; each row lies in one pane, whatever the number of windows it counts in.
+
+    A pane keeps its rows packed (24 bytes each), its maxima and the labels of its first row. A window is
+    put together from its panes when it closes; a pane goes when its last window has closed.
+    """
+
+    def __init__(self, windows: Windows, carry: tuple):
+        self.size, self.slide = micros(windows.size), micros(windows.slide)
+        self.pane, self.carry = pane_micros(windows.size, windows.slide), carry
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.panes = handle.getMapState(PANES, "pane BIGINT", _PANE)
+        self.clock = handle.getValueState("clock", "closed BIGINT, timer BIGINT")
+        self.result = Row(*_names(_sensor_output(self.carry)))
+
+    def _ends(self, pane: int, closed: int) -> list[int]:
+        """The ends of the windows of a pane that are still open."""
+        last = pane // self.slide * self.slide + self.size
+        first = (pane - self.size) // self.slide * self.slide + self.slide + self.size
+        return [end for end in range(first, last + 1, self.slide) if end > closed]
+
+    def _due(self, numbers: list[int], closed: int) -> int | None:
+        return min((self._ends(p, closed)[0] for p in numbers if self._ends(p, closed)), default=None)
+
+    def _windows(self, key: str, closed: int, until: int) -> tuple[list[Row], list[int]]:
+        """Results of the windows that end after ``closed`` and not after ``until``, and the panes that stay."""
+        held = {p: value for (p,), value in self.panes.iterator()}
+        ends = sorted({end for p in held for end in self._ends(p, closed) if end <= until})
+        out = []
+        for end in ends:
+            of = [held[p] for p in sorted(held) if end - self.size <= p < end]
+            rows = sorted(x for pane in of for x in iter_unpack(_ROW, pane[0]))
+            first = min(of, key=itemgetter(3, 4))
+            celsius = humidity = None
+            for pane in of:
+                celsius, humidity = _both(max, celsius, pane[1]), _both(max, humidity, pane[2])
+            values = [v for _, _, v in rows]
+            area, *labels = first[5]
+            out.append(self.result(
+                key, end - self.size, end, _rises(values), area, len(values), float(sum(values)), celsius, humidity,
+                *labels, None, None,
+            ))
+        left = []
+        for p in sorted(held):
+            if self._ends(p, until):
+                left.append(p)
+            else:
+                self.panes.removeKey((p,))
+        return out, left
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        now, clock = _now(timerValues), self.clock.get()
+        closed, timer = clock if clock else (now, None)
+        if timer is not None and timer <= now:  # what has closed takes in no row of this batch
+            out, left = self._windows(key[0], closed, now)
+            yield from out
+            self.handle.deleteTimer(-(-timer // 1000))
+            closed, timer = now, None
+            due = self._due(left, closed)
+        else:
+            due = timer
+        new: dict[int, list] = {}
+        for row in rows:
+            pane = row.ts_us // self.pane * self.pane
+            if self._ends(pane, max(closed, now)):
+                new.setdefault(pane, []).append(row)
+            else:
+                yield self.result(key[0], *[None] * (8 + len(self.carry)), row.ts_us, row.seq)
+        for pane, own in new.items():
+            self.panes.updateValue((pane,), self._joined(self.panes.getValue((pane,)), own))
+            due = _both(min, due, self._ends(pane, max(closed, now))[0])
+        self._tick(max(closed, now), timer, due)
+
+    def _joined(self, have: tuple | None, rows: list[Row]) -> tuple:
+        """A pane with more rows; a null value counts as a row and adds nothing."""
+        packed = b"".join(pack(_ROW, r.ts_us, r.seq, 0.0 if r.pm2 is None else r.pm2) for r in rows)
+        first = min(rows, key=lambda r: (r.ts_us, r.seq))
+        celsius = humidity = None
+        for r in rows:
+            celsius, humidity = _both(max, celsius, r.tempC), _both(max, humidity, r.humidity)
+        place, labels = (first.ts_us, first.seq), [first.area, *(first[c] for c in self.carry)]
+        if have:
+            packed, celsius, humidity = bytes(have[0]) + packed, _both(max, have[1], celsius), _both(max, have[2], humidity)
+            if (have[3], have[4]) <= place:
+                place, labels = (have[3], have[4]), list(have[5])
+        return (packed, celsius, humidity, *place, labels)
+
+    def _tick(self, closed: int, timer: int | None, due: int | None) -> None:
+        """Remember what has closed; one timer, at the next end, brings the sensor back."""
+        if due is None:
+            self.clock.clear()
+            return
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(-(-timer // 1000))
+            self.handle.registerTimer(-(-due // 1000))
+        self.clock.update((closed, due))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now, clock = _now(timerValues), self.clock.get()
+        if clock:
+            out, left = self._windows(key[0], clock[0], now)
+            yield from out
+            self._tick(now, None, self._due(left, now))
+
+    def close(self) -> None:
+        pass
+
+
+def sensor_windows_and_late(
+    readings: DataFrame, windows: Windows = Windows(), carry: tuple = ("lat", "lon")
+) -> DataFrame:
+    """Closed windows and, with ``late_ts`` set, rows that came too late; watermark on ``ts``, RocksDB state."""
+    rows = readings.where(F.col("ts").isNotNull() & F.col("id").isNotNull()).select(
+        "id", "pm2", "tempC", "humidity", "area", *carry, "seq", F.unix_micros("ts").alias("ts_us"),
     )
+    return rows.groupBy("id").transformWithState(
+        statefulProcessor=SensorProcessor(windows, tuple(carry)), outputStructType=_sensor_output(tuple(carry)),
+        outputMode="append", timeMode="EventTime",
+    ).select(
+        "id", F.timestamp_micros("start_us").alias("window_start"), F.timestamp_micros("end_us").alias("window_end"),
+        "pm2tooHigh", "area", (F.col("sumPM2") / F.col("elementsInWindow")).alias("avgPM2"), "elementsInWindow",
+        "sumPM2", "tempC", (F.col("tempC") * F.lit(1.8) + F.lit(32.0)).alias("tempF"), "humidity", *carry,
+        F.timestamp_micros("late_ts").alias("late_ts"), "late_seq",
+    )
+
+
+def sensor_windows_stream(
+    readings: DataFrame, windows: Windows = Windows(), carry: tuple = ("lat", "lon")
+) -> DataFrame:
+    """The rows of the batch form for a stream; a window appears once, after it has closed."""
+    found = sensor_windows_and_late(readings, windows, carry)
+    return found.where("late_ts IS NULL").drop("late_ts", "late_seq")

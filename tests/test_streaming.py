@@ -2,20 +2,21 @@
 
 import datetime as dt
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from smogline.functions import decode
-from smogline.operators import alerts
-from smogline.operators.areas import area_running_count, area_trend
-from smogline.operators.sensor_windows import sensor_windows
+from smogline.operators import alerts, maps, points
+from smogline.operators.areas import area_count_updates, area_trend
+from smogline.operators.sensor_windows import sensor_flags, sensor_windows
 from smogline.operators.trend import too_high, trend
 from smogline.params import Windows
 from smogline.sources import streams
 from smogline.sources.events import events, observations, readings, wire_a, wire_b
-from smogline.streaming import jobs, ranges
-from smogline.streaming.sinks import append_table, batch_table, jdbc_writer
+from smogline.streaming import jobs, ranges, store
+from smogline.streaming.sinks import append_table, batch_table, jdbc_writer, table_of
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 DAYS = Windows("10 days", "5 days", "60 hours", "2 days", "1 day", "1 day")
@@ -48,16 +49,16 @@ def message(spark, *seconds, pm2=None):
 def test_late_rows(spark, tmp_path):
     landing = Landing(spark, tmp_path / "in")
     os.makedirs(landing.path)
-    for seconds in ([0, 30, 59], [65], [58], [71], [57], [200]):
+    for seconds in ([0, 30, 59], [65], [58], [69], [50], [71], [57], [200]):
         # run up to each file: a window closes in the batch after the one that moved the watermark
         landing.land(message(spark, *seconds))
-        stages = jobs.trend_stages(
-            decode.decode_json(landing.stream()), str(tmp_path / "out"))
-        jobs.run_available({"trend": stages["trend"]})
-    rows = spark.read.parquet(str(tmp_path / "out/trend")).orderBy("window_start").collect()
-    # 58 came within the grace, 57 after the window had closed
-    assert [(r.countUsecase, r.sumPm2) for r in rows] == [(4, 147.0), (2, 136.0)]
+        jobs.run_available(jobs.trend_stages(decode.decode_json(landing.stream()), str(tmp_path / "out")))
+    rows = table_of(spark, str(tmp_path / "out/trend")).orderBy("window_start").collect()
+    # 58 came within the grace, 50 before the watermark (59) but into an open window, 57 after it had closed
+    assert [(r.countUsecase, r.sumPm2) for r in rows] == [(5, 197.0), (3, 205.0)]
     assert rows[0].area == "Area [0, 0]" and rows[0].tooHigh
+    late = table_of(spark, str(tmp_path / "out/late_observations")).collect()
+    assert [(r.key, r.seq) for r in late] == [('{"sensor":1}', 570)]
 
 
 def test_a_late_row_counts_when_it_comes(spark, tmp_path):
@@ -65,12 +66,32 @@ def test_a_late_row_counts_when_it_comes(spark, tmp_path):
     os.makedirs(landing.path)
     for seconds in ([10], [30], [20], [200]):
         landing.land(message(spark, *seconds))
-    stages = jobs.trend_stages(decode.decode_json(landing.stream()), str(tmp_path / "out"))
-    jobs.run_available({"trend": stages["trend"]})
-    arrived = spark.read.parquet(str(tmp_path / "out/trend")).first().pair
+    stage = jobs.trend_stage(decode.decode_json(landing.stream()), str(tmp_path / "out"))
+    jobs.run_available({"trend": stage})
+    arrived = table_of(spark, str(tmp_path / "out/trend")).first().pair
     assert (arrived.first, arrived.second) == (10.0, 20.0)  # 10, 30, 20
 
 
+def test_windows_of_a_sensor_take_late_rows_in_while_they_are_open(spark, tmp_path):
+    """60 s every 30 s; a late row counts in the open ones of its windows only."""
+    landing = Landing(spark, tmp_path / "in")
+    os.makedirs(landing.path)
+    for seconds in ([0, 31, 40], [61], [35, 5], [150], [20, 62], [400]):
+        landing.land(message(spark, *seconds))
+    rows = decode.decode_json(landing.stream()).selectExpr(
+        "sensorId AS id", "pm2", "temperature AS tempC", "double(humidity) AS humidity", "'(0,0)' AS area",
+        "string(lat) AS lat", "string(lon) AS lon", "ts", "seq")
+    jobs.run_available({"w": jobs.window_stage(rows, str(tmp_path / "out"))})
+    found = table_of(spark, str(tmp_path / "out/sensor_window")).orderBy("window_start").collect()
+    starts = [int((r.window_start.replace(tzinfo=dt.timezone.utc) - START).total_seconds()) for r in found]
+    # 35 came after 61: its window from 0 had closed, that from 30 had not
+    assert list(zip(starts, [r.elementsInWindow for r in found], [r.sumPM2 for r in found])) == [
+        (-30, 1, 0.0), (0, 3, 71.0), (30, 4, 167.0), (60, 1, 61.0), (120, 1, 150.0), (150, 1, 150.0)]
+    late = table_of(spark, str(tmp_path / "out/late_readings")).orderBy("seq").collect()
+    assert [r.seq for r in late] == [50, 200, 620]
+    assert [r.pm2tooHigh for r in found] == [False, True, True, False, False, False]
+
+
 def closed(frame, column, limit):
     return frame.filter(F.col(column) <= F.lit(limit))
 
@@ -92,41 +113,95 @@ def landed(spark, small, tmp_path_factory):
     return landing
 
 
+def last_closed(spark, small):
+    return events(spark, small).agg(F.max("ts")).first()[0] - dt.timedelta(days=1)
+
+
 def test_trend_job_equals_batch(spark, small, landed, tmp_path):
     root = str(tmp_path)
     jobs.run_available(jobs.trend_stages(decode.decode_json(landed.stream()), root, DAYS))
-    last = events(spark, small).agg(F.max("ts")).first()[0] - dt.timedelta(days=1)
-    batch = closed(trend(observations(events(spark, small)), DAYS), "window_end", last)
-    assert rows_of(spark.read.parquet(f"{root}/trend")) == rows_of(batch)
-    counts = spark.read.parquet(f"{root}/area_count").groupBy("area").agg(F.max("count").alias("count"))
-    assert rows_of(counts) == rows_of(area_running_count(too_high(batch)))
-    assert spark.read.parquet(f"{root}/pollutionRaw").count() == 1000
-    flat = spark.read.parquet(f"{root}/pollution")
+    batch = closed(trend(observations(events(spark, small)), DAYS), "window_end", last_closed(spark, small))
+    assert rows_of(table_of(spark, f"{root}/trend")) == rows_of(batch)
+    counts = table_of(spark, f"{root}/area_count")
+    assert rows_of(counts) == rows_of(alerts.update_messages(area_count_updates(too_high(batch))))
+    assert table_of(spark, f"{root}/pollutionRaw").count() == 1000
+    flat = table_of(spark, f"{root}/pollution")
     assert flat.count() == batch.count() and "pair" not in flat.columns
 
 
-def test_detection_job_equals_batch(spark, small, tmp_path):
-    """From wire A text to points, windows, area results and alerts."""
+def test_the_named_store_holds_the_open_windows(spark, small, landed, tmp_path):
+    root = str(tmp_path)
+    jobs.run_available(jobs.trend_stages(decode.decode_json(landed.stream()), root, DAYS))
+    checkpoint = f"{root}/_checkpoints/trend"
+    named = store.stores(spark, checkpoint).collect()
+    assert {r.operatorName for r in named} == {"transformWithStateInPySparkExec"}
+    whole = trend(observations(events(spark, small)), DAYS)
+    still = whole.filter(F.col("window_end") > F.lit(last_closed(spark, small)))
+    assert rows_of(store.open_trends(spark, checkpoint)) == rows_of(still) != []
+
+
+def detection_source(spark, small, tmp_path, damage=False):
+    """The events as wire A text in two files; every tenth message is cut short if they are damaged."""
     landing = Landing(spark, tmp_path / "in")
     os.makedirs(landing.path)
-    rows = observations(events(spark, small))
-    for first, last in ((0, 12), (12, 31)):
-        landing.land(wire_a(rows).filter((F.dayofmonth("ts") > first) & (F.dayofmonth("ts") <= last)))
+    rows = wire_a(observations(events(spark, small)))
+    if damage:
+        rows = rows.withColumn("value", F.when(F.col("seq") % 10 == 3, F.left("value", F.lit(30))).otherwise(F.col("value")))
+    return landing, [rows.filter((F.dayofmonth("ts") > first) & (F.dayofmonth("ts") <= last)) for first, last in ((0, 12), (12, 31))]
+
+
+def test_detection_job_equals_batch(spark, small, tmp_path):
+    """From wire A text to points, windows, area results, alerts and the map; decoded once, one window state."""
+    landing, files = detection_source(spark, small, tmp_path)
+    for file in files:
+        landing.land(file)
     source = decode.decode_positional(landing.stream()).drop("key")
     root = str(tmp_path / "out")
     jobs.run_available(jobs.detection_stages(source, root, DAYS, sensors=640))
+    last = last_closed(spark, small)
     expected = readings(events(spark, small))
-    last = events(spark, small).agg(F.max("ts")).first()[0] - dt.timedelta(days=1)
     windows = closed(sensor_windows(expected, DAYS), "window_end", last)
     areas = closed(area_trend(windows, DAYS), "window_end", last)
-    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    read = lambda name: table_of(spark, f"{root}/{name}")
     assert read("Pollution").count() == 1000
     assert rows_of(read("sensor_window")) == rows_of(windows)
+    assert rows_of(read("sensor_flag")) == rows_of(sensor_flags(windows).select("id", "window_end", "flag", "area"))
     assert rows_of(read("area_trend")) == rows_of(areas)
     for name, table in (("SensorData", windows), ("sensors", windows), ("AreaTrend", areas), ("areas", areas)):
         assert read(name).count() == table.count()
         assert read(name).filter("ts IS NULL").count() == 0
     assert rows_of(read("alerts")) == rows_of(alerts.area_messages(areas, alerts.BOTH, 640))
+    assert rows_of(jobs.map_layer(spark, root)) == rows_of(maps.area_layer(points.map_areas(areas, "window_end"), expected))
+    assert len(os.listdir(f"{root}/_checkpoints")) == 3
+
+
+def test_panes_hold_each_row_once(spark, small, tmp_path):
+    landing, files = detection_source(spark, small, tmp_path)
+    landing.land(files[0])
+    source = decode.decode_positional(landing.stream()).drop("key")
+    jobs.run_available({"w": jobs.window_stage(source, str(tmp_path / "out"), DAYS)})
+    panes = store.open_panes(spark, f"{tmp_path}/out/_checkpoints/sensor_window")
+    rows = readings(events(spark, small)).filter("dayofmonth(ts) <= 12")
+    mark = rows.agg(F.max("ts") - F.expr("INTERVAL 1 DAY")).first()[0]
+    last_end = F.timestamp_seconds(F.expr("unix_seconds(ts) div 432000 * 432000 + 864000"))
+    held = panes.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).first()
+    assert held.rows == rows.filter(last_end > F.lit(mark)).count() > 0 and held.bytes == 24 * held.rows
+
+
+def test_good_and_bad_rows_are_all_rows(spark, small, tmp_path):
+    """Bad messages neither stop a job nor vanish, also over a restart."""
+    landing, files = detection_source(spark, small, tmp_path, damage=True)
+    root = str(tmp_path / "out")
+    for file in files:
+        landing.land(file)
+        marked = decode.mark_positional(landing.stream()).drop("key")
+        jobs.run_available(jobs.detection_stages(marked, root, DAYS))
+    good, bad = table_of(spark, f"{root}/readings"), table_of(spark, f"{root}/bad_records")
+    assert (good.count(), bad.count()) == (900, 100)
+    assert bad.filter("seq % 10 <> 3 OR length(value) <> 30 OR ts IS NULL").count() == 0
+    expected = readings(events(spark, small)).filter("seq % 10 <> 3")
+    windows = closed(sensor_windows(expected, DAYS), "window_end", expected.agg(F.max("ts")).first()[0] - dt.timedelta(days=1))
+    assert rows_of(table_of(spark, f"{root}/sensor_window")) == rows_of(windows)
 
 
 def test_restart_goes_on_from_the_checkpoint(spark, small, tmp_path):
@@ -140,16 +215,59 @@ def test_restart_goes_on_from_the_checkpoint(spark, small, tmp_path):
 
     landing.land(rows.filter("dayofmonth(ts) <= 13"))
     run(twice)
-    before = spark.read.parquet(f"{twice}/trend").count()
+    before = table_of(spark, f"{twice}/trend").count()
     landing.land(rows.filter("dayofmonth(ts) > 13 and dayofmonth(ts) <= 20"))
     landing.land(rows.filter("dayofmonth(ts) > 20"))
     run(twice)
     run(once)
-    after = spark.read.parquet(f"{twice}/trend")
+    after = table_of(spark, f"{twice}/trend")
     assert 0 < before < after.count()
-    assert rows_of(after) == rows_of(spark.read.parquet(f"{once}/trend"))
-    final = [spark.read.parquet(f"{root}/area_count").groupBy("area").agg(F.max("count")) for root in (once, twice)]
-    assert rows_of(final[0]) == rows_of(final[1])
+    for name in ("trend", "area_count"):
+        assert rows_of(table_of(spark, f"{twice}/{name}")) == rows_of(table_of(spark, f"{once}/{name}"))
+
+
+def test_a_repeated_batch_writes_what_is_missing(spark, small, tmp_path):
+    """Fail after some tables of a batch have been written: the rest is written, nothing twice."""
+    landing, files = detection_source(spark, small, tmp_path)
+    root = str(tmp_path / "out")
+    checkpoint = f"{root}/_checkpoints/sensor_window"
+
+    def run():
+        source = decode.decode_positional(landing.stream()).drop("key")
+        jobs.run_available({"w": jobs.window_stage(source, root, DAYS)})
+
+    landing.land(files[0])
+    run()
+    tables = ("sensor_window", "area_trend", "carried_area_open", "alerts")
+    before = {name: rows_of(table_of(spark, f"{root}/{name}")) for name in tables}
+    last = max(int(n) for n in os.listdir(f"{checkpoint}/commits") if n.isdigit())
+    for name in (f"{last}", f".{last}.crc"):
+        path = f"{checkpoint}/commits/{name}"
+        if os.path.exists(path):
+            os.remove(path)
+    for name in ("area_trend", "alerts"):
+        (folder,) = [d for d in os.listdir(f"{root}/{name}") if d.endswith(f"-{last:09d}")]
+        shutil.rmtree(f"{root}/{name}/{folder}")
+    run()
+    assert {name: rows_of(table_of(spark, f"{root}/{name}")) for name in tables} == before
+    assert before["alerts"] and not [n for n in os.listdir(f"{root}/_staging/alerts") if n.startswith("part")]
+
+
+def test_open_area_windows_are_carried(spark, tmp_path):
+    """Area windows longer than the slide: their sensor windows come out in several batches."""
+    windows = Windows("60 seconds", "30 seconds", "120 seconds")
+    landing = Landing(spark, tmp_path / "in")
+    os.makedirs(landing.path)
+    spans = ([1, 20, 45, 55], [65, 70, 100], [130, 170], [200, 201], [300], [500])
+    for seconds in spans:
+        landing.land(reading_rows(spark, *seconds).drop("date").withColumn("seq", F.unix_seconds("ts")).coalesce(1))
+    schema = reading_rows(spark, 1).drop("date").withColumnRenamed("ts", "timestamp").schema
+    source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{landing.path}/part*").withColumnRenamed("timestamp", "ts")
+    jobs.run_available({"w": jobs.window_stage(source, str(tmp_path / "out"), windows)})
+    rows = reading_rows(spark, *[s for span in spans for s in span]).drop("date").withColumn("seq", F.unix_seconds("ts"))
+    mark = START + dt.timedelta(seconds=500)
+    want = closed(area_trend(closed(sensor_windows(rows, windows), "window_end", mark), windows), "window_end", mark)
+    assert rows_of(table_of(spark, str(tmp_path / "out/area_trend"))) == rows_of(want) != []
 
 
 def test_batch_table_overwrites_a_repeated_batch(spark, tmp_path):
@@ -163,15 +281,33 @@ def test_batch_table_overwrites_a_repeated_batch(spark, tmp_path):
 
 
 def test_text_files_as_source(spark, small, tmp_path):
-    text = wire_a(observations(events(spark, small))).select("value")
-    text.coalesce(2).write.text(str(tmp_path / "in"))
-    source = decode.decode_positional(streams.file_text(spark, str(tmp_path / "in")))
-    append_table(source, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    """Lines keep the order of their file, also where a file is read in blocks."""
+    rows = wire_a(observations(events(spark, small)))
+    for number, part in enumerate(("seq < 700", "seq >= 700")):
+        rows.filter(part).orderBy("seq").select("value").coalesce(1).write.text(str(tmp_path / f"in/{number}"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        source = decode.decode_positional(streams.file_text(spark, str(tmp_path / "in/*")))
+        append_table(source, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     written = spark.read.parquet(str(tmp_path / "out"))
     expected = readings(events(spark, small))
     columns = ["id", "pm2", "area", "lat", "lon", "tempC", "humidity"]
     assert rows_of(written.select(columns)) == rows_of(expected.select(columns))
-    assert written.filter("ts IS NULL OR seq IS NULL").count() == 0
+    assert written.select("ts", "seq").distinct().count() == 1000
+    values = lambda frame, *order: [r.pm2 for r in frame.orderBy(*order).collect()]
+    assert values(written, "ts", "seq") == values(expected, "seq")
+    # rise and trend over lines are those over records in the same order
+    records = expected.withColumn("ts", F.lit(START))
+    long = Windows("1 day", "1 day", trend="1 day")
+    flags = lambda frame: rows_of(sensor_windows(frame.withColumn("ts", F.lit(START)), long))
+    first = written.filter(f"seq >> 40 = {written.orderBy('ts', 'seq').first().seq >> 40}")
+    assert first.count() == 700 and flags(first) == flags(records.filter("seq < 700"))
+    keyed = lambda frame: frame.selectExpr(
+        "id AS key", "id AS sensorId", "'p' AS measurement", "int(lon) AS lon", "int(lat) AS lat", "tempC AS temperature",
+        "int(humidity) AS humidity", "pm2", "seq").withColumn("ts", F.lit(START))
+    assert rows_of(trend(keyed(first), long)) == rows_of(trend(keyed(expected.filter("seq < 700")), long))
 
 
 def test_json_files_as_source(spark, tmp_path):
