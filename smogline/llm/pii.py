@@ -4,21 +4,27 @@
 
 *Candidates* come from those patterns, checks aside, and from wider ones (addresses with the signs
 spelt out, numbers grouped in other ways, telephone numbers without a country). They may overlap.
-Gradient-boosted trees score candidates by format (length, digits, separators, kinds of
-characters) and context (what stands before and after, telling words). They are fitted on matches of
-the base patterns: those that pass the checks against those that do not; the outcome of a check is
-no input. They are fitted on different matches (with what stands around them), an equal share of
-``fit_candidates`` for each kind and outcome, a quarter of them left out. All matches of the base
-patterns that were not fitted on give, for each kind, the lowest threshold at which ``precision`` of
-what is selected passes the checks. Candidates above it are added, unless they overlap a base span
-or an added one that starts earlier; one that is not added hides no other.
+Gradient-boosted trees score candidates by format (length, digits, separators, kinds of characters,
+whether the signs make a sound address or number) and context (what stands before and after, telling
+words).
+
+*Labels.* No labelled spans exist, so matches of the base patterns are rewritten in the ways in which
+people disguise them, and in ways that only look alike (``_forms``): a passing match spelt out or regrouped
+stays personal data, a failing one does not become any, and an e-mail address turned into a price or a
+sentence is none. So every kind has both outcomes in every format, and the kind tells nothing of the label. The
+trees are fitted on the forms of different matches (with what stands around them), an equal share of
+``fit_candidates`` for each kind and outcome, a quarter of them left out. The forms of all matches that were
+not fitted on give, for each kind, the lowest threshold at which ``precision`` of what is selected is
+right. Candidates above it are added, unless they overlap a base span or an added one that starts
+earlier; one that is not added hides no other.
 
 Texts are read once. Places follow from the lengths of matches and of the texts between them, by
 sums over the matches of one document.
 
 Defined cases: null texts are empty; rows of one id are documents of their own; a table without
 candidates, or without both outcomes of the checks among the matches to fit on, has base spans only,
-and so has a kind without a match of its base pattern; empty tables give empty results. Places count code points, ends are exclusive.
+and so has a kind without a match of its base pattern; empty tables give empty results. Places count
+code points, ends are exclusive. Columns other than id and text, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -89,11 +95,12 @@ def _matches(matches: str, gaps: Column, kind: int, strict: bool) -> Column:
     ))
 
 
-def _passes() -> Column:
+def _passes(match: Column | None = None) -> Column:
     """The check of a match's kind."""
-    digits = F.regexp_replace("match", "[^0-9]", "")
+    match = F.col("match") if match is None else match
+    digits = F.regexp_replace(match, "[^0-9]", "")
     n = F.length(digits)
-    short = F.transform(F.split("match", r"\."), lambda p: F.regexp_replace(p, "^0+", ""))
+    short = F.transform(F.split(match, r"\."), lambda p: F.regexp_replace(p, "^0+", ""))
     ip = F.forall(short, lambda p: (F.length(p) < 3) | ((F.length(p) == 3) & (p <= "255")))
     # the digit at place i from the end, doubled where i is odd, less 9 if that has two digits
     values = F.transform(F.split(F.reverse(digits), ""), lambda d, i: d.cast("int") * (1 + i % 2))
@@ -105,16 +112,74 @@ def _passes() -> Column:
     )
 
 
+_AT, _DOT = r" ?(?:@|\(at\)|\[at\]) ?", r" ?(?:\.|\(dot\)|\[dot\]) ?"
+
+
+def _sound() -> Column:
+    """Do the signs of a match, however they are written, make an address or number of its kind?"""
+    plain = F.regexp_replace(F.regexp_replace("match", f"(?i){_AT}", "@"), f"(?i){_DOT}", ".")
+    email = plain.rlike(r"^[A-Za-z0-9._%+-]*[A-Za-z][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[a-z]{2,24}$")
+    ip = F.regexp_replace("match", "[^0-9]+", ".")
+    return F.when(F.col("kind") == 0, email).otherwise(_passes(F.when(F.col("kind") == 1, ip).otherwise(F.col("match"))))
+
+
+def _forms() -> Column:
+    """A base match in other writings: structs of the text and whether it is personal data.
+
+    Rewritten e-mail addresses that are none: a number at a place ("12 @ example.Joe") and sentences
+    that meet at a sign ("joe @ example. See").
+    """
+    match, right = F.col("match"), F.col("base")
+    form = lambda text, label=right: F.struct(text.alias("match"), label.cast("double").alias("label"))
+    lit, cut = F.lit, lambda p, g=0: F.regexp_extract("match", p, g)
+    word = F.coalesce(F.nullif(F.lower(cut("[A-Za-z]{2,24}")), lit("")), lit("see"))
+    house, sound = cut("@([A-Za-z0-9-]+)", 1), _sound()
+    local, domain = F.substring_index(match, "@", 1), F.substring_index(match, "@", -1)
+    number = (F.pmod(F.xxhash64("match"), lit(90)) + 10).cast("string")
+    dotted = lambda sign: F.regexp_replace(domain, r"\.", sign)
+    none = lit(False)
+    email = F.array(
+        form(match, sound), form(F.concat(local, lit(" (at) "), domain), sound), form(F.concat(local, lit(" @ "), domain), sound),
+        form(F.concat(local, lit("[at]"), dotted("[dot]")), sound), form(F.concat(local, lit(" (at) "), dotted(" (dot) ")), sound),
+        form(F.concat(number, lit(" @ "), house, lit("."), F.initcap(word)), none),
+        form(F.concat(number, lit(" @ "), house, lit("."), word), none),
+        form(F.concat(word, lit(" @ "), house, lit(". "), F.initcap(word)), none),
+        form(F.concat(word, lit(" @ "), house, lit(". "), word), none),
+    )
+    ip = F.array(*[form(F.regexp_replace("match", r"\.", sign)) for sign in (".", "[.]", " . ", "(dot)", " (dot) ")])
+    digits = F.regexp_replace("match", "[^0-9]", "")
+    fours = lambda sign: F.regexp_replace(digits, "([0-9]{4})(?=[0-9]{3})", "$1" + sign)
+    card = F.when(F.length(digits).between(12, 19), F.array(form(match), *[form(fours(sign)) for sign in (".", "/", "  ", " - ")]))
+    ten = F.right(digits, lit(10))
+    part = lambda *cuts: [F.substring(ten, a, n) for a, n in cuts]
+    a, b, c = part((1, 3), (4, 3), (7, 4))
+    phone = F.when(right, F.array(
+        form(match), form(F.concat_ws("-", a, b, c)), form(F.concat_ws(".", a, b, c)), form(F.concat_ws(" ", a, b, c)),
+        form(F.concat(lit("("), a, lit(") "), b, lit("-"), c)),
+        form(F.concat_ws("-", *part((1, 2), (3, 3), (6, 3))), none), form(F.concat_ws(" ", *part((1, 3), (4, 3), (7, 3))), none),
+    ))
+    return F.coalesce(
+        F.when(F.col("kind") == 0, email).when(F.col("kind") == 1, ip).when(F.col("kind") == 2, card).otherwise(phone),
+        F.array(form(match)),
+    )
+
+
+def _rewritten(strict: DataFrame) -> DataFrame:
+    """Each base match in all its forms, with a ``label``."""
+    names = [c for c in strict.columns if c not in ("match", "base")]
+    return strict.select(*names, F.explode(_forms()).alias("form")).select(*names, "form.*")
+
+
 def _features(rows: DataFrame) -> tuple[DataFrame, list[str]]:
     """Format and context of each candidate, as columns of doubles."""
     count = lambda p: F.length(F.regexp_replace("match", f"[^{p}]", ""))
     context = F.lower("before")
     columns = {
-        **{f"f_{k}": F.col("kind") == i for i, k in enumerate(KINDS)},
+        **{f"f_{k}": F.col("kind") == i for i, k in enumerate(KINDS)}, "f_sound": F.coalesce(_sound(), F.lit(False)),
         "f_length": F.least(F.length("match"), F.lit(64)), "f_digits": F.least(count("0-9"), F.lit(40)),
         "f_letters": F.least(count("A-Za-z"), F.lit(40)), "f_dots": count("."), "f_spaces": count(" "),
         "f_dashes": count("-"), "f_brackets": count("()\\[\\]"), "f_plus": F.col("match").startswith("+"),
-        "f_first": F.ascii(F.left("match", F.lit(1))), "f_at": F.col("match").contains("@"),
+        "f_apart": F.col("match").rlike(r"[.] "), "f_capital": F.col("match").rlike("[A-Z][a-z]*$"),
         "f_kinds": F.size(F.array_distinct(F.split("match", ""))),
         "f_groups": F.size(F.split("match", "[^A-Za-z0-9]+")),
         "f_before": F.col("before").rlike("[A-Za-z0-9]$"), "f_after": F.col("after").rlike("^[A-Za-z0-9]"),
@@ -145,21 +210,25 @@ def added_spans(found: DataFrame, fit_candidates: int = 4000, precision: float =
     )
     # the first of four is not fitted on, so a kind of one match has a threshold
     fitted = stored(sample.where(F.col("place") % 4 != 1), "fitted")
-    if fitted.select("base").distinct().count() < 2:
+    rows, names = _features(_rewritten(fitted))
+    rows = stored(rows, "forms")  # at most some tens of thousands
+    if rows.select("label").distinct().count() < 2:
         return None
-    rows, names = _features(fitted.withColumn("label", F.col("base").cast("double")))
     vectors = VectorAssembler(inputCols=names, outputCol="features")
-    model = GBTClassifier(maxIter=trees, maxDepth=3, stepSize=0.3, seed=1, maxBins=32).fit(vectors.transform(rows))
+    model = GBTClassifier(maxIter=trees, maxDepth=4, stepSize=0.3, seed=1, maxBins=64).fit(vectors.transform(rows))
     level = F.floor(vector_to_array("probability")[1] * 50)
-    scored = model.transform(vectors.transform(_features(found)[0]))
-    scored = stored(scored.select("row", "kind", "start", "end", "strict", "base", identity.alias("order"), level.alias("level")), "scored")
+
+    def scored(of: DataFrame) -> DataFrame:
+        return model.transform(vectors.transform(_features(of)[0])).withColumn("level", level)
+
+    left = strict.join(F.broadcast(fitted.select("order")), "order", "left_anti").select("kind", "base", "match", "before", "after")
     by_level = (
-        scored.where("strict").join(F.broadcast(fitted.select("order")), "order", "left_anti").groupBy("kind", "level")
-        .agg(F.count("*").alias("n"), F.sum(F.col("base").cast("long")).alias("right")).collect()  # at most 4 * 51 rows
+        scored(_rewritten(left)).groupBy("kind", "level")
+        .agg(F.count("*").alias("n"), F.sum("label").alias("right")).collect()  # at most 4 * 51 rows
     )
     limits = {k: _limit([(r.level, r.n, r.right) for r in by_level if r.kind == k], precision) for k in range(len(KINDS))}
     limit = F.element_at(F.array(*[F.lit(limits[k]) for k in range(len(KINDS))]), F.col("kind") + 1)
-    taken = scored.where((~F.col("strict") | ~F.col("base")) & (F.col("level") >= limit))
+    taken = scored(found.where(~F.col("strict") | ~F.col("base"))).where(F.col("level") >= limit)
     taken = stored(taken.select("row", "kind", "start", "end"), "taken")
     return free_spans(found.where("base").select("row", "kind", "start", "end"), taken)
 

@@ -99,6 +99,65 @@ def test_copies_share_one_place_of_the_sample(spark):
     assert got[701] == [(8, 1, 18)]
 
 
+def planted(seed):
+    """Texts with base spans, disguised ones and things that only look alike: rows, wanted added spans."""
+    r = random.Random(seed)
+    names, houses = ["joe", "ann.lee", "m_doe", "kim22", "s.o-n"], ["example", "mail-box", "corp", "post24"]
+    d = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = d(15)
+        return next(body + c for c in "0123456789" if luhn(body + c))
+
+    octets = lambda top=255: [str(r.randint(0, top)) for _ in range(4)]
+    name, house = lambda: r.choice(names), lambda: r.choice(houses)
+    base = [lambda: f"{name()}@{house()}.org", lambda: ".".join(octets()), card, lambda: f"+1 ({d(3)}) {d(3)}-{d(4)}",
+            lambda: ".".join([*octets()[:3], str(r.randint(256, 999))]), lambda: d(16), lambda: f"+1 {d(4)}", lambda: f"{d(5)} {d(3)}"]
+    wide = [lambda: (0, f"{name()} (at) {house()}.{r.choice(['org', 'net', 'de'])}"), lambda: (0, f"{name()}[at]{house()}[dot]com"),
+            lambda: (0, f"{name()} @ {house()}.org"), lambda: (1, "[.]".join(octets())), lambda: (1, " . ".join(octets())),
+            lambda: (2, (lambda c: r.choice("./").join(c[i : i + 4] for i in (0, 4, 8, 12)))(card())),
+            lambda: (3, f"{r.randint(2, 9)}{d(2)}-{d(3)}-{d(4)}"), lambda: (3, f"({d(3)}) {d(3)}-{d(4)}")]
+    none = [lambda: f"price {r.randint(1, 99)} @ {house()}.Today only", lambda: f"we met @ {house()}. Then we left",
+            lambda: "[.]".join([*octets()[:3], str(r.randint(256, 999))]), lambda: f"{d(2)}-{d(3)}-{d(3)}",
+            lambda: f"see you @ {house()}. all is well"]
+    rows, want = [], {}
+    for i in range(1200):
+        text = r.choice(["call ", "mail ", "about ", "server ", ""])
+        kind = r.random()
+        if kind < 0.5:
+            text += r.choice(base)()
+        elif kind < 0.75:
+            k, found = r.choice(wide)()
+            want[i] = (len(text), k, len(text) + len(found))
+            text += found
+        else:
+            text += r.choice(none)()
+        rows.append((i, text + r.choice([" now", ".", ", ok", ""])))
+    return rows, want
+
+
+def test_added_spans_of_a_planted_set(spark):
+    """Precision and recall of the added spans, overall and for each kind."""
+    rows, want = planted(11)
+    got = {i: (b, a) for i, b, a in bases(spark, rows)}
+    assert all(got[i][0] == brute(t) for i, t in rows)
+    added = {(i, s) for i, (_, a) in got.items() for s in a}
+    # what a base span already covers is not added again
+    over = lambda s, spans: any(s[0] < b[2] and b[0] < s[2] for b in spans)
+    wanted = {(i, s) for i, s in want.items() if not over(s, got[i][0])}
+    for kind in (None, 0, 1, 2, 3):
+        a, w = ({x for x in y if kind in (None, x[1][1])} for y in (added, wanted))
+        assert len(a & w) >= 0.9 * len(w) and len(a & w) >= 0.9 * len(a), (kind, len(a), len(w), len(a & w), sorted(a - w)[:5], sorted(w - a)[:5])
+
+
+def test_look_alikes_are_left(spark):
+    names = ["joe", "ann", "kim.lee", "joe.doe7", "x12", "s.o-n"]
+    rows = [(i, f"{'mail' if i % 2 else 'write to'} {names[i % 6]}@example{i}.org or call +1 (555) 123-45{i:02d}") for i in range(60)]
+    rows += [(100, "price 5 @ shop.Today only"), (101, "write to joe (at) example.org"), (102, "call 555-123-4567 now")]
+    got = {i: a for i, _, a in bases(spark, rows)}
+    assert got[100] == [] and got[101] == [(9, 0, 29)] and got[102] == [(5, 3, 17)]
+
+
 def greedy(spans):
     out = []
     for s in sorted(spans, key=lambda x: (x[0], -x[2], x[1])):
