@@ -58,7 +58,24 @@ w AS (SELECT doc_id, part, {_WORDS.format("part", "part")} AS words FROM part),
 a AS (SELECT doc_id, part, {_BIGRAMS} AS b FROM w WHERE len(words) > 0),
 t AS (SELECT name, {_BIGRAMS} AS b FROM (
         SELECT name, {_WORDS.format("text", "text")} AS words FROM (VALUES {_NAMED}) v(name, text))),
-pair AS (SELECT doc_id, name, 2 * len(list_intersect(a.b, t.b)) / (len(a.b) + len(t.b)) AS similarity FROM a, t),
+tw AS (SELECT name, words, len(words) AS n, {_BIGRAMS} AS b FROM (
+        SELECT name, {_WORDS.format("text", "text")} AS words FROM (VALUES {_NAMED}) v(name, text))),
+dw AS (SELECT doc_id, {_WORDS.format("text", "text")} AS words FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+pos AS (SELECT doc_id, len(words) AS w, unnest(range(1, len(words))) AS i, words FROM dw),
+shared AS MATERIALIZED (
+  SELECT doc_id, name, n, len(b) AS m, w, i FROM (SELECT doc_id, w, i, words[i] || ' ' || words[i + 1] AS g FROM pos)
+  JOIN (SELECT name, n, b, unnest(b) AS g FROM tw WHERE n > 1) USING (g)),
+place AS (SELECT DISTINCT doc_id, name, n, m,
+            unnest(range(least(greatest(1, i - n + 2), greatest(1, w - n + 1)), greatest(1, least(i, w - n + 1)) + 1)) AS s FROM shared),
+-- a window that is similar enough holds two thirds of the bigrams, so at least so many places that do
+likely AS (SELECT place.doc_id, place.name, place.s FROM place JOIN shared
+           ON shared.doc_id = place.doc_id AND shared.name = place.name AND shared.i BETWEEN place.s AND place.s + place.n - 2
+           GROUP BY ALL HAVING count(*) >= max(place.m) * 0.66),
+win AS (SELECT doc_id, name, tw.b AS tb, dw.words[s:s + n - 1] AS words FROM likely JOIN dw USING (doc_id) JOIN tw USING (name)),
+pair AS (
+  SELECT doc_id, name, 2 * len(list_intersect(a.b, t.b)) / (len(a.b) + len(t.b)) AS similarity FROM a, t
+  UNION ALL
+  SELECT doc_id, name, 2 * len(list_intersect(b, tb)) / (len(b) + len(tb)) FROM (SELECT doc_id, name, tb, {_BIGRAMS} AS b FROM win)),
 found AS (SELECT doc_id, name, max(similarity) AS s FROM pair WHERE similarity >= 0.8 GROUP BY ALL),
 best AS (SELECT doc_id, string_agg(name, ',' ORDER BY name) AS licenses,
                 first(name ORDER BY s DESC, name) AS best, max(s) AS similarity FROM found GROUP BY doc_id)

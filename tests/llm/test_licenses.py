@@ -22,6 +22,14 @@ def brute(text, known, threshold=0.8):
             b = bigrams(template)
             if a and b and (s := 2 * len(a & b) / (len(a) + len(b))) >= threshold:
                 found[name] = max(found.get(name, 0), s)
+    w = words(text)
+    for name, template in known.items():
+        b, n = bigrams(template), len(words(template))
+        for i in range(max(1, len(w) - n + 1) if w and n > 1 else 0):
+            run = w[i : i + n]
+            a = {*zip(run, run[1:])} or {(run[0],)}
+            if (s := 2 * len(a & b) / (len(a) + len(b))) >= threshold:
+                found[name] = max(found.get(name, 0), s)
     best = min(found, key=lambda k: (-found[k], k), default=None)
     return ",".join(sorted(found)), best, round(found.get(best, 0.0), 9)
 
@@ -47,6 +55,26 @@ def test_same_as_all_templates(spark):
     assert sorted(got(spark, rows), key=key) == sorted(want, key=key)
 
 
+def test_inside_of_lines_and_across_them(spark):
+    mit = ("MIT", "MIT")
+    rows = [(1, "Copyright 2020 Foo. Released under the MIT License."), (2, "Released under the MIT License. See the file for details."),
+            (3, "x = 1  # Released under\n# the MIT\n# License.\ndef f(): pass"), (4, "one two " * 300 + "released under the mit license " + "x " * 300),
+            (5, "released under a licence"), (6, "the mit license"), (7, "Released under the MIT License " * 2000)]
+    found = {i: (names, best) for i, names, best, _ in got(spark, rows)}
+    assert {i for i in found if found[i] == mit} == {1, 2, 3, 4, 7} and found[5] == found[6] == ("", None)
+    head = licenses.TEMPLATES["GPL-3.0 header"].replace(" ", "\n * ", 20)
+    ((_, names, best, similarity),) = got(spark, [(1, f"/* {head} and more words follow here\nint main() {{}} */")])
+    assert best == "GPL-3.0 header" and similarity == 1.0
+
+
+def test_beyond_the_bound_nothing_is_broadcast(spark, monkeypatch):
+    from smogline.llm import groups
+    monkeypatch.setattr(groups, "BROADCAST_BYTES", 0)
+    rows = [(i, t + " and more") for i, t in enumerate(licenses.TEMPLATES.values())]
+    want = sorted((d, *brute(t, licenses.TEMPLATES)) for d, t in rows)
+    assert sorted(got(spark, rows)) == want
+
+
 def test_own_templates(spark):
     known = spark.createDataFrame([("one", "Free"), ("none", "..."), ("two", "a b c"), ("two again", "a b c")], "name string, text string")
     rows = got(spark, [(1, "free"), (2, "A, b c."), (3, "x")], known=known)
