@@ -3,21 +3,26 @@
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose
 data and cores. Each query runs once to warm up, then the best of three counts.
 Batch results go to the ``noop`` sink, so all columns are computed.
+
+``python bench.py --events 10000000`` times the operators over so many events instead, made from the table by
+repeating it with other sensors, and once more with a third of all rows from one sensor.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from smogline.operators import areas, sensor_windows, trend
 from smogline.plans import catalog
-from smogline.session import prepare
-from smogline.sources.events import events_stream, observations, readings
+from smogline.session import prepare, scratch_path
+from smogline.sources.events import events, events_stream, observations, readings
 from smogline.streaming import jobs
-from smogline.session import scratch_path
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -58,11 +63,11 @@ def stream_rate(spark: SparkSession, name: str) -> tuple[float, float, int]:
     """Seconds, rows per second and state rows of the sensor-window or trend stage over all events."""
     source, root = events_stream(spark, SF_DIR), scratch_path(spark, "bench")
     if name == "trend":
-        stages = jobs.trend_stages(observations(source), root, catalog.DAYS)
+        stage = jobs.trend_stage(observations(source), root, catalog.DAYS)
     else:
-        stages = jobs.detection_stages(readings(source), root, catalog.DAYS)
+        stage = jobs.window_stage(readings(source), root, catalog.DAYS)
     start = time.perf_counter()
-    query = stages[name]({"availableNow": True})
+    query = stage({"availableNow": True})
     query.awaitTermination()
     seconds = time.perf_counter() - start
     progress = query.recentProgress
@@ -104,5 +109,37 @@ def main() -> None:
     spark.stop()
 
 
+def large(count: int) -> None:
+    spark = session()
+    table = events(spark, SF_DIR)
+    copies = max(1, count // table.count())
+    many = table.crossJoin(F.broadcast(spark.range(copies).withColumnRenamed("id", "copy"))).select(
+        (F.col("event_id") * copies + F.col("copy")).alias("event_id"), "ts",
+        (F.col("user_id") + F.col("copy") * 10_000).alias("user_id"), "event_type", "value", "props",
+    )
+    found = {}
+    for form in ("even", "one_sensor_a_third"):
+        rows = many if form == "even" else many.withColumn(
+            "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")))
+        path = scratch_path(spark, form)
+        rows.repartition(16).write.parquet(f"{path}/events.parquet")
+        obs, read = observations(events(spark, path)), readings(events(spark, path))
+        windows = sensor_windows.sensor_windows(read, catalog.DAYS)
+        found[form] = {}
+        for name, frame in {
+            "sensor_statistics": sensor_windows.sensor_statistics(read, catalog.DAYS), "sensor_windows": windows,
+            "area_trend": areas.area_trend(windows, catalog.DAYS), "trend_statistics": trend.trend_statistics(obs, catalog.DAYS),
+            "trend_fold": trend.trend_fold(obs, catalog.DAYS), "trend": trend.trend(obs, catalog.DAYS),
+        }.items():
+            start = time.perf_counter()
+            frame.write.format("noop").mode("overwrite").save()
+            found[form][name] = round(time.perf_counter() - start, 1)
+    print(json.dumps({"events": copies * table.count(), "seconds": found}))
+    spark.stop()
+
+
 if __name__ == "__main__":
-    main()
+    if "--events" in sys.argv:
+        large(int(sys.argv[sys.argv.index("--events") + 1]))
+    else:
+        main()
