@@ -122,7 +122,9 @@ def piece_bpe() -> str:
 
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = alignment.aligned(table(spark, sf_dir, "documents"), byte_bpe(), piece_bpe())
-    return out.withColumnRenamed("id", "doc_id")
+    return out.select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_shared"
+    )
 
 
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,8 @@ evenly over the whole text. Predictions use text only.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; a null language is
 not learned; a null id is never held out; without rows to learn from every text is ``und``.
+Repeated rows are predicted each; an empty table gives none. Columns other than ids, texts and
+languages, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -14,6 +14,8 @@ only: no label, language, source or id.
 Defined cases: a text without words (or null) has the share of good documents among the fitted
 rows as its score; a null id is never held out; of repeated labels of one id the smallest counts,
 null labels do not; without labelled rows of both kinds every score is the known share, or 0.5.
+Repeated rows are scored each; an empty table gives none. Columns other than ids, texts and labels,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ COLUMNS = {
     "op9_personal_data": "doc_id:bigint n_email:bigint n_ip:bigint n_card:bigint n_phone:bigint base_sha256:string spans:string",
     "op10_token_files": "doc_id:bigint start:bigint n_tokens:bigint ids_crc32:bigint",
     "op11_token_counts": "doc_id:bigint n_bytes:bigint n_tokens:bigint over_limit:boolean",
-    "op12_alignment": "doc_id:bigint n_a:bigint n_b:bigint n_groups:bigint n_links:bigint n_shared:bigint n_best:bigint count_sum:bigint groups_sha256:string",
+    "op12_alignment": "doc_id:bigint n_a:bigint n_b:bigint n_groups:bigint n_links:bigint n_best:bigint count_sum:bigint groups_sha256:string n_shared:bigint",
     "op13_hard_negatives": "anchor_id:bigint positive_id:bigint rank:int negative_id:bigint positive_score:bigint negative_score:bigint",
 }
 
