@@ -42,7 +42,7 @@ from smogline.llm.bpe import Speller, byte_alphabet
 from smogline.llm.csr import Csr, members, row_products, spans
 from smogline.session import stored
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 22
 BLOCK_BYTES = 1 << 18  # bytes of different parts that are aligned at once
 _ENCODED = 1 << 11  # parts given to a library at once; what it returns is far larger than their ids
 _SHIFT = 32  # a pair of ids as one number: A above, B below
