@@ -59,8 +59,9 @@ _PLAIN_PIECE = re.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9À-ÖØ-öø-ɏ]+"
     r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 )
-_PAIRS = 1 << 16  # neighbours whose compatibility is kept
-_CACHE_BYTES = 16 << 20
+#: (bytes of pieces, neighbours) that a process keeps: where texts are only hashed, and where rows of ids are
+#: handed on by workers that stand beside those of earlier stages.
+_LARGE, _SMALL = (48 << 20, 1 << 18), (16 << 20, 1 << 16)
 _ENTRY = 200  # bytes of a cached piece besides its characters
 _LONG = 256
 _BLOCK = 1 << 16
@@ -95,7 +96,8 @@ def sufficient_lookahead(merges: Iterable[tuple[bytes, bytes]]) -> int:
 class Vocabulary:
     """Tokens, merges and the compatibility of neighbours."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pairs: int = _SMALL[1]):
+        self.pairs = pairs
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         before, model = spec.get("pre_tokenizer") or {}, spec["model"]
@@ -144,7 +146,7 @@ class Vocabulary:
     def compatible(self, left: int, right: int) -> bool:
         known = self._compatible.get((left, right))
         if known is None:
-            if len(self._compatible) >= _PAIRS:
+            if len(self._compatible) >= self.pairs:
                 self._compatible.clear()
             known = self.merged(self.spelled[left] + self.spelled[right]) == [left, right]
             self._compatible[left, right] = known
@@ -196,15 +198,15 @@ class Vocabulary:
 
 
 @lru_cache(maxsize=4)
-def vocabulary(path: str) -> Vocabulary:
+def vocabulary(path: str, pairs: int = _SMALL[1]) -> Vocabulary:
     """The vocabulary of a file, once per process."""
-    return Vocabulary(path)
+    return Vocabulary(path, pairs)
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """The encoder of a file, with its cache, once per process."""
-    return Encoder(vocabulary(path))
+def encoder(path: str, kept: tuple[int, int] = _SMALL) -> Encoder:
+    """The encoder of a file, with its caches, once per process."""
+    return Encoder(vocabulary(path, kept[1]), kept[0])
 
 
 class PieceTransducer:
@@ -353,9 +355,9 @@ class PieceCache:
 class Encoder:
     """Texts to ids, block by block; pieces that come again are looked up."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, cache_bytes: int = _SMALL[0]):
         self.vocabulary = vocabulary
-        self.known = PieceCache(_CACHE_BYTES)
+        self.known = PieceCache(cache_bytes)
 
     def stream(self, text: str | None) -> Iterator[np.ndarray]:
         """The ids of a text, in parts, each as soon as it is stable."""
@@ -432,8 +434,8 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     nor decoded texts leave the task or are held whole.
     """
     def run(batches):
-        stream, speller = encoder(path).stream, Decoder(vocabulary(path)).speller
-        digits = decimals(vocabulary(path))
+        known = encoder(path, _LARGE)
+        stream, speller, digits = known.stream, Decoder(known.vocabulary).speller, decimals(known.vocabulary)
         for batch in batches:
             sizes, ids_digest, text_digest = [], [], []
             for text in batch["text"]:
@@ -467,7 +469,8 @@ def encode_checked(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     came in. The ids of one text are one value, so the longest text bounds what a task holds.
     """
     def run(batches):
-        known, speller = encoder(path), Decoder(vocabulary(path)).speller
+        known = encoder(path)
+        speller = Decoder(known.vocabulary).speller
 
         def block(ids, rows, restored):
             return pa.record_batch({
