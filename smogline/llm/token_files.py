@@ -40,7 +40,7 @@ _HEAD = np.dtype([
     ("size", "<u8"), ("part", "<u4"), ("number", "<u4"), ("width", "<u4"), ("nulls", "<u4"),
     ("base", "<i8"), ("ids", "<u8"),
 ])
-_CACHE_BYTES = 48 << 20
+_CACHE_BYTES = 64 << 20
 
 
 class LibraryEncoder:
