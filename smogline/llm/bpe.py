@@ -336,11 +336,13 @@ class PieceCache:
     def join(self, pieces: list[str], encode: Callable[[list[str]], list[bytes]]) -> bytes:
         """The ids of all pieces, one after the other; ``encode`` is asked for those not known."""
         young, old = self.young, self.old
-        new = set(pieces).difference(young)
-        if new:
-            young.update([(p, old[p]) for p in new if p in old])
-            asked = [p for p in new if p not in young]
-            young.update(zip(asked, encode(asked)))
+        found = list(map(young.get, pieces))
+        if None not in found:
+            return b"".join(found)
+        new = {p for p, ids in zip(pieces, found) if ids is None}
+        young.update([(p, old[p]) for p in new if p in old])
+        asked = [p for p in new if p not in young]
+        young.update(zip(asked, encode(asked)))
         ids = b"".join(map(young.__getitem__, pieces))
         for piece in new:
             if len(piece) > _LONG:
