@@ -25,10 +25,8 @@ def store(spark: SparkSession, checkpoint: str, name: str, batch: int | None = N
 
 def open_trends(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
     """The trend records of all windows that are still open."""
-    each = store(spark, checkpoint, OPEN, batch).select(
-        F.col("key.key").alias("key"), F.explode("value.windows").alias("w")
-    )
-    return each.select("key", "w.*").select("key", *trend_columns())
+    each = store(spark, checkpoint, OPEN, batch).select(F.explode("value.windows").alias("w"))
+    return each.select("w.*").select("key", *trend_columns())
 
 
 def open_panes(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:

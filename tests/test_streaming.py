@@ -15,7 +15,7 @@ from smogline.operators.trend import too_high, trend
 from smogline.params import Windows
 from smogline.sources import streams
 from smogline.sources.events import events, observations, readings, wire_a, wire_b
-from smogline.streaming import jobs, ranges, store
+from smogline.streaming import jobs, ranges, stateful, store
 from smogline.streaming.sinks import append_table, batch_table, jdbc_writer, table_of
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -379,3 +379,30 @@ def test_kafka_is_asked_for(spark, tmp_path):
     for stage in jobs.topic_stages(str(tmp_path), spark, "localhost:9092", "a", "b").values():
         with pytest.raises(Exception, match="(?i)kafka"):
             stage()
+
+
+def test_many_keys_share_a_state_value(spark, tmp_path, monkeypatch):
+    """Seven keys in three groups: one state value a group, and every key has its own windows and late rows."""
+    monkeypatch.setattr(stateful, "BUCKETS", 3)
+    monkeypatch.setattr(stateful, "LATE_ROWS", 2)
+    landing = Landing(spark, tmp_path / "in")
+    os.makedirs(landing.path)
+
+    def land(second):
+        rows = [(f"k{k}", f'{{"sensorId":"{k}","lon":3,"lat":4,"pm2":{k + second}}}',
+                 START + dt.timedelta(seconds=second), 1000 * k + second) for k in range(7)]
+        landing.land(spark.createDataFrame(rows, "key string, value string, ts timestamp, seq long"))
+
+    for second in (10, 200, 20, 210):  # the rows of 20 come after their window has closed
+        land(second)
+    stage = jobs.trend_stage(decode.decode_json(landing.stream()), str(tmp_path / "out"))
+    jobs.run_available({"trend": stage})
+    closed = table_of(spark, f"{tmp_path}/out/trend").orderBy("key").collect()
+    assert [(r.key, r.countUsecase, r.sumPm2) for r in closed] == [(f"k{k}", 1, k + 10.0) for k in range(7)]
+    late = table_of(spark, f"{tmp_path}/out/late_observations").orderBy("key").collect()
+    assert [(r.key, r.ts, r.seq) for r in late] == [
+        (f"k{k}", (START + dt.timedelta(seconds=20)).replace(tzinfo=None), 1000 * k + 20) for k in range(7)]
+    checkpoint = f"{tmp_path}/out/_checkpoints/trend"
+    assert store.store(spark, checkpoint, stateful.OPEN).count() <= 3
+    still = store.open_trends(spark, checkpoint).orderBy("key").collect()
+    assert [(r.key, r.countUsecase, r.sumPm2) for r in still] == [(f"k{k}", 2, 2 * k + 410.0) for k in range(7)]
