@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,10 +86,23 @@ def map_area_layer(spark: SparkSession, sf_dir: str, windows: Windows) -> DataFr
     return jobs.map_layer(spark, root)
 
 
+def sorted_parts(rows: DataFrame, order: str) -> DataFrame:
+    """Rows in order, sorted by as many tasks as there are parts, and kept on disk.
+
+    One task can then read the parts one after the other; without the disk between, it would hold
+    the sorts of all of them.
+    """
+    parts = rows.orderBy(order).persist(StorageLevel.DISK_ONLY)
+    parts.count()
+    return parts
+
+
 def text_lines(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Messages written as one text file, in order, and landed from it by a stream: value, ts, seq."""
     root = scratch_path(spark, "lines")
-    rows.orderBy("seq").select("value").coalesce(1).write.text(f"{root}/in")
+    parts = sorted_parts(rows.select("seq", "value"), "seq")
+    parts.select("value").coalesce(1).write.text(f"{root}/in")
+    parts.unpersist()
     source = file_text(spark, f"{root}/in")
     jobs.run_available({"lines": jobs.landed_stage(source, root, "lines", {})})
     return table_of(spark, f"{root}/lines")

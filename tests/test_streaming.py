@@ -13,6 +13,7 @@ from smogline.operators.areas import area_count_updates, area_trend
 from smogline.operators.sensor_windows import sensor_flags, sensor_windows
 from smogline.operators.trend import too_high, trend
 from smogline.params import Windows
+from smogline.plans import streams as plan_streams
 from smogline.sources import streams
 from smogline.sources.events import events, observations, readings, wire_a, wire_b
 from smogline.streaming import jobs, ranges, stateful, store
@@ -406,3 +407,12 @@ def test_many_keys_share_a_state_value(spark, tmp_path, monkeypatch):
     assert store.store(spark, checkpoint, stateful.OPEN).count() <= 3
     still = store.open_trends(spark, checkpoint).orderBy("key").collect()
     assert [(r.key, r.countUsecase, r.sumPm2) for r in still] == [(f"k{k}", 2, 2 * k + 410.0) for k in range(7)]
+
+
+def test_one_file_is_written_from_parts_sorted_apart(spark):
+    rows = spark.range(0, 2000, 1, 5).selectExpr("id * 7919 % 2000 AS seq", "cast(id AS string) AS value")
+    parts = plan_streams.sorted_parts(rows, "seq")
+    assert parts.storageLevel.useDisk and not parts.storageLevel.useMemory
+    assert "InMemoryTableScan" in parts.coalesce(1)._jdf.queryExecution().executedPlan().toString()
+    assert [r.seq for r in parts.coalesce(1).collect()] == list(range(2000))
+    parts.unpersist()
