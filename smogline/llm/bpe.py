@@ -53,10 +53,10 @@ _RUNS = {
     "letter": regex.compile(r"\p{L}*"), "number": regex.compile(r"\p{N}*"),
     "space": regex.compile(rf"[{_WS}]*"), "other": regex.compile(rf"[^{_WS}\p{{L}}\p{{N}}]*"),
 }
-#: The same pattern for ASCII texts and texts of these characters, in a faster library.
+#: The same pattern for ASCII texts and texts of these characters, in a faster library, words first.
 _PLAIN = re.compile(r"[\x00-~À-ÖØ-öø-ɏ]*")
 _PLAIN_PIECE = re.compile(
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9À-ÖØ-öø-ɏ]+"
+    r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\t-\r A-Za-z0-9À-ÖØ-öø-ɏ]+"
     r"|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 )
 #: (bytes of pieces, neighbours) that a process keeps: where texts are only hashed, and where rows of ids are
@@ -339,11 +339,14 @@ class PieceCache:
         found = list(map(young.get, pieces))
         if None not in found:
             return b"".join(found)
-        new = {p for p, ids in zip(pieces, found) if ids is None}
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        new = {pieces[i] for i in gaps}
         young.update([(p, old[p]) for p in new if p in old])
         asked = [p for p in new if p not in young]
         young.update(zip(asked, encode(asked)))
-        ids = b"".join(map(young.__getitem__, pieces))
+        for i in gaps:
+            found[i] = young[pieces[i]]
+        ids = b"".join(found)
         for piece in new:
             if len(piece) > _LONG:
                 del young[piece]

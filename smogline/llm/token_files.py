@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from smogline.llm.bpe import PieceCache, split_pieces
+from smogline.llm.bpe import PieceCache, byte_alphabet, split_pieces
 from smogline.llm.elias_fano import EliasFano
 
 _MAGIC = b"EFTOKEN1"
@@ -46,8 +46,8 @@ _CACHE_BYTES = 64 << 20
 class LibraryEncoder:
     """Ids by the ``tokenizers`` library; pieces that come again are looked up.
 
-    The library is asked once for the distinct new pieces of a text. A text with special tokens
-    goes to it whole.
+    The library's merges are asked for each distinct new piece of a text, spelled in the byte alphabet. A text
+    with special tokens goes to the library whole.
     """
 
     def __init__(self, path: str):
@@ -60,6 +60,8 @@ class LibraryEncoder:
         self.special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype(self.code)
+        self.model = self.tokenizer.model
+        self.alphabet = {byte: char for char, byte in byte_alphabet().items()}
         self.known = PieceCache(_CACHE_BYTES)
 
     def encode(self, text: str | None) -> bytes:
@@ -67,7 +69,11 @@ class LibraryEncoder:
             return b""
         if any(special in text for special in self.special):
             return self._asked([text])[0]
-        return self.known.join(split_pieces(text), self._asked)
+        return self.known.join(split_pieces(text), self._merged)
+
+    def _merged(self, pieces: list[str]) -> list[bytes]:
+        spelled = (p.encode().decode("latin-1").translate(self.alphabet) for p in pieces)
+        return [array(self.code, [t.id for t in self.model.tokenize(s)]).tobytes() for s in spelled]
 
     def _asked(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)

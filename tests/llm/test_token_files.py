@@ -14,6 +14,19 @@ from smogline.llm.token_files import (
 )
 
 
+def test_new_pieces_are_merged_without_a_whole_encoding_each():
+    """Pieces go to the library's merges; only a text with a special token is encoded whole."""
+    encoder, plain = LibraryEncoder(byte_bpe()), Tokenizer.from_file(byte_bpe())
+    whole, asked = [], encoder._asked
+    encoder._asked = lambda texts: whole.extend(texts) or asked(texts)
+    special = min(encoder.special)
+    texts = ["It's 's we'll  go\n\n 'x 12ab _é ñandú\t", "\r\n a  ", "Ċ 漢字　x 😀", "".join(map(chr, range(1, 700))),
+             "x" * 600 + " " + "y" * 700, f"a {special} b", "'s\n'll're'd'm've't'"]
+    for text in texts * 2:
+        assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert whole == [texts[5]] * 2
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 2**63 - 1) | st.integers(0, 50), max_size=700))
 def test_elias_fano(values):
